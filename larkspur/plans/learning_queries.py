@@ -1,0 +1,281 @@
+"""Splits, preprocessing, metrics and models as queries over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from larkspur.operators import metrics, models, prep
+from larkspur.operators.bounds import quoted
+from larkspur.operators.split import hash_split
+from larkspur.plans import churn, exams
+from larkspur.plans import views as v
+from larkspur.plans.registry import query, r
+from larkspur.plans.tabular_queries import clean_scores, featured
+from larkspur.session import scratch_path
+
+c = F.col
+
+# ---- splits ---------------------------------------------------------------------------
+
+
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY md5('42:' || o_orderkey)) <= ceil(0.2 * count(*) OVER ()) AS is_test
+FROM orders""")
+def train_test_split(spark, sf_dir):
+    return hash_split(v.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+
+
+_STRATIFIED_SQL = f"""WITH {v.LABELLED_SQL}, shares AS (
+  SELECT "Churn" AS k, count(*) AS n, count(*) * ceil(0.2 * (SELECT count(*) FROM featured)) / (SELECT count(*) FROM featured) AS share
+  FROM featured GROUP BY 1),
+quotas AS (SELECT k, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, n DESC, k)
+    <= ceil(0.2 * (SELECT count(*) FROM featured)) - (SELECT sum(floor(share)) FROM shares) THEN 1 ELSE 0 END AS quota FROM shares),
+divided AS (SELECT f.*, row_number() OVER (PARTITION BY "Churn" ORDER BY md5('42:' || "CustomerID")) <= quota AS is_test
+  FROM featured f JOIN quotas ON k = "Churn")"""
+
+
+@query(f"""{_STRATIFIED_SQL} SELECT "CustomerID", "Churn", is_test FROM divided""")
+def stratified_split(spark, sf_dir):
+    rows = featured(spark, sf_dir).select("CustomerID", "Churn")
+    return hash_split(rows, "CustomerID", stratify="Churn")
+
+
+# ---- preprocessing, fitted on the training rows only ------------------------------------
+
+_TRAIN_SQL = f"{_STRATIFIED_SQL}, train AS (SELECT * FROM divided WHERE NOT is_test)"
+
+
+@query(f"""{_TRAIN_SQL} SELECT "CustomerID", coalesce("Payment Method", (SELECT "Payment Method" FROM train
+    WHERE "Payment Method" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS payment,
+  coalesce("Streaming Movies", (SELECT "Streaming Movies" FROM train
+    WHERE "Streaming Movies" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS movies FROM featured""")
+def impute_mode(spark, sf_dir):
+    rows = featured(spark, sf_dir).select("CustomerID", "Churn", "Payment Method", "Streaming Movies")
+    training, _ = churn.split(rows)
+    filled = prep.Filler(categorical=["Payment Method", "Streaming Movies"]).fit(training).transform(rows)
+    return filled.select("CustomerID", quoted("Payment Method").alias("payment"), quoted("Streaming Movies").alias("movies"))
+
+
+@query(f"""{_TRAIN_SQL} SELECT "CustomerID", coalesce("Tenure Months", (SELECT median("Tenure Months") FROM train)) AS months,
+  round_even(coalesce("Total Charges", (SELECT median("Total Charges") FROM train)), 4) AS total FROM featured""")
+def impute_median(spark, sf_dir):
+    rows = featured(spark, sf_dir).select("CustomerID", "Churn", "Tenure Months", "Total Charges")
+    training, _ = churn.split(rows)
+    filled = prep.Filler(numeric=["Tenure Months", "Total Charges"]).fit(training).transform(rows)
+    return filled.select("CustomerID", quoted("Tenure Months").alias("months"), r(quoted("Total Charges"), 4).alias("total"))
+
+
+@query(f"""{_TRAIN_SQL}, levels AS (SELECT list(DISTINCT "Payment Method" ORDER BY "Payment Method") AS names FROM train
+    WHERE "Payment Method" IS NOT NULL),
+filled AS (SELECT "CustomerID", coalesce("Payment Method", (SELECT "Payment Method" FROM train
+    WHERE "Payment Method" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS payment FROM featured)
+SELECT "CustomerID", payment, array_to_string([CASE WHEN x = payment THEN 1 ELSE 0 END FOR x IN names], ',') AS slots
+FROM filled, levels""")
+def one_hot(spark, sf_dir):
+    rows = featured(spark, sf_dir).select("CustomerID", "Churn", "Payment Method")
+    training, _ = churn.split(rows)
+    encoded = prep.preprocessor(["Payment Method"], []).fit(training).transform(rows)
+    slots = F.transform(vector_to_array("features"), lambda x: x.cast("int").cast("string"))
+    return encoded.select("CustomerID", quoted("Payment Method").alias("payment"), F.array_join(slots, ",").alias("slots"))
+
+
+@query(f"{_TRAIN_SQL} " + " UNION ALL ".join(
+    f"""SELECT '{x}' AS "column", round_even(coalesce(nullif(stddev_pop("{x}"), 0), 1), 4) AS scale FROM train""" for x in churn.NUMERICAL))
+def scale_pop(spark, sf_dir):
+    training, _ = churn.split(featured(spark, sf_dir).select("CustomerID", "Churn", *[quoted(x) for x in churn.NUMERICAL]))
+    return prep.population_scales(training, churn.NUMERICAL).select("column", r("scale", 4))
+
+
+_NAMED = ["Gender", "Contract", "Payment Method", "TenureGroup"]
+
+
+@query(f"{_TRAIN_SQL}, named AS (" + " UNION ALL ".join(
+    f"""SELECT DISTINCT {i} AS place, "{x}" AS level, 'categorical__{x}_' || "{x}" AS feature FROM train WHERE "{x}" IS NOT NULL"""
+    for i, x in enumerate(_NAMED)) + " UNION ALL " + " UNION ALL ".join(
+    f"SELECT {100 + i}, '', 'numerical__{x}'" for i, x in enumerate(churn.NUMERICAL))
+    + ") SELECT row_number() OVER (ORDER BY place, level) - 1 AS slot, feature FROM named")
+def feature_names(spark, sf_dir):
+    rows = featured(spark, sf_dir).select("CustomerID", "Churn", *[quoted(x) for x in [*_NAMED, *churn.NUMERICAL]])
+    training, _ = churn.split(rows)
+    names = prep.feature_names(prep.preprocessor(_NAMED, churn.NUMERICAL).fit(training))
+    return spark.createDataFrame(list(enumerate(names)), "slot bigint, feature string")
+
+
+# ---- metrics ----------------------------------------------------------------------------
+
+_METRICS = [("linear", "estimate"), ("shrunk", "other_estimate")]
+
+
+def _regression_sql(name: str, column: str) -> str:
+    return f"""SELECT '{name}' AS "Model", avg(abs(amount - {column})) AS "MAE", sqrt(avg((amount - {column}) ** 2)) AS "RMSE",
+  1 - avg((amount - {column}) ** 2) / var_pop(amount) AS "R2" FROM predictions"""
+
+
+@query(f"""WITH {v.PREDICTIONS_SQL} SELECT "Model", round_even("MAE", 4) AS "MAE", round_even("RMSE", 4) AS "RMSE",
+  round_even("R2", 6) AS "R2" FROM ({_regression_sql(*_METRICS[0])})""")
+def regression_metrics(spark, sf_dir):
+    out = metrics.regression_metrics(v.predictions(spark, sf_dir), "amount", "estimate", "linear")
+    return out.select("Model", r("MAE", 4), r("RMSE", 4), r("R2"))
+
+
+@query(f"""WITH {v.PREDICTIONS_SQL}, stacked AS ({" UNION ALL ".join(_regression_sql(*m) for m in _METRICS)})
+SELECT arg_min("Model", "RMSE") AS selected, round_even(min("RMSE"), 4) AS "RMSE" FROM stacked""")
+def model_selection(spark, sf_dir):
+    rows = v.predictions(spark, sf_dir)
+    stacked = metrics.compare_models([metrics.regression_metrics(rows, "amount", p, n) for n, p in _METRICS])
+    return metrics.select_regressor(stacked).select("selected", r("RMSE", 4))
+
+
+def _class_sql(name: str, probability: str, cut: float) -> str:
+    return f"""SELECT '{name}' AS "Model", avg((actual = ({probability} >= {cut})::INT)::INT) AS "Accuracy",
+  coalesce(count(*) FILTER (actual = 1 AND {probability} >= {cut}) / nullif(count(*) FILTER ({probability} >= {cut}), 0)::DOUBLE, 0) AS "Precision",
+  coalesce(count(*) FILTER (actual = 1 AND {probability} >= {cut}) / nullif(count(*) FILTER (actual = 1), 0)::DOUBLE, 0) AS "Recall",
+  coalesce(2 * count(*) FILTER (actual = 1 AND {probability} >= {cut}) /
+    nullif(count(*) FILTER (actual = 1) + count(*) FILTER ({probability} >= {cut}), 0)::DOUBLE, 0) AS "F1",
+  (SELECT (sum(place) FILTER (actual = 1) - count(*) FILTER (actual = 1) * (count(*) FILTER (actual = 1) + 1) / 2.0)
+     / (count(*) FILTER (actual = 1) * count(*) FILTER (actual = 0))
+   FROM (SELECT actual, rank() OVER (ORDER BY {probability}) + (count(*) OVER (PARTITION BY {probability}) - 1) / 2.0 AS place
+         FROM predictions)) AS "ROC_AUC" FROM predictions"""
+
+
+_CLASSIFIERS = [("first", "probability", 0.5), ("second", "other_probability", 0.4), ("never", "other_probability", 2.0)]
+_CLASS_COLUMNS = ["Accuracy", "Precision", "Recall", "F1", "ROC_AUC"]
+_ROUNDED = ", ".join(f'round_even("{x}", 6) AS "{x}"' for x in _CLASS_COLUMNS)
+
+
+def _classified(rows, name, probability, cut):
+    marked = rows.withColumn("predicted", (c(probability) >= cut).cast("int"))
+    return metrics.classification_metrics(marked, "actual", "predicted", probability, name)
+
+
+@query(f"""WITH {v.PREDICTIONS_SQL} SELECT "Model", {_ROUNDED} FROM ({_class_sql(*_CLASSIFIERS[0])})""")
+def classification_metrics(spark, sf_dir):
+    out = _classified(v.predictions(spark, sf_dir), *_CLASSIFIERS[0])
+    return out.select("Model", *[r(x) for x in _CLASS_COLUMNS])
+
+
+@query(f"""WITH {v.PREDICTIONS_SQL}, stacked AS ({" UNION ALL ".join(_class_sql(*m) for m in _CLASSIFIERS)})
+SELECT "Model", {_ROUNDED}, row_number() OVER (ORDER BY "F1" DESC, "Recall" DESC) AS place,
+  row_number() OVER (ORDER BY "F1" DESC, "Recall" DESC) = 1 AS selected FROM stacked""")
+def model_comparison(spark, sf_dir):
+    rows = v.predictions(spark, sf_dir)
+    ranked = metrics.rank_classifiers(metrics.compare_models([_classified(rows, *m) for m in _CLASSIFIERS]))
+    return ranked.select("Model", *[r(x) for x in _CLASS_COLUMNS], "place", "selected")
+
+
+@query(f"""WITH {v.PREDICTIONS_SQL} SELECT round_even("ROC_AUC", 6) AS "ROC_AUC" FROM ({_class_sql(*_CLASSIFIERS[0])})""")
+def roc_auc(spark, sf_dir):
+    return metrics.roc_auc(v.predictions(spark, sf_dir), "actual", "probability").select(r("ROC_AUC"))
+
+
+@query(f"""WITH {v.PREDICTIONS_SQL} SELECT count(*) FILTER (actual = 0 AND probability < 0.5) AS tn,
+  count(*) FILTER (actual = 0 AND probability >= 0.5) AS fp, count(*) FILTER (actual = 1 AND probability < 0.5) AS fn,
+  count(*) FILTER (actual = 1 AND probability >= 0.5) AS tp FROM predictions""")
+def confusion_matrix(spark, sf_dir):
+    marked = v.predictions(spark, sf_dir).withColumn("predicted", (c("probability") >= 0.5).cast("int"))
+    return metrics.confusion_matrix(marked, "actual", "predicted")
+
+
+# ---- models -------------------------------------------------------------------------------
+
+_FEW_TREES, _SHALLOW = 20, 8
+
+
+def _churn_sets(spark, sf_dir):
+    return churn.split(featured(spark, sf_dir))
+
+
+_MODEL_CATEGORICAL = ["Gender", "Senior Citizen", "Contract", "Payment Method", "TenureGroup", "IsNewCustomer"]
+
+
+def _logistic(training):
+    estimator = models.logistic_classifier("Churn", training.count())
+    return models.fit(training, _MODEL_CATEGORICAL, churn.NUMERICAL, estimator)
+
+
+@query(f"""WITH {v.CLEAN_SCORES_SQL}, divided AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42:' || row_key)) <= ceil(0.2 * count(*) OVER ()) AS is_test FROM clean_scores),
+fitted AS (SELECT "test preparation course", avg(overall_score) AS predicted FROM divided WHERE NOT is_test GROUP BY 1)
+SELECT row_key, round_even(overall_score, 4) AS actual, round_even(predicted, 4) AS predicted
+FROM divided JOIN fitted USING ("test preparation course") WHERE is_test""")
+def linear_regression(spark, sf_dir):
+    rows = clean_scores(spark, sf_dir).select("row_key", "test preparation course", "overall_score")
+    training, testing = exams.split(rows, "row_key")
+    model = models.fit(training, ["test preparation course"], [], models.linear_regressor("overall_score"))
+    out = models.predict_values(model, testing)
+    return out.select("row_key", r(c("overall_score"), 4).alias("actual"), r("predicted", 4))
+
+
+@query()
+def regression_predictions(spark, sf_dir):
+    rows = clean_scores(spark, sf_dir)
+    training, testing = exams.split(rows, "row_key")
+    model = models.fit(training, exams.FEATURES, [], models.linear_regressor(exams.TARGET))
+    return models.regression_table(models.predict_values(model, testing), exams.TARGET, ["row_key"])
+
+
+@query()
+def rf_regressor(spark, sf_dir):
+    training, testing = exams.split(clean_scores(spark, sf_dir), "row_key")
+    model = models.fit(training, exams.FEATURES, [], models.forest_regressor(exams.TARGET))
+    return metrics.regression_metrics(models.predict_values(model, testing), exams.TARGET, "predicted", exams.FOREST)
+
+
+@query()
+def logistic_regression(spark, sf_dir):
+    training, testing = _churn_sets(spark, sf_dir)
+    tested = models.predict_classes(_logistic(training), testing)
+    return models.classification_table(tested, "Churn", ["CustomerID", *_MODEL_CATEGORICAL, *churn.NUMERICAL])
+
+
+@query()
+def rf_classifier(spark, sf_dir):
+    training, testing = _churn_sets(spark, sf_dir)
+    model = models.fit(training, _MODEL_CATEGORICAL, churn.NUMERICAL, models.forest_classifier("Churn"))
+    tested = models.predict_classes(model, testing)
+    return metrics.classification_metrics(tested, "Churn", "predicted", "probability", churn.FOREST)
+
+
+def _importances(spark, sf_dir):
+    training, _ = exams.split(clean_scores(spark, sf_dir), "row_key")
+    estimator = models.forest_regressor(exams.TARGET, _FEW_TREES, _SHALLOW)
+    return models.importances(models.fit(training, exams.FEATURES, [], estimator), spark)
+
+
+@query()
+def feature_importance(spark, sf_dir):
+    return _importances(spark, sf_dir)
+
+
+@query()
+def feature_importance_top(spark, sf_dir):
+    return models.top_importances(_importances(spark, sf_dir))
+
+
+@query()
+def batch_score(spark, sf_dir):
+    rows = featured(spark, sf_dir)
+    model = _logistic(churn.split(rows)[0])
+    incoming = churn.add_features(v.accounts(spark, sf_dir).drop("Churn Label")).drop("Gender")  # a column is absent
+    return models.score(model, incoming, "CustomerID", _MODEL_CATEGORICAL, churn.NUMERICAL, models.action_table(spark))
+
+
+@query()
+def model_roundtrip(spark, sf_dir):
+    rows = featured(spark, sf_dir)
+    model = _logistic(churn.split(rows)[0])
+    path = scratch_path(spark, "model")
+    models.save_model(model, path)
+    again = models.load_model(path)
+    before = models.predict_classes(model, rows).select("CustomerID", c("probability").alias("before"))
+    after = models.predict_classes(again, rows).select("CustomerID", c("probability").alias("after"))
+    return before.join(after, "CustomerID").select("CustomerID", "before", "after", (c("before") == c("after")).alias("equal"))
+
+
+@query()
+def model_manifest(spark, sf_dir):
+    rows = featured(spark, sf_dir)
+    from larkspur.operators import profile
+
+    categorical, numeric, constant = profile.select_features(rows, churn.CATEGORICAL, churn.NUMERICAL, churn.LEAKAGE)
+    return churn.manifest(rows, churn.LOGISTIC, categorical, numeric, constant, "CustomerID")

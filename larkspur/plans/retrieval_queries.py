@@ -1,0 +1,216 @@
+"""Page, chunk, search and evaluation queries over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from larkspur.functions.text import page_list
+from larkspur.operators import answers, chunks, embed, rag_eval
+from larkspur.operators.search import search
+from larkspur.plans import knowledge
+from larkspur.plans import views as v
+from larkspur.plans.registry import query, r
+from larkspur.plans.tabular_queries import _CLEAN_SQL
+from larkspur.session import scratch_path
+from larkspur.sources import corpus
+
+c = F.col
+FLOOR = 0.35
+GATE_FLOOR = 0.41  # high enough that some topics have no evidence
+K = 5
+
+
+# ---- pages and chunks -----------------------------------------------------------------
+
+
+@query(f"""WITH {v.TURN_PAGES_SQL}, cleaned AS (SELECT source, page_number, {_CLEAN_SQL} AS text FROM raw_pages)
+SELECT *, length(text) AS character_count FROM cleaned""")
+def page_ingest(spark, sf_dir):
+    return corpus.ingest_pages(v.turn_pages(spark, sf_dir))
+
+
+@query(f"""WITH {v.TURN_PAGES_SQL}, stripped AS (SELECT source, page_number, trim(coalesce(text, ''), {v.STRIP_SET}) AS text FROM raw_pages)
+SELECT *, length(text) AS character_count FROM stripped WHERE text <> ''""")
+def page_ingest_stripped(spark, sf_dir):
+    return corpus.ingest_pages(v.turn_pages(spark, sf_dir), clean=False, keep_empty=False)
+
+
+@query(f"""WITH {v.TURN_PAGES_SQL}, cleaned AS (SELECT source, page_number, {_CLEAN_SQL} AS text FROM raw_pages),
+counted AS (SELECT source, count(*) AS pages, count(*) FILTER (text <> '') AS pages_with_text, sum(length(text)) AS characters
+  FROM cleaned GROUP BY source)
+SELECT source, false AS is_total, 1 AS documents, pages, pages_with_text, characters::BIGINT AS characters FROM counted
+UNION ALL SELECT NULL, true, count(*), sum(pages)::BIGINT, sum(pages_with_text)::BIGINT, sum(characters)::BIGINT FROM counted""")
+def corpus_stats(spark, sf_dir):
+    return chunks.document_stats(corpus.ingest_pages(v.turn_pages(spark, sf_dir)))
+
+
+@query(f"""WITH {v.LIBRARY_SQL} SELECT source, page_number, "start"::BIGINT AS "start", "end"::BIGINT AS "end" FROM offsets""")
+def page_offsets(spark, sf_dir):
+    return chunks.page_offsets(v.library_pages(spark, sf_dir)).select("source", "page_number", "start", "end")
+
+
+@query(f"""WITH {v.LIBRARY_SQL} SELECT source, chunk_number, array_to_string(page_numbers, ', ') AS pages, text,
+  length(text) AS character_count FROM chunks""")
+def chunk_documents(spark, sf_dir):
+    cut = chunks.chunk_documents(v.library_pages(spark, sf_dir), 1000, 200)
+    return cut.select("source", "chunk_number", page_list(c("page_numbers")).alias("pages"), "text", "character_count")
+
+
+@query(f"""WITH {v.LIBRARY_SQL} SELECT row_number() OVER (ORDER BY source, chunk_number) AS chunk_id, source, chunk_number,
+  length(text) AS character_count FROM chunks""")
+def chunk_ids(spark, sf_dir):
+    numbered = chunks.number_chunks(chunks.chunk_documents(v.library_pages(spark, sf_dir), 1000, 200))
+    return numbered.select("chunk_id", "source", "chunk_number", "character_count")
+
+
+# ---- search and answers ---------------------------------------------------------------
+
+
+def _hits_sql(floor: float) -> str:
+    return f"""WITH {v.CENTROIDS_SQL}, hits AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity_score DESC, chunk_id) AS rank
+  FROM scored WHERE similarity_score >= {floor} QUALIFY rank <= {K})"""
+
+
+def _hits(spark, sf_dir, floor):
+    """Hits with the stored passage on the same row."""
+    return search(
+        v.topics(spark, sf_dir), v.passages(spark, sf_dir), K, floor, carry=["source", "page_numbers", "text"]
+    )
+
+
+@query(f"""WITH {v.CENTROIDS_SQL} SELECT query_id, vec_id AS chunk_id, round_even(score, 6) AS similarity_score, rank FROM (
+  SELECT query_id, vec_id, list_dot_product(v, embedding::DOUBLE[]) / n AS score,
+    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM topics, embeddings)
+WHERE rank <= {K} AND score >= 0.1""")
+def retrieve_topk(spark, sf_dir):
+    stored = v.table(spark, sf_dir, "embeddings").select(c("vec_id").alias("chunk_id"), "embedding")
+    hits = search(v.topics(spark, sf_dir), stored, K, 0.1)
+    return hits.select("query_id", "chunk_id", r("similarity_score"), "rank")
+
+
+@query(f"""{_hits_sql(FLOOR)} SELECT query_id, chunk_id, source, array_to_string(page_numbers, ', ') AS pages,
+  round_even(similarity_score, 6) AS similarity_score FROM hits WHERE rank = 1""")
+def top_hit(spark, sf_dir):
+    best = rag_eval.top_hit(_hits(spark, sf_dir, FLOOR))
+    return best.select("query_id", "chunk_id", "source", page_list(c("page_numbers")).alias("pages"), r("similarity_score"))
+
+
+@query("""SELECT count(embedding) AS vectors, min(len(embedding)) AS min_dimension, max(len(embedding)) AS max_dimension,
+  round_even(max(abs(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) - 1)), 5) AS norm_error,
+  min(len(embedding)) = max(len(embedding)) AS uniform FROM embeddings""")
+def vector_check(spark, sf_dir):
+    out = embed.vector_check(v.table(spark, sf_dir, "embeddings"))
+    return out.select("vectors", "min_dimension", "max_dimension", r("norm_error", 5), "uniform")
+
+
+_HEAD, _REST = answers.PROMPT.replace("'", "''").split("{question}")
+_MIDDLE = _REST.split("{context}")[0]
+
+
+@query(f"""{_hits_sql(FLOOR)} SELECT query_id, count(*) AS hits, trim('{_HEAD}' || question || '{_MIDDLE}' || string_agg(
+  'SOURCE ' || rank || chr(10) || 'Document: ' || source || chr(10) || 'Pages: ' || array_to_string(page_numbers, ', ') ||
+  chr(10) || 'Text:' || chr(10) || text || chr(10), chr(10) || chr(10) ORDER BY rank), {v.STRIP_SET}) AS prompt
+FROM hits JOIN topics USING (query_id) GROUP BY query_id, question""")
+def grounded_prompt(spark, sf_dir):
+    asked = v.topics(spark, sf_dir).select("query_id", "question")
+    return answers.grounded_prompts(asked, _hits(spark, sf_dir, FLOOR))
+
+
+@query(f"""{_hits_sql(GATE_FLOOR)} SELECT query_id, question, count(chunk_id) AS hits, count(chunk_id) > 0 AS answerable,
+  CASE WHEN count(chunk_id) > 0 THEN 'answerable' ELSE '{answers.INSUFFICIENT}' END AS status
+FROM topics LEFT JOIN hits USING (query_id) GROUP BY query_id, question""")
+def evidence_gate(spark, sf_dir):
+    asked = v.topics(spark, sf_dir).select("query_id", "question")
+    return answers.evidence_gate(asked, _hits(spark, sf_dir, GATE_FLOOR))
+
+
+_UNITED_SQL = ", united AS (SELECT DISTINCT query_id, source, unnest(page_numbers) AS page FROM hits)"
+
+
+@query(f"""{_hits_sql(FLOOR)} {_UNITED_SQL} SELECT query_id, source, string_agg(page, ', ' ORDER BY page) AS page_list
+FROM united GROUP BY query_id, source""")
+def source_pages(spark, sf_dir):
+    return answers.citations(_hits(spark, sf_dir, FLOOR)).select("query_id", "source", "page_list")
+
+
+@query(f"""{_hits_sql(FLOOR)} {_UNITED_SQL}, islands AS (
+  SELECT query_id, source, page, page - row_number() OVER (PARTITION BY query_id, source ORDER BY page) AS island FROM united),
+spans AS (SELECT query_id, source, min(page) AS first, max(page) AS last FROM islands GROUP BY query_id, source, island)
+SELECT query_id, source, string_agg(CASE WHEN first = last THEN first::VARCHAR ELSE first || '-' || last END, ', ' ORDER BY first)
+  AS page_ranges FROM spans GROUP BY query_id, source""")
+def page_ranges(spark, sf_dir):
+    return answers.citations(_hits(spark, sf_dir, FLOOR)).select("query_id", "source", "page_ranges")
+
+
+# ---- evaluation -----------------------------------------------------------------------
+
+_JUDGED_SQL = f"""{_hits_sql(FLOOR)}, {v.EXPECTED_SQL.strip()}, judged AS (
+  SELECT t.query_id, count(h.chunk_id) AS hits,
+    CASE WHEN count(e.query_id) = 0 THEN 'undefined question'
+      WHEN max(e.expected_source) IS NULL AND count(h.chunk_id) = 0 THEN 'no hits, as expected'
+      WHEN max(e.expected_source) IS NULL THEN 'hits for an unanswerable question'
+      WHEN bool_or(coalesce(h.source = e.expected_source, false)) THEN 'expected source found'
+      ELSE 'expected source not found' END AS reason
+  FROM topics t LEFT JOIN hits h USING (query_id) LEFT JOIN expected e USING (query_id) GROUP BY t.query_id),
+verdicts AS (SELECT *, reason IN ('no hits, as expected', 'expected source found') AS passed FROM judged)"""
+
+
+def _judged(spark, sf_dir):
+    return rag_eval.judge(
+        v.topics(spark, sf_dir), _hits(spark, sf_dir, FLOOR), v.expected_sources(spark, sf_dir)
+    )
+
+
+@query(f"{_JUDGED_SQL} SELECT query_id, hits, reason, passed FROM verdicts")
+def retrieval_eval(spark, sf_dir):
+    return _judged(spark, sf_dir)
+
+
+@query(f"""{_JUDGED_SQL} SELECT count(*) AS total, count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed,
+  round_even(100.0 * count(*) FILTER (passed) / count(*), 4) AS pass_rate FROM verdicts""")
+def retrieval_summary(spark, sf_dir):
+    return rag_eval.pass_summary(_judged(spark, sf_dir)).select("total", "passed", "failed", r("pass_rate", 4))
+
+
+# ---- text to vectors, whole builds ----------------------------------------------------
+
+
+@query()
+def hash_embed(spark, sf_dir):
+    cut = chunks.chunk_documents(v.library_pages(spark, sf_dir), 1000, 200)
+    return embed.HashedTokens().embed(cut.select("source", "chunk_number", "text"), "text").drop("text")
+
+
+@query()
+def chunk_size_sweep(spark, sf_dir):
+    questions, expected = v.asked_passages(spark, sf_dir)
+    return rag_eval.chunk_size_sweep(v.library_pages(spark, sf_dir), questions, expected, embed.HashedTokens())
+
+
+@query()
+def chunk_size_summary(spark, sf_dir):
+    questions, expected = v.asked_passages(spark, sf_dir)
+    swept = rag_eval.chunk_size_sweep(v.library_pages(spark, sf_dir), questions, expected, embed.HashedTokens())
+    return rag_eval.sweep_summary(swept)
+
+
+@query(f"""WITH {v.LIBRARY_SQL} SELECT row_number() OVER (ORDER BY source, chunk_number) AS chunk_id, 'library' AS kb_name, source,
+  array_to_string(page_numbers, ', ') AS pages, text, 384 AS dimension FROM chunks""")
+def kb_build(spark, sf_dir):
+    path = scratch_path(spark, "kb")
+    knowledge.build(v.library_pages(spark, sf_dir), path, "library", embed.HashedTokens())
+    stored = knowledge.load(spark, path, "library")
+    return stored.select(
+        "chunk_id", "kb_name", "source", page_list(c("page_numbers")).alias("pages"), "text",
+        F.size("embedding").alias("dimension"),
+    )
+
+
+@query()
+def ask_knowledge_base(spark, sf_dir):
+    path = scratch_path(spark, "kb")
+    embedder = embed.HashedTokens()
+    knowledge.build(v.library_pages(spark, sf_dir), path, "library", embedder)
+    questions, _ = v.asked_passages(spark, sf_dir)
+    return knowledge.ask(questions, knowledge.load(spark, path, "library"), embedder)

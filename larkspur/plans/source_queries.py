@@ -1,0 +1,92 @@
+"""Readers and sinks as queries: tables are written in a source's format and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from larkspur.functions.text import BOM
+from larkspur.operators.bounds import quoted
+from larkspur.plans import churn
+from larkspur.plans import views as v
+from larkspur.plans.registry import query
+from larkspur.session import scratch_path
+from larkspur.sources import corpus, delimited
+
+c = F.col
+
+
+@query("""SELECT o_orderkey::VARCHAR AS "CustomerID", o_custkey::VARCHAR AS "Tenure Months", o_orderpriority AS "City",
+  CASE WHEN o_orderkey % 43 <> 0 THEN o_orderstatus END AS "Churn Label" FROM orders""")
+def dirty_csv_read(spark, sf_dir):
+    """Orders as files with junk, a byte-order mark, a late header, blank lines and written-out tabs."""
+    label = F.when(c("o_orderkey") % 43 != 0, c("o_orderstatus")).otherwise("NA")
+    tab = F.when(c("o_orderkey") % 5 == 0, "\\t").otherwise("\t")
+    record = F.concat(
+        c("o_orderkey").cast("string"), F.lit("\t "), c("o_custkey").cast("string"), tab, c("o_orderpriority"), F.lit(" \t"), label
+    )
+    record = F.when(c("o_orderkey") % 11 == 0, F.concat(record, F.lit("\n  "))).otherwise(record)
+    rows = v.table(spark, sf_dir, "orders").select(record.alias("value"))
+    top = f"{BOM}exported table\n\n"
+    head = spark.range(1).select(F.lit(top + "CustomerID\\tTenure Months \tCity\tChurn Label").alias("value"))
+    path = scratch_path(spark, "dirty")
+    # one sorted write per file keeps the header above the records of its file
+    lines = head.withColumn("p", F.lit(0)).unionByName(rows.withColumn("p", F.lit(1)))
+    lines.coalesce(1).sortWithinPartitions("p").select("value").write.text(path)
+    out = delimited.read_dirty(spark, path)
+    return out.select(*[quoted(x) for x in ("CustomerID", "Tenure Months", "City", "Churn Label")])
+
+
+@query(f"""WITH {v.ACCOUNTS_SQL} SELECT "CustomerID", "Gender", "Payment Method", "Tenure Months" AS months, "Total Charges" AS total
+FROM accounts""")
+def csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    rows = v.accounts(spark, sf_dir).select("CustomerID", "Gender", "Payment Method", "Tenure Months", "Total Charges")
+    delimited.write_plain(rows, path)
+    schema = "`CustomerID` BIGINT, `Gender` STRING, `Payment Method` STRING, months DOUBLE, total DOUBLE"
+    return delimited.read_plain(spark, path, schema)
+
+
+@query("""SELECT conv_id::VARCHAR AS source, (turn + 1)::INT AS page_number, text, length(text)::INT AS character_count FROM conversations""")
+def corpus_json_read(spark, sf_dir):
+    """Conversations as nested corpus objects, one page each, written and read back."""
+    size = F.length("text")
+    pages = F.array(F.struct((c("turn") + 1).cast("int").alias("page_number"), "text", size.alias("character_count")))
+    document = F.struct(
+        c("conv_id").cast("string").alias("source"), F.lit(1).alias("page_count"),
+        size.cast("long").alias("total_character_count"), pages.alias("pages"),
+    )
+    rows = v.table(spark, sf_dir, "conversations").select(
+        F.lit("library").alias("project"), F.lit("talk").alias("domain"), F.lit(1).alias("document_count"),
+        F.array(document).alias("documents"),
+    )
+    path = scratch_path(spark, "corpus")
+    corpus.write_json_rows(rows, path)
+    return corpus.read_corpus(spark, path, multi_line=False)
+
+
+@query(f"""SELECT trim(line, {v.STRIP_SET}) AS line FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark)
+WHERE trim(line, {v.STRIP_SET}) <> ''""")
+def text_lines_read(spark, sf_dir):
+    path = scratch_path(spark, "lines")
+    padded = F.concat(F.lit("  "), c("text"), F.lit(" \n\n"))
+    v.table(spark, sf_dir, "benchmark").select(padded.alias("value")).write.text(path)
+    return corpus.read_lines(spark, path)
+
+
+@query("""SELECT conv_id::VARCHAR AS source, turn + 1 AS page_number, text FROM conversations""")
+def page_quarantine(spark, sf_dir):
+    """Page lines among damaged ones: the good pages, with the damaged lines set aside."""
+    page = F.to_json(F.struct(c("conv_id").cast("string").alias("source"), (c("turn") + 1).alias("page_number"), "text"))
+    line = F.when(c("turn") == 0, F.concat(page, F.lit('\n{"source": "broken'))).otherwise(page)
+    path = scratch_path(spark, "pages")
+    v.table(spark, sf_dir, "conversations").select(line.alias("value")).write.text(path)
+    good, _ = corpus.split_quarantine(corpus.read_pages(spark, path, "*.txt", bad_rows="quarantine"))
+    return good.select("source", "page_number", "text")
+
+
+@query("SELECT vec_id AS chunk_id, label, len(embedding) AS dimension FROM embeddings")
+def vector_table(spark, sf_dir):
+    path = scratch_path(spark, "vectors")
+    rows = v.table(spark, sf_dir, "embeddings").select(c("vec_id").alias("chunk_id"), "embedding", "label")
+    corpus.write_vectors(rows, path, "label")
+    return corpus.read_vectors(spark, path).select("chunk_id", "label", F.size("embedding").alias("dimension"))

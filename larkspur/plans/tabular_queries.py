@@ -188,9 +188,9 @@ def performance_category(spark, sf_dir):
     return clean_scores(spark, sf_dir).select("row_key", "performance_category")
 
 
-@query(f"""WITH {v.LABELLED_SQL} SELECT "CustomerID", round_even("AvgMonthlySpend", 4) AS avg_monthly_spend FROM featured""")
+@query(f"""WITH {v.LABELLED_SQL} SELECT "CustomerID", "AvgMonthlySpend" AS avg_monthly_spend FROM featured""")
 def avg_monthly_spend(spark, sf_dir):
-    return featured(spark, sf_dir).select("CustomerID", r(c("AvgMonthlySpend"), 4).alias("avg_monthly_spend"))
+    return featured(spark, sf_dir).select("CustomerID", c("AvgMonthlySpend").alias("avg_monthly_spend"))
 
 
 @query(f"""WITH {v.LABELLED_SQL} SELECT "CustomerID", "Tenure Months" AS months, "TenureGroup" AS tenure_group,
