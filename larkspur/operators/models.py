@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -56,7 +56,11 @@ def fit_all(
     """Fit the preprocessing once on the training rows and every estimator on its result."""
     prepared = preprocessor(categorical, numeric).fit(train)
     label = next(iter(estimators.values())).getLabelCol()
-    encoded = prepared.transform(train).select("features", quoted(label).cast("double").alias(label)).persist()
+    encoded = prepared.transform(train).select("features", quoted(label).cast("double").alias(label))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if encoded.rdd.getNumPartitions() < cores:  # a few small files would leave most cores idle
+        encoded = encoded.repartition(cores)
+    encoded = encoded.persist()
     try:
         return {
             name: PipelineModel(stages=[*prepared.stages, estimator.fit(encoded)])
@@ -67,7 +71,8 @@ def fit_all(
 
 
 def fit(train: DataFrame, categorical: list[str], numeric: list[str], estimator) -> PipelineModel:
-    return Pipeline(stages=[*preprocessor(categorical, numeric).getStages(), estimator]).fit(train)
+    """Preprocessing and one estimator as a single saved-and-loaded model."""
+    return fit_all(train, categorical, numeric, {"model": estimator})["model"]
 
 
 def positive_probability(probability: str = "probability"):

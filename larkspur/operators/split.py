@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,21 +11,83 @@ from pyspark.sql import functions as F
 from larkspur.operators.bounds import attach, checked_small, quoted
 from larkspur.operators.ranks import running_totals
 
-HASH_DIGITS = 5
+STEP = 3  # hex digits per narrowing step: 4096 counts per class
+COUNT_ROWS = 200_000  # counts read by the driver in one step
+FINAL_ROWS = 10_000  # hashes of one class read in the last step
 
 
-def _quotas(sizes: DataFrame, fraction: float) -> DataFrame:
+def _shares(sizes: dict, fraction: float) -> dict:
     """Test rows per class: floor of the share, the rest to the largest remainders."""
-    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    total = sum(sizes.values())
     wanted = math.ceil(fraction * total)
-    share = F.col("_n") * F.lit(wanted) / F.lit(max(total, 1))
+    shares = {k: n * wanted / total for k, n in sizes.items()}
+    quotas = {k: math.floor(s) for k, s in shares.items()}
+    short = wanted - sum(quotas.values())
+    order = sorted(sizes, key=lambda k: (quotas[k] - shares[k], -sizes[k], (k is not None, k)))
+    for k in order[:short]:
+        quotas[k] += 1
+    return quotas
+
+
+def _cutoffs(keys: DataFrame, fraction: float) -> dict | None:
+    """Per class the hash of its last test row, or None if there are too many classes.
+
+    Counts per hash prefix show in which prefix the quota is reached; the next step looks
+    only into that prefix, until few enough hashes are left to pick the last one.
+    """
+    rows = keys.groupBy("_class", F.substring("_hash", 1, STEP).alias("_prefix")).count().limit(COUNT_ROWS + 1).collect()
+    if len(rows) > COUNT_ROWS:
+        return None
+    sizes: dict = {}
+    for r in rows:
+        sizes[r["_class"]] = sizes.get(r["_class"], 0) + r["count"]
+    needed = {k: q for k, q in _shares(sizes, fraction).items() if q > 0}
+    length = STEP
+    while needed:
+        prefixes = {}
+        for kind in needed:
+            for r in sorted((r for r in rows if r["_class"] == kind), key=lambda r: r["_prefix"]):
+                if needed[kind] <= r["count"]:
+                    prefixes[kind] = (r["_prefix"], r["count"])
+                    break
+                needed[kind] -= r["count"]
+        cut = reduce(
+            lambda a, b: a | b,
+            [F.col("_class").eqNullSafe(F.lit(k)) & F.col("_hash").startswith(p) for k, (p, _) in prefixes.items()],
+        )
+        inside = keys.where(cut)
+        if max(n for _, n in prefixes.values()) <= FINAL_ROWS or length >= 30:
+            hashes: dict = {}
+            for r in inside.collect():
+                hashes.setdefault(r["_class"], []).append(r["_hash"])
+            return {k: sorted(h)[needed[k] - 1] for k, h in hashes.items()}
+        length += STEP
+        rows = inside.groupBy("_class", F.substring("_hash", 1, length).alias("_prefix")).count().collect()
+    return {}
+
+
+def _cutoff_table(keys: DataFrame, fraction: float) -> DataFrame:
+    """(_class, _cutoff) for any number of classes, without reading them on the driver."""
+    prefixed = keys.withColumn("_prefix", F.substring("_hash", 1, STEP + 2))
+    counts = prefixed.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = counts.groupBy("_class").agg(F.sum("_n").alias("_n"))
+    total = sizes.agg(F.sum("_n")).first()[0]
+    wanted = math.ceil(fraction * total)
+    share = F.col("_n") * F.lit(wanted) / F.lit(total)
     shares = sizes.withColumn("_floor", F.floor(share)).withColumn("_rest", share - F.floor(share))
-    short = wanted - (shares.agg(F.sum("_floor")).first()[0] or 0)
-    order = [F.col("_rest").desc(), F.col("_n").desc(), F.col("_class")]
-    ranked = running_totals(shares, [], order, {"_place": F.lit(1)})
-    return ranked.select(
-        "_class", (F.col("_floor") + F.when(F.col("_place") <= short, 1).otherwise(0)).alias("_quota")
+    short = wanted - shares.agg(F.sum("_floor")).first()[0]
+    ranked = running_totals(shares, [], [F.desc("_rest"), F.desc("_n"), F.col("_class")], {"_place": F.lit(1)})
+    extra = F.when(F.col("_place") <= short, 1).otherwise(0)
+    quotas = checked_small(ranked.select("_class", (F.col("_floor") + extra).alias("_quota")))
+    upto = Window.partitionBy("_class").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    reached = attach(counts.withColumn("_upto", F.sum("_n").over(upto)), quotas, ["_class"])
+    cut = reached.where("_upto >= _quota and _upto - _n < _quota").select(
+        "_class", "_prefix", (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_need")
     )
+    inside = attach(prefixed, checked_small(cut), ["_class", "_prefix"], "inner")
+    place = Window.partitionBy("_class").orderBy("_hash")
+    last = inside.withColumn("_place", F.row_number().over(place)).where("_place = _need")
+    return checked_small(last.select("_class", F.col("_hash").alias("_cutoff")))
 
 
 def hash_split(
@@ -34,34 +97,27 @@ def hash_split(
     seed: int = 42,
     stratify: str | None = None,
     name: str = "is_test",
-    digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Add a boolean column that marks exactly ``ceil(fraction * n)`` rows as test rows.
 
-    Rows are taken in the order of ``md5(seed:id)``; ids must be unique. Counts per hash
-    prefix (at most ``16 ** digits`` per class) give the prefix in which the quota is
-    reached, and only the rows of that prefix are ranked. The result is a comparison of
-    each row with its class's cut-off hash, so the data itself is not shuffled, and the
-    split is the same on every run and in every partitioning. With ``stratify`` the
-    class shares follow the largest-remainder rule; a NULL class is a class of its own.
+    Rows are taken in the order of ``md5(seed:id)``; ids must be unique. The result is a
+    comparison of each row with the cut-off hash of its class, so the data itself is not
+    shuffled, and the split is the same on every run and in every partitioning. Finding
+    the cut-offs reads only ids and classes: two passes for up to some ten million rows
+    per class, one more per factor of 4096. With ``stratify`` the class shares follow the
+    largest-remainder rule; a NULL class is a class of its own.
     """
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), quoted(id_column).cast("string")))
     kind = quoted(stratify) if stratify else F.lit(0)
     keys = df.select(kind.alias("_class"), hashed.alias("_hash"))
-    keys = keys.withColumn("_prefix", F.substring("_hash", 1, digits))
-
-    prefixes = keys.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    quotas = checked_small(_quotas(prefixes.groupBy("_class").agg(F.sum("_n").alias("_n")), fraction))
-    upto = Window.partitionBy("_class").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    reached = attach(prefixes.withColumn("_upto", F.sum("_n").over(upto)), quotas, ["_class"])
-    cut = reached.where("_upto >= _quota and _upto - _n < _quota").select(
-        "_class", "_prefix", (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_need")
-    )
-    inside = attach(keys, checked_small(cut), ["_class", "_prefix"], "inner")
-    place = Window.partitionBy("_class").orderBy("_hash")
-    last = inside.withColumn("_place", F.row_number().over(place)).where("_place = _need")
-    cutoffs = checked_small(last.select("_class", F.col("_hash").alias("_cutoff")))
-
-    marked = attach(df.withColumn("_class", kind).withColumn("_hash", hashed), cutoffs, ["_class"])
+    cutoffs = _cutoffs(keys, fraction)
+    if cutoffs is not None and not stratify:
+        return df.withColumn(name, hashed <= F.lit(cutoffs[0]) if cutoffs else F.lit(False))
+    if cutoffs is None:
+        table = _cutoff_table(keys, fraction)
+    else:
+        schema = f"_class {keys.schema['_class'].dataType.simpleString()}, _cutoff string"
+        table = F.broadcast(df.sparkSession.createDataFrame(list(cutoffs.items()), schema))
+    marked = attach(df.withColumn("_class", kind).withColumn("_hash", hashed), table, ["_class"])
     flag = F.coalesce(F.col("_hash") <= F.col("_cutoff"), F.lit(False))
     return marked.select(*[quoted(c) for c in df.columns], flag.alias(name))

@@ -13,6 +13,7 @@ from larkspur.session import scratch_path
 from larkspur.sources import corpus, delimited
 
 c = F.col
+FILE_RECORDS = 1_000_000
 
 
 @query("""SELECT o_orderkey::VARCHAR AS "CustomerID", o_custkey::VARCHAR AS "Tenure Months", o_orderpriority AS "City",
@@ -25,13 +26,13 @@ def dirty_csv_read(spark, sf_dir):
         c("o_orderkey").cast("string"), F.lit("\t "), c("o_custkey").cast("string"), tab, c("o_orderpriority"), F.lit(" \t"), label
     )
     record = F.when(c("o_orderkey") % 11 == 0, F.concat(record, F.lit("\n  "))).otherwise(record)
-    rows = v.table(spark, sf_dir, "orders").select(record.alias("value"))
-    top = f"{BOM}exported table\n\n"
-    head = spark.range(1).select(F.lit(top + "CustomerID\\tTenure Months \tCity\tChurn Label").alias("value"))
+    file = F.floor(c("o_orderkey") / FILE_RECORDS).alias("file")
+    rows = v.table(spark, sf_dir, "orders").select(file, F.lit(1).alias("part"), record.alias("value"))
+    top = f"{BOM}exported table\n\n" + "CustomerID\\tTenure Months \tCity\tChurn Label"
+    heads = rows.select("file").distinct().select("file", F.lit(0).alias("part"), F.lit(top).alias("value"))
     path = scratch_path(spark, "dirty")
-    # one sorted write per file keeps the header above the records of its file
-    lines = head.withColumn("p", F.lit(0)).unionByName(rows.withColumn("p", F.lit(1)))
-    lines.coalesce(1).sortWithinPartitions("p").select("value").write.text(path)
+    lines = heads.unionByName(rows).repartition("file").sortWithinPartitions("file", "part")
+    lines.drop("part").write.partitionBy("file").text(path)
     out = delimited.read_dirty(spark, path)
     return out.select(*[quoted(x) for x in ("CustomerID", "Tenure Months", "City", "Churn Label")])
 

@@ -329,9 +329,9 @@ def expected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def asked_passages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(questions, expected sources): benchmark passages and the sources that hold a line of them."""
     items = table(spark, sf_dir, "benchmark")
-    line = F.explode(F.split("text", "\n"))
-    asked = items.select("item_id", F.trim(line).alias("line")).where("line <> ''")
-    held = table(spark, sf_dir, "documents").select("source", F.trim(line).alias("line")).where("line <> ''")
+    line = F.explode(F.transform(F.split("text", "\n"), lambda part: F.trim(part))).alias("line")
+    asked = items.select("item_id", line).where("line <> ''").distinct()
+    held = table(spark, sf_dir, "documents").select("source", line).where("line <> ''").distinct()
     found = asked.join(held, "line").groupBy("item_id").agg(F.collect_set("source").alias("found"))
     questions = items.select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     expected = items.join(found, "item_id", "left").select(
