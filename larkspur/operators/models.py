@@ -53,14 +53,17 @@ def forest_classifier(label: str, trees: int = TREES, depth: int = DEEPEST) -> R
 def fit_all(
     train: DataFrame, categorical: list[str], numeric: list[str], estimators: dict[str, object]
 ) -> dict[str, PipelineModel]:
-    """Fit the preprocessing once on the training rows and every estimator on its result."""
-    prepared = preprocessor(categorical, numeric).fit(train)
+    """Fit the preprocessing once on the training rows and every estimator on its result.
+
+    The preprocessing reads the rows several times and the estimators read the vectors
+    many times, so both are kept (in memory, else on disk) while they are needed.
+    """
     label = next(iter(estimators.values())).getLabelCol()
-    encoded = prepared.transform(train).select("features", quoted(label).cast("double").alias(label))
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    if encoded.rdd.getNumPartitions() < cores:  # a few small files would leave most cores idle
-        encoded = encoded.repartition(cores)
-    encoded = encoded.persist()
+    rows = train.select(*[quoted(c) for c in dict.fromkeys([*categorical, *numeric, label])]).persist()
+    prepared = preprocessor(categorical, numeric).fit(rows)
+    encoded = prepared.transform(rows).select("features", quoted(label).cast("double").alias(label)).persist()
+    encoded.count()
+    rows.unpersist()
     try:
         return {
             name: PipelineModel(stages=[*prepared.stages, estimator.fit(encoded)])

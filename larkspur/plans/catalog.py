@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from larkspur.plans import learning_queries, retrieval_queries, source_queries, tabular_queries  # noqa: F401
+from larkspur.plans import (  # noqa: F401
+    learning_queries,
+    retrieval_queries,
+    source_queries,
+    stream_queries,
+    tabular_queries,
+)
 from larkspur.plans.registry import BUILDERS, ORACLES, Build
 
 

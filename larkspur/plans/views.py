@@ -121,6 +121,10 @@ accounts AS (
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their customers as accounts with the 21 columns of the churn pipeline."""
+    return account_columns(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+
+
+def account_columns(orders: DataFrame, customer: DataFrame) -> DataFrame:
     c = F.col
 
     def bit(i: int, yes: str, no: str):
@@ -140,9 +144,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(" yes ")
     )
     limit = F.when(c("o_orderstatus") == "F", 48).otherwise(16)
-    orders = table(spark, sf_dir, "orders").withColumn("months", months)
-    customer = table(spark, sf_dir, "customer")
-    return orders.join(customer, c("o_custkey") == c("c_custkey")).select(
+    return orders.withColumn("months", months).join(customer, c("o_custkey") == c("c_custkey")).select(
         c("o_orderkey").alias("CustomerID"),
         F.when(c("o_custkey") % 2 == 1, "Male").otherwise("Female").alias("Gender"),
         F.when(c("c_acctbal") > 5000, "Yes").otherwise("No").alias("Senior Citizen"),

@@ -24,12 +24,12 @@ def read_pages(spark: SparkSession, path: str, pattern: str = "*.json", bad_rows
     ``bad_rows``: ``fail`` stops at a damaged line; ``quarantine`` keeps it in the column
     ``_corrupt_record`` (see ``split_quarantine``).
     """
-    reader = spark.read.option("pathGlobFilter", pattern)
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).where("trim(value) <> ''")
     if bad_rows == "fail":
-        rows = reader.schema(PAGE_SCHEMA).option("mode", "FAILFAST").json(path)
+        page = F.from_json("value", PAGE_SCHEMA, {"mode": "FAILFAST"})
     else:
-        rows = reader.schema(PAGE_SCHEMA + ", _corrupt_record STRING").option("mode", "PERMISSIVE").json(path)
-    return rows.select("*", F.col("_metadata.file_name").alias("file_name"))
+        page = F.from_json("value", PAGE_SCHEMA + ", _corrupt_record STRING", {"mode": "PERMISSIVE"})
+    return lines.select(F.col("_metadata.file_name").alias("file_name"), page.alias("page")).select("page.*", "file_name")
 
 
 def split_quarantine(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,10 +79,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("line <> ''")
 
 
-def write_vectors(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Vectors with their metadata as one Parquet table."""
+def write_vectors(df: DataFrame, path: str, *partitions: str) -> None:
+    """Vectors with their metadata as one Parquet table; only the partitions at hand are replaced."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
