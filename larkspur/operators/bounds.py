@@ -8,24 +8,20 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 20_000
 
 
-def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Return ``df`` broadcast if it has at most ``max_rows`` rows, else as it is.
+def local_copy(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
+    """``df`` as a local relation if it has at most ``max_rows`` rows, else None.
 
-    Meant for narrow look-up tables. The check reads at most ``max_rows + 1`` rows, and
-    a table that passes is kept as a local relation, so it is computed once.
+    Meant for narrow tables of results. Reads at most ``max_rows + 1`` rows; a table that
+    passes is not computed again by what is built on it.
     """
     rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= max_rows else None
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality of all ``keys`` of two frames."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[f"`{key}`"].eqNullSafe(right[f"`{key}`"])
-    return condition
+def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Return ``df`` broadcast if it is measured to be small, else as it is."""
+    copy = local_copy(df, max_rows)
+    return df if copy is None else F.broadcast(copy)
 
 
 def attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

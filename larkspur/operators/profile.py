@@ -11,6 +11,16 @@ from larkspur.operators.ranks import running_totals
 from larkspur.operators.summaries import summarize, tall
 
 
+def shape(df: DataFrame) -> tuple[int, int]:
+    """(rows, columns)."""
+    return df.count(), len(df.columns)
+
+
+def preview(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
+    """The first rows in a given order."""
+    return df.orderBy(*[quoted(c) for c in order]).limit(rows)
+
+
 def quality_report(df: DataFrame, approximate: bool = False) -> DataFrame:
     """(column, data_type, missing_values, unique_values); missing is no value.
 
@@ -177,15 +187,10 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     if low == high:
         low, high = low - 0.5, high + 0.5
     number = F.least(F.width_bucket(x, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins).cast("long"))
-    counts = df.where(x.isNotNull()).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = dict(df.groupBy(number.alias("bin")).count().collect())  # at most one row per bin, and one for NULL
     width = (high - low) / bins
-    edges = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
-    return edges.join(counts, "bin", "left").select(
-        "bin",
-        (F.lit(low) + (F.col("bin") - 1) * F.lit(width)).alias("low"),
-        (F.lit(low) + F.col("bin") * F.lit(width)).alias("high"),
-        F.coalesce("count", F.lit(0)).alias("count"),
-    )
+    rows = [(b, low + (b - 1) * width, low + b * width, counts.get(b, 0)) for b in range(1, bins + 1)]
+    return df.sparkSession.createDataFrame(rows, "bin bigint, low double, high double, count bigint")
 
 
 def boxplot(df: DataFrame, key: str, column: str, reach: float = 1.5) -> DataFrame:

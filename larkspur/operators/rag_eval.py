@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.operators.bounds import checked_small
 from larkspur.operators.chunks import SWEEP, chunk_pages
 from larkspur.operators.embed import Embedder
 from larkspur.operators.search import MIN_SIMILARITY, TOP_K, search
@@ -69,32 +68,39 @@ def chunk_size_sweep(
     An undefined question counts as unanswerable here.
     """
     chunks = durable(chunk_pages(pages, configs))  # read by the search and by the counts
-    named = chunks.withColumn("chunk_id", F.xxhash64("source", "chunk_number"))  # orders ties only
+    named = chunks.select(
+        "source", "text",
+        F.xxhash64("source", "chunk_number").alias("chunk_id"),  # orders ties only
+        F.concat_ws("/", "chunk_size", "chunk_overlap").alias("setting"),
+    )
     asked = embedder.embed(questions, "question", "embedding")
     stored = embedder.embed(named, "text", "embedding")
-    hits = search(asked, stored, k, floor, within="chunk_size", carry=["source"])
+    hits = search(asked, stored, k, floor, within="setting", carry=["source"])
 
-    found = hits.groupBy("chunk_size", "query_id").agg(
+    found = hits.groupBy("setting", "query_id").agg(
         F.count(F.lit(1)).alias("hits"),
         F.collect_set("source").alias("sources"),
         F.max_by("source", F.struct(F.col("similarity_score"), -F.col("rank"))).alias("top_source"),
         F.max("similarity_score").alias("top_score"),
     )
-    settings = F.explode(F.array(*[F.lit(size) for size, _ in configs])).alias("chunk_size")
+    settings = F.explode(F.array(*[F.lit(f"{size}/{overlap}") for size, overlap in configs])).alias("setting")
     every = questions.select("query_id", settings).join(expected.select("query_id", "expected_sources"), "query_id", "left")
-    rows = every.join(found, ["chunk_size", "query_id"], "left")
+    rows = every.join(found, ["setting", "query_id"], "left")
     wanted = F.coalesce("expected_sources", F.array().cast("array<string>"))
     matched = F.coalesce(F.arrays_overlap(wanted, F.col("sources")), F.lit(False))
     passed = F.when(F.size(wanted) == 0, F.col("hits").isNull()).otherwise(matched)
-    counts = checked_small(chunks.groupBy("chunk_size").agg(F.count(F.lit(1)).alias("chunks")))
-    return rows.select(
-        "chunk_size", "query_id", F.coalesce("hits", F.lit(0)).alias("hits"), passed.alias("passed"), "top_source", "top_score"
-    ).join(counts, "chunk_size", "left")
+    counts = named.groupBy("setting").agg(F.count(F.lit(1)).alias("chunks"))  # one row per setting
+    parts = F.split("setting", "/")
+    return rows.join(F.broadcast(counts), "setting", "left").select(
+        parts[0].cast("int").alias("chunk_size"), parts[1].cast("int").alias("chunk_overlap"),
+        F.coalesce("chunks", F.lit(0)).alias("chunks"), "query_id", F.coalesce("hits", F.lit(0)).alias("hits"),
+        passed.alias("passed"), "top_source", "top_score",
+    )
 
 
 def sweep_summary(swept: DataFrame) -> DataFrame:
     """chunks and pass rate per setting."""
-    return pass_summary(swept, ["chunk_size", "chunks"])
+    return pass_summary(swept, ["chunk_size", "chunk_overlap", "chunks"])
 
 
 def rubric_scores(scores: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from larkspur.operators.ranks import running_totals
 STEP = 3  # hex digits per narrowing step: 4096 counts per class
 COUNT_ROWS = 200_000  # counts read by the driver in one step
 FINAL_ROWS = 10_000  # hashes of one class read in the last step
+HASH_LENGTH = 32
 
 
 def _shares(sizes: dict, fraction: float) -> dict:
@@ -55,8 +56,10 @@ def _cutoffs(keys: DataFrame, fraction: float) -> dict | None:
             lambda a, b: a | b,
             [F.col("_class").eqNullSafe(F.lit(k)) & F.col("_hash").startswith(p) for k, (p, _) in prefixes.items()],
         )
+        if length >= HASH_LENGTH:  # only equal ids are left together
+            return {k: p for k, (p, _) in prefixes.items()}
         inside = keys.where(cut)
-        if max(n for _, n in prefixes.values()) <= FINAL_ROWS or length >= 30:
+        if max(n for _, n in prefixes.values()) <= FINAL_ROWS:
             hashes: dict = {}
             for r in inside.collect():
                 hashes.setdefault(r["_class"], []).append(r["_hash"])

@@ -59,9 +59,9 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("math score"),
         F.when(gone | (c("l_partkey") % 79 == 0), nothing)
         .when(c("l_partkey") % 83 == 0, -1.0)
-        .otherwise(F.round(c("l_discount") * 1000))
+        .otherwise(F.rint(c("l_discount") * 1000))
         .alias("reading score"),
-        F.when(gone | (c("l_suppkey") % 31 == 0), nothing).otherwise(F.round(c("l_tax") * 1000)).alias("writing score"),
+        F.when(gone | (c("l_suppkey") % 31 == 0), nothing).otherwise(F.rint(c("l_tax") * 1000)).alias("writing score"),
     )
 
 

@@ -19,12 +19,14 @@ PAGE_SCHEMA = "source STRING, page_number BIGINT, text STRING"
 
 
 def read_pages(spark: SparkSession, path: str, pattern: str = "*.json", bad_rows: str = "fail") -> DataFrame:
-    """Page rows from JSON lines, with the file they came from.
+    """Page rows from JSON lines, with the file they came from; no pages at all is an error.
 
     ``bad_rows``: ``fail`` stops at a damaged line; ``quarantine`` keeps it in the column
     ``_corrupt_record`` (see ``split_quarantine``).
     """
     lines = spark.read.option("pathGlobFilter", pattern).text(path).where("trim(value) <> ''")
+    if lines.isEmpty():
+        raise FileNotFoundError(f"no pages in files like {pattern} below {path}")
     if bad_rows == "fail":
         page = F.from_json("value", PAGE_SCHEMA, {"mode": "FAILFAST"})
     else:

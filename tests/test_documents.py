@@ -144,16 +144,16 @@ def test_sweep_against_separate_searches(spark):
         [(1, "alpha beta gamma"), (2, "delta epsilon"), (3, "nothing of it"), (4, "zeta eta")], "query_id int, question string"
     )
     expected = spark.createDataFrame([(1, ["s1"]), (2, ["s3"]), (3, [])], "query_id int, expected_sources array<string>")
-    configs = [(100, 20), (300, 50)]
+    configs = [(100, 20), (300, 50), (300, 10)]
     swept = rag_eval.chunk_size_sweep(pages, questions, expected, embed.HashedTokens(), configs).collect()
-    assert len(swept) == 8
-    counts = {size: sum(len(chunk_by_hand([(1, t)], size, o)) for t in texts.values()) for size, o in configs}
+    assert len(swept) == 12
+    counts = {(s, o): sum(len(chunk_by_hand([(1, t)], s, o)) for t in texts.values()) for s, o in configs}
     for r in swept:
-        assert r["chunks"] == counts[r["chunk_size"]]
+        assert r["chunks"] == counts[r["chunk_size"], r["chunk_overlap"]]
         assert r["passed"] == {1: True, 2: False, 3: True, 4: False}[r["query_id"]]
         assert r["top_source"] == {1: "s1", 2: "s2", 3: None, 4: "s3"}[r["query_id"]]
-    total = {r["chunk_size"]: (r["passed"], r["total"]) for r in rag_eval.sweep_summary(spark.createDataFrame(swept)).collect()}
-    assert total == {100: (2, 4), 300: (2, 4)}
+    total = {(r["chunk_size"], r["chunk_overlap"]): (r["passed"], r["total"]) for r in rag_eval.sweep_summary(spark.createDataFrame(swept)).collect()}
+    assert total == dict.fromkeys(configs, (2, 4))
 
 
 def test_knowledge_base_versions(spark):
@@ -188,3 +188,5 @@ def test_damaged_pages(spark, tmp_path):
     assert good.count() == 1 and bad.select("file_name").first()[0] == "a.json"
     with pytest.raises(Exception):
         corpus.read_pages(spark, str(tmp_path)).collect()
+    with pytest.raises(FileNotFoundError):
+        corpus.read_pages(spark, str(tmp_path), "*.pdf.json")

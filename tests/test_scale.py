@@ -33,8 +33,8 @@ def test_running_totals_across_partitions(skewed):
 
 @pytest.mark.parametrize("block", [1, 7, 4096])
 def test_block_running_totals(skewed, block):
-    got = block_running_totals(skewed.where("k is not null"), ["k"], "i", {"n": F.lit(1)}, block)
-    want = running_totals(skewed.where("k is not null"), ["k"], [F.col("i")], {"n": F.lit(1)})
+    got = block_running_totals(skewed, ["k"], "i", {"n": F.lit(1)}, block)
+    want = running_totals(skewed, ["k"], [F.col("i")], {"n": F.lit(1)})
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
@@ -78,6 +78,12 @@ def test_split_with_many_classes_agrees(skewed, monkeypatch):
     assert got == want
 
 
+def test_split_of_equal_ids_does_not_read_them(spark, monkeypatch):
+    monkeypatch.setattr(split, "FINAL_ROWS", 5)
+    same = spark.createDataFrame([(1,)] * 50, "i long")
+    assert split.hash_split(same, "i").where("is_test").count() == 50
+
+
 def test_split_of_nothing(spark):
     empty = spark.createDataFrame([], "i long, k string")
     assert split.hash_split(empty, "i").count() == 0
