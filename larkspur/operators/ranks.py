@@ -87,7 +87,7 @@ def block_running_totals(
     plain_keys = [f"_key_{i}" for i in range(len(keys))] + [f"_null_{i}" for i in range(len(keys))]
     values = [F.coalesce(quoted(k).cast("string"), F.lit("")) for k in keys] + [quoted(k).isNull() for k in keys]
     blocked = df.select("*", *[value.alias(name) for value, name in zip(values, plain_keys)])
-    blocked = blocked.withColumn("_block", F.floor(quoted(position) / F.lit(block)))
+    blocked = blocked.withColumn("_block", quoted(position) - quoted(position) % F.lit(block))
     sums = blocked.groupBy(*plain_keys, "_block").agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()])
     before = Window.partitionBy(*plain_keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select(

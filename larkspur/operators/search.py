@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 TOP_K = 5
 MIN_SIMILARITY = 0.35
 
+QUERY_ROWS = 10_000  # query vectors the driver reads at most
 QUERY_VALUES = 4_000_000  # numbers in a broadcast query matrix: 32 MB of doubles
 CORPUS_BLOCK = 50_000  # vectors of one corpus block in the grid form
 
@@ -65,8 +66,8 @@ def search(
     per query, so what is shuffled does not grow with the corpus beyond k rows per query
     and batch, and pairs are never rows.
 
-    Query vectors are broadcast as one matrix if their measured size is within
-    ``query_values``. More queries are met in a grid: blocks of queries against blocks
+    Query vectors are broadcast as one matrix if there are at most ``QUERY_ROWS`` of them
+    and their numbers are within ``query_values``. More queries are met in a grid: blocks of queries against blocks
     of the corpus, each pair of blocks in one task, every pair of vectors exactly once.
     """
     kept = [*([within] if within else []), chunk_id, *carry]
@@ -77,11 +78,12 @@ def search(
         + [corpus.schema[c] for c in kept]
         + [T.StructField("similarity_score", T.DoubleType())]
     )
-    size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vector)), F.lit(0))).first()
-    if size[0] * size[1] <= query_values:
-        found = _against_matrix(wanted, stored, k, floor, query_id, chunk_id, vector, within, kept, schema)
+    table = wanted.limit(QUERY_ROWS + 1).toArrow()
+    width = len(table.column(vector)[0]) if len(table) else 0
+    if len(table) <= QUERY_ROWS and len(table) * width <= query_values:
+        found = _against_matrix(table, stored, k, floor, query_id, chunk_id, vector, within, kept, schema)
     else:
-        blocks = math.ceil(size[0] / max(1, query_values // size[1]))
+        blocks = math.ceil(wanted.count() / max(1, query_values // width))
         found = _against_grid(wanted, stored, k, floor, query_id, chunk_id, vector, within, kept, schema, blocks)
     groups = [within] if within else []
     order = Window.partitionBy(query_id, *groups).orderBy(F.desc("similarity_score"), chunk_id)
@@ -101,8 +103,7 @@ def _block_best(rows, ids, kinds, matrix, k, floor) -> tuple[np.ndarray, np.ndar
     return np.concatenate(asked), np.concatenate(at), np.concatenate(values)
 
 
-def _against_matrix(wanted, stored, k, floor, query_id, chunk_id, vector, within, kept, schema) -> DataFrame:
-    table = wanted.toArrow().combine_chunks()
+def _against_matrix(table, stored, k, floor, query_id, chunk_id, vector, within, kept, schema) -> DataFrame:
     names = table.column(query_id).combine_chunks()
     matrix = _matrix(table.column(vector)) if len(names) else np.zeros((0, 0))
     shared = stored.sparkSession.sparkContext.broadcast((names, matrix))
