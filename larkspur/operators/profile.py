@@ -186,7 +186,8 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         low, high = 0.0, 1.0
     if low == high:
         low, high = low - 0.5, high + 0.5
-    number = F.least(F.width_bucket(x, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins).cast("long"))
+    bucket = F.width_bucket(x, F.lit(low), F.lit(high), F.lit(bins))
+    number = F.when(bucket > bins, F.lit(bins).cast("long")).otherwise(bucket)  # the maximum is in the last bin
     counts = dict(df.groupBy(number.alias("bin")).count().collect())  # at most one row per bin, and one for NULL
     width = (high - low) / bins
     rows = [(b, low + (b - 1) * width, low + b * width, counts.get(b, 0)) for b in range(1, bins + 1)]
