@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from larkspur.llm.text import as_bytes
 from larkspur.session import scratch_path
@@ -208,7 +209,7 @@ def combine_crc(first: int, second: int, second_bytes: int) -> int:
     return _times(shift, first) ^ second
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _joined_crc(pieces: pd.Series) -> pd.Series:
     def one(rows) -> int:
         rows = sorted(rows, key=lambda r: r["block"])
