@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import mixing, planes, suffix
+from larkspur.llm import mixing, planes, repeats, suffix
 from larkspur.llm.text import table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op10_decontamination": suffix.ORACLE}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op7_repeats": repeats.ORACLE, "op10_decontamination": suffix.ORACLE}
 
 
 def register(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -31,3 +31,8 @@ def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
