@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import mixing, planes, repeats, suffix
+from larkspur.llm import jaccard, mixing, planes, repeats, suffix
 from larkspur.llm.text import table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
