@@ -23,6 +23,7 @@ empty tables. Extra columns are not stored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ BLOCK_IDS = 1 << 16
 LEVEL = 3
 END_ID = 2
 MEMO_WORDS = 1 << 18
-BATCH_IDS = 1 << 20
+TEXT_BYTES = 1 << 22
 
 RECORDS = "kind int, shard int, row long, doc_id long, offset long, n_ids long, planes array<binary>"
 
@@ -51,31 +52,90 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder(dict):
+class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never merges across it, so a text is encoded word
-    by word, and a word that was seen before is looked up. ``MEMO_WORDS`` bounds the look-up
-    table, not what is encoded.
+    The tokenizer drops white space and never merges across it, nor between a run of letters
+    and the marks that follow. So the distinct words of some texts are encoded once, letters
+    apart from final marks, many in one call; the ids of a lower-cased word are remembered in
+    two generations of at most ``MEMO_WORDS``, which bounds memory and not what is encoded.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        ids = np.asarray(self.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
-
-    def ids(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, as_bytes(text).split()))
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode
+        vocabulary = tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _one(self, word: bytes) -> bytes:
+        return np.asarray(self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _many(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters, each a single run for the tokenizer, from one call."""
+        ids = np.asarray(self.encode(b" ".join(words).decode(), add_special_tokens=False).ids, dtype="<u4")
+        stops = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+        if len(stops) != len(words):
+            return [self._one(w) for w in words]
+        flat, out, start = ids.tobytes(), [], 0
+        for stop in stops.tolist():
+            out.append(flat[start:stop])
+            start = stop
+        return out
+
+    def _known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of each of the words, from memory or encoded now."""
+        found, runs, others = {}, [], []
+        for word in words:
+            ids = self.young.get(word) or self.old.get(word)
+            if ids is not None:
+                found[word] = ids
+            elif _LETTERS(word) and word.decode().isalpha():
+                runs.append(word)
+            else:
+                others.append(word)
+        for begin in range(0, len(runs), 1024):
+            some = runs[begin : begin + 1024]
+            found.update(zip(some, self._many(some)))
+        found.update((word, self._one(word)) for word in others)
+        self.young.update(found)
+        if len(self.young) > MEMO_WORDS:
+            self.old, self.young = self.young, {}
+        return found
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        lists = [as_bytes(text).split() for text in texts]
+        parts, needed = {}, set()
+        for word in set().union(*lists):
+            match = _WORD_AND_MARKS(word)
+            if match and (word.isascii() or match[1].decode().isalpha()):
+                parts[word] = pair = match[1].lower(), match[2]
+                needed.update(pair)
+            else:
+                parts[word] = (word, b"")
+                needed.add(word)
+        needed.discard(b"")
+        known = self._known(needed)
+        known[b""] = b""
+        ids = {word: known[first] + known[second] for word, (first, second) in parts.items()}
+        return [b"".join(map(ids.__getitem__, words)) for words in lists]
+
+
+_WORD_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?]*)").fullmatch
+_LETTERS = re.compile(rb"[a-z\x80-\xff]+").fullmatch
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker, kept from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def to_planes(ids: bytes, bits: bool = False, level: int = LEVEL) -> list[bytes]:
@@ -102,12 +162,25 @@ def from_planes(planes: list[bytes], n_ids: int) -> bytes:
     return np.packbits(np.ascontiguousarray(flat), axis=1, bitorder="little").tobytes()
 
 
+def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of at most TEXT_BYTES of text; a longer text is a slice of its own."""
+    import pyarrow.compute as pc
+
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < batch.num_rows:
+        before = sizes[begin - 1] if begin else 0
+        stop = max(int(np.searchsorted(sizes, before + TEXT_BYTES, side="right")), begin + 1)
+        yield batch.slice(begin, stop - begin)
+        begin = stop
+
+
 def _encode_shard(tokenizer: str, end_id: int, block_ids: int, bits: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encoder, end = Encoder(tokenizer), int(end_id).to_bytes(4, "little")
+        encode, end = encoder(tokenizer).ids, int(end_id).to_bytes(4, "little")
         schema = pa.schema(
             [("kind", pa.int32()), ("shard", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()),
              ("offset", pa.int64()), ("n_ids", pa.int64()), ("planes", pa.list_(pa.binary()))]
@@ -126,17 +199,15 @@ def _encode_shard(tokenizer: str, end_id: int, block_ids: int, bits: bool):
             return made
 
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = encoder.ids(text.as_py()) + end
-                n = len(ids) // 4
-                out.append({"kind": 0, "shard": shard, "row": row, "doc_id": doc_id, "offset": offset, "n_ids": n})
-                pending += ids
-                row, offset = row + 1, offset + n
-                if len(pending) >= 4 * BATCH_IDS:
-                    yield pa.RecordBatch.from_pylist(out + cut(False), schema)
-                    out = []
-            yield pa.RecordBatch.from_pylist(out + cut(False), schema)
+            for rows in _bounded(batch):
+                out = []
+                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text").to_pylist())):
+                    ids += end
+                    n = len(ids) // 4
+                    out.append({"kind": 0, "shard": shard, "row": row, "doc_id": doc_id, "offset": offset, "n_ids": n})
+                    pending += ids
+                    row, offset = row + 1, offset + n
+                yield pa.RecordBatch.from_pylist(out + cut(False), schema)
         if pending:
             yield pa.RecordBatch.from_pylist(cut(True), schema)
 
