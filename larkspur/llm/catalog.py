@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import jaccard, mixing, planes, repeats, suffix
+from larkspur.llm import jaccard, mixing, planes, repeats, rules, suffix, toxicity
 from larkspur.llm.text import table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,13 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
