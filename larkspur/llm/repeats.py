@@ -43,8 +43,8 @@ ROWS = 2
 MIN_BITS = 16
 MAX_BITS = 29
 SLICE_BITS = 22
-MEMO_WORDS = 1 << 19
-BATCH_WORDS = 1 << 20
+MEMO_WORDS = 1 << 17
+BATCH_WORDS = 1 << 19
 SLICE_WINDOWS = 1 << 21
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -141,6 +141,22 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
 
 
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Byte planes of the numbers, compressed; sorted or small numbers leave little."""
+    import zstandard
+
+    planes = np.ascontiguousarray(np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.dtype.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _restored(blob: bytes, kind: str) -> np.ndarray:
+    import zstandard
+
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(blob)), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
+
+
 def _runs(values: np.ndarray) -> list[tuple[int, int]]:
     """Borders of the runs of equal values."""
     if not len(values):
@@ -217,14 +233,14 @@ def sketch(known: DataFrame, n_windows: int, window: int = WINDOW) -> tuple[int,
     return bits, [bytes(b) for b in bitmaps]
 
 
-_MESSAGE = "part int, piece long, kind int, prints binary, ids binary, rows binary, places binary"
+_MESSAGE = "part int, piece long, kind int, prints binary, more binary, ids binary, rows binary, places binary"
 _ROWS, _REPEATS, _ASKED = 0, 1, 2
 
 
 def _candidates(shared, window: int, slices: int):
     """Per piece: its documents, the repeats found inside, and per slice what must be asked."""
     schema = pa.schema(
-        [("part", pa.int32()), ("piece", pa.int64()), ("kind", pa.int32()), ("prints", pa.binary()), ("ids", pa.binary()),
+        [("part", pa.int32()), ("piece", pa.int64()), ("kind", pa.int32()), ("prints", pa.binary()), ("more", pa.binary()), ("ids", pa.binary()),
          ("rows", pa.binary()), ("places", pa.binary())]
     )
 
@@ -244,16 +260,19 @@ def _candidates(shared, window: int, slices: int):
             repeat = _above_first(prints, doc)
             common = {"piece": number, "part": number % slices}
             out = [common | {"kind": _ROWS, "ids": piece.ids.tobytes(), "rows": piece.ties.tobytes()}]
-            out.append(common | {"kind": _REPEATS, "rows": row[repeat].astype("<u4").tobytes(), "places": place[repeat].astype("<u4").tobytes()})
-            prints, doc, row, place = prints[~repeat], doc[~repeat], row[~repeat], place[~repeat]
+            inside = np.lexsort((place[repeat], row[repeat]))
+            out.append(
+                common | {"kind": _REPEATS, "rows": _squeezed(row[repeat][inside].astype("<u4")), "places": _squeezed(place[repeat][inside].astype("<u4"))}
+            )
+            prints, row, place = prints[~repeat], row[~repeat], place[~repeat]
             part = (prints[:, 1] % np.uint64(slices)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            prints, doc, row, place, part = prints[order], doc[order], row[order], place[order], part[order]
+            prints, row, place, part = prints[order], row[order], place[order], part[order]
             for begin, end in _runs(part):
                 own = slice(begin, end)
                 out.append(
-                    {"part": int(part[begin]), "piece": number, "kind": _ASKED, "prints": prints[own].tobytes(), "ids": doc[own].tobytes(),
-                     "rows": row[own].astype("<u4").tobytes(), "places": place[own].astype("<u4").tobytes()}
+                    {"part": int(part[begin]), "piece": number, "kind": _ASKED, "prints": _squeezed(prints[own, 0]), "more": prints[own, 1].tobytes(),
+                     "ids": piece.ids.tobytes(), "rows": _squeezed(row[own].astype("<u4")), "places": _squeezed(place[own].astype("<u4"))}
                 )
             yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -277,27 +296,33 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, asked = None, []
 
     def settled() -> pa.RecordBatch:
-        prints = np.frombuffer(b"".join(a[1] for a in asked), dtype="<u8").reshape(-1, 2)
-        doc, row, place = (np.frombuffer(b"".join(a[i] for a in asked), dtype=t) for i, t in ((2, "<i8"), (3, "<u4"), (4, "<u4")))
-        source = np.repeat(np.arange(len(asked)), [len(a[2]) // 8 for a in asked])
+        pieces, blobs = [a[0] for a in asked], [a[1:] for a in asked]
+        rows = [_restored(b[3], "<u4") for b in blobs]
+        prints = np.stack(
+            [np.concatenate([_restored(b[0], "<u8") for b in blobs]), np.concatenate([np.frombuffer(b[1], "<u8") for b in blobs])], axis=1
+        )
+        doc = np.concatenate([np.frombuffer(b[2], "<i8")[r] for b, r in zip(blobs, rows)])
+        place = np.concatenate([_restored(b[4], "<u4") for b in blobs])
+        source, row = np.repeat(np.arange(len(asked)), [len(r) for r in rows]), np.concatenate(rows)
         order = np.lexsort((doc, prints[:, 1], prints[:, 0]))
-        chosen = np.sort(order[_above_first(prints[order], doc[order])])
+        chosen = order[_above_first(prints[order], doc[order])]
+        chosen = chosen[np.lexsort((place[chosen], row[chosen], source[chosen]))]
         out = []
         for begin, end in _runs(source[chosen]):
             own = chosen[begin:end]
-            out.append({"piece": asked[int(source[own[0]])][0], "kind": _REPEATS, "rows": row[own].tobytes(), "places": place[own].tobytes()})
+            out.append({"piece": pieces[int(source[own[0]])], "kind": _REPEATS, "rows": _squeezed(row[own]), "places": _squeezed(place[own])})
         return pa.RecordBatch.from_pylist(out, schema)
 
     for batch in batches:
-        names = ("part", "piece", "kind", "prints", "ids", "rows", "places")
+        names = ("part", "piece", "kind", "prints", "more", "ids", "rows", "places")
         for values in zip(*(batch.column(n) for n in names)):
-            now, piece, kind, prints, ids, rows, places = (v.as_py() for v in values)
+            now, piece, kind, prints, more, ids, rows, places = (v.as_py() for v in values)
             if now != part:
                 if asked:
                     yield settled()
                 part, asked = now, []
             if kind == _ASKED:
-                asked.append((piece, prints, ids, rows, places))
+                asked.append((piece, prints, more, ids, rows, places))
             else:
                 yield pa.RecordBatch.from_pylist([{"piece": piece, "kind": kind, "ids": ids, "rows": rows, "places": places}], schema)
     if asked:
@@ -312,8 +337,8 @@ def _spans(window: int):
         piece, ids, ties, rows, places = None, None, None, [], []
 
         def closed() -> pa.RecordBatch:
-            row = np.frombuffer(b"".join(rows), dtype="<u4").astype(np.int64)
-            place = np.frombuffer(b"".join(places), dtype="<u4").astype(np.int64)
+            row = np.concatenate([_restored(blob, "<u4") for blob in rows]).astype(np.int64)
+            place = np.concatenate([_restored(blob, "<u4") for blob in places]).astype(np.int64)
             order = np.lexsort((place, row))
             row, place = row[order], place[order]
             begins = np.ones(len(row), bool)
