@@ -5,10 +5,12 @@ class are put into groups of at most 64 similar classes; a group stores the unio
 members' shingles with a 64-bit row of members per shingle. A query's overlap with the
 union bounds its overlap with every member, and only groups that pass the bound are opened.
 
-1. Count shingles in a table of 2 ** RARITY_BITS hashed counters (the size of the broadcast,
-   whatever the input). It orders shingles, rare first; any fixed order would be right.
-2. Per document: the class, the set size, and the first n - ceil(threshold * n) + 1 shingles.
-   Two sets above the threshold share at least one of those. All else is narrow.
+1. One scan builds a sketch of which shingles occur twice (see ``countmin``) and a table of
+   2 ** RARITY_BITS hashed counts. They order shingles, single and rare first; any fixed order
+   would be right, this one lets most documents end here.
+2. Per document: the class, the set size, and those of its first n - ceil(threshold * n) + 1
+   shingles that may occur twice. Two sets above the threshold share at least one of them, so
+   a document with none links with no other text and sends no set.
 3. Classes that share such a shingle are ordered by their most common shared one and their
    size, and cut into groups. Groups are joined inside; one leader per linked set goes on to
    the next level, where leaders are grouped again. So a family of n near copies falls
@@ -18,7 +20,8 @@ union bounds its overlap with every member, and only groups that pass the bound
    kept, so links grow with the rows.
 5. Components by large-star and small-star steps over the links of leaders.
 
-Shingles are compared by 64-bit hashes, classes by 128 bits.
+Shingles are compared by 64-bit hashes, classes by 128 bits. Classes are named by the number of
+one of their rows.
 
 Defined cases: a missing or empty text has an empty set, links with nothing and is its own
 component; fewer words than a shingle are one shingle; documents without an id take part and
@@ -36,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.text import as_bytes
+from larkspur.llm.countmin import COUNTS, RECORD, collected, partial, record_batch, seen_twice, squeezed, width_bits
+from larkspur.llm.text import WORD, as_bytes
 from larkspur.session import durable, scratch_path
 
 SHINGLE = 3
@@ -46,8 +50,9 @@ GROUP = 64
 GROUP_SHINGLES = 1 << 22
 LEVELS = 3
 VISITS = 4096
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 17
 COUNT_SLICES = 16
+PIECE_SHINGLES = 1 << 19
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
@@ -87,93 +92,80 @@ def set_class(tokens: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None
 
 
-def _counted(size: int):
-    """Per task, how many documents have a shingle of each counter, in slices."""
+def _prints(tokens: np.ndarray) -> np.ndarray:
+    return np.stack([tokens, _scrambled(tokens * _A)], axis=1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        hashes, counts, pending, held = WordHashes(), np.zeros(1 << RARITY_BITS, np.uint32), [], 0
-        shift = np.uint64(64 - RARITY_BITS)
 
-        def flush() -> None:
-            nonlocal counts, pending, held
-            if pending:
-                slots = (np.concatenate(pending) >> shift).astype(np.int64)
-                counts = counts + np.bincount(slots, minlength=len(counts)).astype(np.uint32)
-                pending, held = [], 0
+def _sketched(size: int, bits: int):
+    """Records of the sketch, and per task how many documents have a shingle of each counter."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, pending, held = WordHashes(), np.zeros(1 << RARITY_BITS, np.int64), [], 0
+        shift = np.uint64(64 - RARITY_BITS)
         for batch in batches:
             for text in batch.column("text"):
                 pending.append(shingles(text.as_py(), hashes, size))
                 held += len(pending[-1])
-                if held > 1 << 20:
-                    flush()
-        flush()
-        packer = zstandard.ZstdCompressor(level=1)
+                if held > PIECE_SHINGLES:
+                    tokens = np.concatenate(pending)
+                    counts += np.bincount((tokens >> shift).astype(np.int64), minlength=len(counts))
+                    yield record_batch(partial(_prints(tokens), bits))
+                    pending, held = [], 0
+        if held:
+            tokens = np.concatenate(pending)
+            counts += np.bincount((tokens >> shift).astype(np.int64), minlength=len(counts))
+            yield record_batch(partial(_prints(tokens), bits))
         if counts.any():
-            blobs = [packer.compress(c.tobytes()) for c in np.split(counts, COUNT_SLICES)]
-            yield pa.RecordBatch.from_pydict({"part": pa.array(range(COUNT_SLICES), pa.int32()), "counts": pa.array(blobs, pa.binary())})
+            slices = np.split(counts.astype("<u8"), COUNT_SLICES)
+            yield record_batch([{"row": COUNTS, "part": i, "slots": squeezed(c)} for i, c in enumerate(slices)])
 
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
-
-    unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts")):
-            counts = np.frombuffer(unpacker.decompress(blob.as_py()), dtype=np.uint32).astype(np.uint64)
-            sums[part] = sums[part] + counts if part in sums else counts
-    out = [{"part": part, "counts": packer.compress(total.tobytes())} for part, total in sums.items()]
-    yield pa.RecordBatch.from_pylist(out, pa.schema([("part", pa.int32()), ("counts", pa.binary())]))
+def order_of_shingles(docs: DataFrame, size: int = SHINGLE) -> tuple[int, list[bytes], np.ndarray]:
+    """The sketch, and the hashed counts as binary logarithms in steps of 1/8 (one byte each)."""
+    entries = docs.agg(F.sum(F.regexp_count("text", F.lit(WORD)).cast("long"))).first()[0] or 0
+    bits = width_bits(entries)
+    bitmaps, sums = collected(docs.select("text").mapInArrow(_sketched(size, bits), RECORD), bits)
+    totals = np.zeros((COUNT_SLICES, (1 << RARITY_BITS) // COUNT_SLICES))
+    for part, counts in sums.items():
+        totals[part] = counts
+    return bits, bitmaps, np.minimum(np.log2(totals.ravel() + 1) * 8, 255).astype(np.uint8)
 
 
-def rarity(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """Shingle counts in hashed counters, as the binary logarithm in 1/8 steps (one byte each)."""
-    import zstandard
-
-    schema = "part int, counts binary"
-    rows = docs.select("text").mapInArrow(_counted(size), schema).repartition("part").mapInArrow(_summed, schema).collect()
-    totals = np.zeros(1 << RARITY_BITS, dtype=np.uint64)
-    width = len(totals) // COUNT_SLICES
-    for part, blob in rows:
-        totals[part * width : (part + 1) * width] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(blob)), dtype=np.uint64)
-    return np.minimum(np.log2(totals.astype(np.float64) + 1) * 8, 255).astype(np.uint8)
+_PROFILE = "number long, doc_id long, tie long, class binary, n long, prefix array<long>, tokens binary"
 
 
 def _profiled(shared, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, weights = WordHashes(), shared.value
-        for batch in batches:
-            classes, sizes, prefixes = [], [], []
-            for text in batch.column("text"):
-                tokens = shingles(text.as_py(), hashes, size)
-                n = len(tokens)
-                keep = n - -(-percent * n // 100) + 1 if n else 0
-                order = np.lexsort((tokens, weights[(tokens >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]))[:keep]
-                classes.append(set_class(tokens))
-                sizes.append(n)
-                prefixes.append(tokens[order].astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tie"), pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "tie", "class", "n", "prefix"],
-            )
-
-    return run
-
+        from pyspark import TaskContext
 
-def _sets(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 36
+        bits, bitmaps, weights = shared.value
         hashes = WordHashes()
         for batch in batches:
-            tokens = [shingles(text.as_py(), hashes, size) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), batch.column("n"), batch.column("top"), pa.array([t.tobytes() for t in tokens], pa.binary())],
-                names=["class", "n", "top", "tokens"],
-            )
+            for begin in range(0, batch.num_rows, 256):
+                rows = batch.slice(begin, 256)
+                found = [shingles(text.as_py(), hashes, size) for text in rows.column("text")]
+                counts = np.array([len(t) for t in found], dtype=np.int64)
+                flat = np.concatenate(found)
+                maybe = seen_twice(_prints(flat), bits, bitmaps)
+                weight = weights[(flat >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]
+                owner = np.repeat(np.arange(len(found)), counts)
+                order = np.lexsort((flat, weight, maybe, owner))  # the same order of shingles in every document
+                place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+                length = counts - -(-percent * counts // 100) + 1
+                kept = order[(place < length[owner]) & maybe[order]]
+                cuts = np.searchsorted(owner[kept], np.arange(len(found) + 1))
+                prefixes = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat[kept].astype(np.int64)))
+                sets = [t.tobytes() if cuts[i + 1] > cuts[i] else None for i, t in enumerate(found)]
+                numbers = np.arange(number, number + len(found))
+                number += len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers), rows.column("doc_id"), rows.column("tie"), pa.array([set_class(t) for t in found], pa.binary()),
+                     pa.array(counts), prefixes, pa.array(sets, pa.binary())],
+                    names=["number", "doc_id", "tie", "class", "n", "prefix", "tokens"],
+                )
 
     return run
 
@@ -227,7 +219,7 @@ def _leaders(group: Group, sets: list[np.ndarray]) -> list[int]:
 
 def _grouped(percent: int):
     """Cut sorted classes into groups and join each group inside."""
-    schema = pa.schema([("class", pa.binary()), ("group", pa.int64()), ("leader", pa.binary())])
+    schema = pa.schema([("class", pa.int64()), ("group", pa.int64()), ("leader", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -237,7 +229,7 @@ def _grouped(percent: int):
         def closed() -> pa.RecordBatch:
             leaders = _leaders(Group(sets, percent), sets)
             return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array([number] * len(names), pa.int64()), pa.array([names[i] for i in leaders], pa.binary())], schema=schema
+                [pa.array(names, pa.int64()), pa.array([number] * len(names), pa.int64()), pa.array([names[i] for i in leaders], pa.int64())], schema=schema
             )
 
         for batch in batches:
@@ -257,12 +249,12 @@ def _grouped(percent: int):
 
 def _level(sets: DataFrame, percent: int) -> DataFrame:
     ordered = sets.repartitionByRange("top", "n", "class").sortWithinPartitions("top", "n", "class")
-    return durable(ordered.select("class", "tokens").mapInArrow(_grouped(percent), "class binary, group long, leader binary"))
+    return durable(ordered.select("class", "tokens").mapInArrow(_grouped(percent), "class long, group long, leader long"))
 
 
 def _visited(percent: int):
     """Links of visitors, from rows sorted so that a group's members come before its visitors."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members, leaders, group = None, [], [], None
@@ -302,34 +294,33 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def profile(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, tie (hash of the text), class, n and prefix shingles per document, written once."""
+    """number, doc_id, tie (hash of the text), class, n, prefix and tokens per document, written once."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(rarity(docs, size))
+    shared = spark.sparkContext.broadcast(order_of_shingles(docs, size))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
     path = scratch_path(spark, "shingle-profile")
-    schema = "doc_id long, tie long, class binary, n long, prefix array<long>"
-    plain.mapInArrow(_profiled(shared, size, percent), schema).write.parquet(path)
+    plain.mapInArrow(_profiled(shared, size, percent), _PROFILE).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def linked_classes(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """class and root for the classes that link with another one."""
-    spark = docs.sparkSession
-    named = rows.where("class is not null")
-    prefix = named.select("class", "n", F.explode("prefix").alias("token")).distinct()
+def classes_of(rows: DataFrame) -> DataFrame:
+    """class, its number, and its first named row (doc_id, tie), or any row's tie without one."""
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tie"))
+    found = rows.where("class is not null").groupBy("class").agg(
+        F.min("number").alias("number"), F.min(named).alias("first"), F.min("tie").alias("any")
+    )
+    return durable(found)
+
+
+def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """class (by number) and root for the classes that link with another one."""
+    active = rows.where("tokens is not null").join(classes.select("number"), "number", "left_semi")
+    prefix = durable(active.select(F.col("number").alias("class"), "n", F.explode("prefix").alias("token")))
     df = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = durable(prefix.join(df, "token"))
     tops = shared.groupBy("class", "n").agg(F.max_by("token", F.struct("df", "token")).alias("top"))
-
-    # One text per class: the first row that has it.
-    first = named.groupBy("class").agg(F.min(F.struct("doc_id", "tie")).alias("row"))
-    wanted = tops.join(first, "class").select("class", "n", "top", F.col("row.doc_id").alias("id"), F.col("row.tie").alias("own_tie"))
-    plain = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
-    texts = plain.join(wanted, plain["doc_id"].eqNullSafe(wanted["id"]) & (plain["tie"] == wanted["own_tie"]))
-    made = texts.select("class", "n", "top", "text").mapInArrow(_sets(size), "class binary, n long, top long, tokens binary")
-    path = scratch_path(spark, "shingle-sets")
-    made.groupBy("class", "n", "top").agg(F.first("tokens").alias("tokens")).write.parquet(path)
-    sets = spark.read.parquet(path)
+    tokens = rows.where("tokens is not null").select(F.col("number").alias("class"), "tokens")
+    sets = durable(tops.join(tokens, "class"))
 
     groups = _level(sets, percent)
     leader = groups.select("class", "group", "leader")
@@ -357,7 +348,7 @@ def linked_classes(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percen
     visitors = visits.join(salts, "to").withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")))
     visitors = visitors.join(sets.select("class", "tokens"), "class").select(F.col("to").alias("group"), "salt", F.lit(1).alias("kind"), "leader", "tokens")
     both = members.unionByName(visitors).repartition("group", "salt").sortWithinPartitions("group", "salt", "kind")
-    links = both.mapInArrow(_visited(percent), "a binary, b binary")
+    links = both.mapInArrow(_visited(percent), "a long, b long")
     roots = components(links)
     return leader.join(roots, leader["leader"] == roots["node"], "left").select("class", F.coalesce("root", "leader").alias("root"))
 
@@ -365,17 +356,15 @@ def linked_classes(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percen
 def memberships(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, tie, class, n_shingles, component_id and the component's first row, per document."""
     rows = profile(docs, size, percent)
-    roots = linked_classes(docs, rows, size, percent)
-    firsts = rows.where("class is not null").groupBy("class").agg(
-        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tie"))).alias("first"), F.min("tie").alias("any")
-    )
-    named = firsts.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    classes = classes_of(rows)
+    roots = linked_classes(rows, classes, percent).select(F.col("class").alias("number"), "root")
+    named = classes.join(roots, "number", "left").withColumn("root", F.coalesce("root", "number"))
     tops = named.groupBy("root").agg(F.min("first").alias("first"), F.min("any").alias("any"))
     member = named.select("class", "root").join(tops, "root").select(
         "class", F.col("first.doc_id").alias("component_id"), F.coalesce("first.tie", "any").alias("kept_tie")
     )
-    known = rows.where("class is not null").drop("prefix").join(member, "class")
-    empty = rows.where("class is null").drop("prefix").withColumns({"component_id": F.col("doc_id"), "kept_tie": F.col("tie")})
+    known = rows.where("class is not null").drop("prefix", "tokens").join(member, "class")
+    empty = rows.where("class is null").drop("prefix", "tokens").withColumns({"component_id": F.col("doc_id"), "kept_tie": F.col("tie")})
     return known.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 

@@ -13,9 +13,8 @@ starts in a document with a smaller id, and all its words go.
 3. The places of repeats go back to the piece they came from, become spans of words per
    document, and a join by id and text hash cuts the documents.
 
-The sketch grows with the number of windows up to ``2 ** MAX_BITS`` slots, so the broadcast is
-at most ``ROWS * 2 ** MAX_BITS / 8`` bytes (128 MB); beyond that it lets more windows through,
-which costs shuffle but changes no result.
+The sketch (see ``countmin``) grows with the number of windows up to a fixed width; beyond that
+it lets more windows through, which costs shuffle but changes no result.
 
 Defined cases: a missing or empty text has no words and an empty rest; a document without an
 id never repeats another and no document repeats it; rows with equal ids are one document
@@ -36,13 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from larkspur.llm.countmin import RECORD, collected, partial, record_batch, restored, runs, seen_twice, squeezed, width_bits
 from larkspur.llm.text import WORD, as_bytes
 
 WINDOW = 50
-ROWS = 2
-MIN_BITS = 16
-MAX_BITS = 29
-SLICE_BITS = 22
 MEMO_WORDS = 1 << 17
 BATCH_WORDS = 1 << 19
 SLICE_WINDOWS = 1 << 21
@@ -121,50 +117,6 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[Piece]:
         yield Piece(ids, ties, digests, window)
 
 
-def _slots(prints: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(prints[:, i] >> np.uint64(64 - bits)).astype(np.int64) for i in range(ROWS)]
-
-
-def _packed(numbers: np.ndarray) -> bytes:
-    """Sorted numbers as compressed differences, one byte plane after the other."""
-    import zstandard
-
-    gaps = np.diff(numbers, prepend=np.int64(0)).astype("<u4")
-    planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unpacked(blob: bytes) -> np.ndarray:
-    import zstandard
-
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(blob)), dtype=np.uint8)
-    return np.cumsum(np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
-
-
-def _squeezed(numbers: np.ndarray) -> bytes:
-    """Byte planes of the numbers, compressed; sorted or small numbers leave little."""
-    import zstandard
-
-    planes = np.ascontiguousarray(np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.dtype.itemsize).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _restored(blob: bytes, kind: str) -> np.ndarray:
-    import zstandard
-
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(blob)), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
-
-
-def _runs(values: np.ndarray) -> list[tuple[int, int]]:
-    """Borders of the runs of equal values."""
-    if not len(values):
-        return []
-    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)]))
-
-
 def _partial_sketch(bits: int, window: int):
     """Slots of the distinct (window, document) pairs, per row of the sketch and slice."""
 
@@ -174,63 +126,15 @@ def _partial_sketch(bits: int, window: int):
             prints, doc = piece.prints[order], piece.doc[order]
             new = np.ones(len(order), bool)
             new[1:] = (prints[1:, 0] != prints[:-1, 0]) | (doc[1:] != doc[:-1])
-            out = []
-            for row, slots in enumerate(_slots(prints[new], bits)):
-                slots = np.sort(slots)
-                third = np.zeros(len(slots), bool)  # two of a kind say all: the sketch saturates there
-                third[2:] = slots[2:] == slots[:-2]
-                slots = slots[~third]
-                for begin, end in _runs(slots >> SLICE_BITS):
-                    part = int(slots[begin] >> SLICE_BITS)
-                    out.append({"row": row, "part": part, "slots": _packed(slots[begin:end] - (part << SLICE_BITS))})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("row", pa.int32()), ("part", pa.int32()), ("slots", pa.binary())]))
-
-    return run
-
-
-def _merge_slices(bits: int):
-    """Bitmaps from rows sorted by (row, part); one slice is open at a time."""
-    width = 1 << min(bits, SLICE_BITS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        schema = pa.schema([("row", pa.int32()), ("part", pa.int32()), ("bitmap", pa.binary())])
-        key, once, twice = None, None, None
-
-        def closed() -> pa.RecordBatch:
-            bitmap = zstandard.ZstdCompressor(level=1).compress(np.packbits(twice).tobytes())
-            return pa.RecordBatch.from_pylist([{"row": key[0], "part": key[1], "bitmap": bitmap}], schema)
-
-        for batch in batches:
-            for row, part, blob in zip(batch.column("row").to_pylist(), batch.column("part").to_pylist(), batch.column("slots")):
-                if key != (row, part):
-                    if key is not None:
-                        yield closed()
-                    key, once, twice = (row, part), np.zeros(width, bool), np.zeros(width, bool)
-                slots = _unpacked(blob.as_py())
-                twice[slots[1:][slots[1:] == slots[:-1]]] = True
-                twice[slots[once[slots]]] = True
-                once[slots] = True
-        if key is not None:
-            yield closed()
+            yield record_batch(partial(prints[new], bits))
 
     return run
 
 
 def sketch(known: DataFrame, n_windows: int, window: int = WINDOW) -> tuple[int, list[bytes]]:
     """log2 of the width, and one bitmap per row of the sketch: slots seen in two documents or more."""
-    import zstandard
-
-    bits = min(max(n_windows.bit_length() + 1, MIN_BITS), MAX_BITS)
-    partial = known.mapInArrow(_partial_sketch(bits, window), "row int, part int, slots binary")
-    slices = partial.repartition("row", "part").sortWithinPartitions("row", "part")
-    merged = slices.mapInArrow(_merge_slices(bits), "row int, part int, bitmap binary")
-    width = 1 << min(bits, SLICE_BITS)
-    bitmaps = [bytearray((1 << bits) // 8) for _ in range(ROWS)]
-    for row, part, blob in merged.toLocalIterator():
-        bitmaps[row][part * width // 8 : (part + 1) * width // 8] = zstandard.ZstdDecompressor().decompress(bytes(blob))
-    return bits, [bytes(b) for b in bitmaps]
+    bits = width_bits(n_windows)
+    return bits, collected(known.mapInArrow(_partial_sketch(bits, window), RECORD), bits)[0]
 
 
 _MESSAGE = "part int, piece long, kind int, prints binary, more binary, ids binary, rows binary, places binary"
@@ -248,12 +152,9 @@ def _candidates(shared, window: int, slices: int):
         from pyspark import TaskContext
 
         bits, bitmaps = shared.value
-        maps = [np.frombuffer(b, dtype=np.uint8) for b in bitmaps]
         for count, piece in enumerate(_pieces(batches, window)):
             number = (TaskContext.get().partitionId() << 32) + count
-            maybe = np.ones(len(piece.doc), bool)
-            for slots, bitmap in zip(_slots(piece.prints, bits), maps):
-                maybe &= (bitmap[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
+            maybe = seen_twice(piece.prints, bits, bitmaps)
             prints, doc, row, place = piece.prints[maybe], piece.doc[maybe], piece.row[maybe], piece.place[maybe]
             order = np.lexsort((doc, prints[:, 1], prints[:, 0]))
             prints, doc, row, place = prints[order], doc[order], row[order], place[order]
@@ -262,17 +163,17 @@ def _candidates(shared, window: int, slices: int):
             out = [common | {"kind": _ROWS, "ids": piece.ids.tobytes(), "rows": piece.ties.tobytes()}]
             inside = np.lexsort((place[repeat], row[repeat]))
             out.append(
-                common | {"kind": _REPEATS, "rows": _squeezed(row[repeat][inside].astype("<u4")), "places": _squeezed(place[repeat][inside].astype("<u4"))}
+                common | {"kind": _REPEATS, "rows": squeezed(row[repeat][inside].astype("<u4")), "places": squeezed(place[repeat][inside].astype("<u4"))}
             )
             prints, row, place = prints[~repeat], row[~repeat], place[~repeat]
             part = (prints[:, 1] % np.uint64(slices)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             prints, row, place, part = prints[order], row[order], place[order], part[order]
-            for begin, end in _runs(part):
+            for begin, end in runs(part):
                 own = slice(begin, end)
                 out.append(
-                    {"part": int(part[begin]), "piece": number, "kind": _ASKED, "prints": _squeezed(prints[own, 0]), "more": prints[own, 1].tobytes(),
-                     "ids": piece.ids.tobytes(), "rows": _squeezed(row[own].astype("<u4")), "places": _squeezed(place[own].astype("<u4"))}
+                    {"part": int(part[begin]), "piece": number, "kind": _ASKED, "prints": squeezed(prints[own, 0]), "more": prints[own, 1].tobytes(),
+                     "ids": piece.ids.tobytes(), "rows": squeezed(row[own].astype("<u4")), "places": squeezed(place[own].astype("<u4"))}
                 )
             yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -297,20 +198,20 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def settled() -> pa.RecordBatch:
         pieces, blobs = [a[0] for a in asked], [a[1:] for a in asked]
-        rows = [_restored(b[3], "<u4") for b in blobs]
+        rows = [restored(b[3], "<u4") for b in blobs]
         prints = np.stack(
-            [np.concatenate([_restored(b[0], "<u8") for b in blobs]), np.concatenate([np.frombuffer(b[1], "<u8") for b in blobs])], axis=1
+            [np.concatenate([restored(b[0], "<u8") for b in blobs]), np.concatenate([np.frombuffer(b[1], "<u8") for b in blobs])], axis=1
         )
         doc = np.concatenate([np.frombuffer(b[2], "<i8")[r] for b, r in zip(blobs, rows)])
-        place = np.concatenate([_restored(b[4], "<u4") for b in blobs])
+        place = np.concatenate([restored(b[4], "<u4") for b in blobs])
         source, row = np.repeat(np.arange(len(asked)), [len(r) for r in rows]), np.concatenate(rows)
         order = np.lexsort((doc, prints[:, 1], prints[:, 0]))
         chosen = order[_above_first(prints[order], doc[order])]
         chosen = chosen[np.lexsort((place[chosen], row[chosen], source[chosen]))]
         out = []
-        for begin, end in _runs(source[chosen]):
+        for begin, end in runs(source[chosen]):
             own = chosen[begin:end]
-            out.append({"piece": pieces[int(source[own[0]])], "kind": _REPEATS, "rows": _squeezed(row[own]), "places": _squeezed(place[own])})
+            out.append({"piece": pieces[int(source[own[0]])], "kind": _REPEATS, "rows": squeezed(row[own]), "places": squeezed(place[own])})
         return pa.RecordBatch.from_pylist(out, schema)
 
     for batch in batches:
@@ -337,8 +238,8 @@ def _spans(window: int):
         piece, ids, ties, rows, places = None, None, None, [], []
 
         def closed() -> pa.RecordBatch:
-            row = np.concatenate([_restored(blob, "<u4") for blob in rows]).astype(np.int64)
-            place = np.concatenate([_restored(blob, "<u4") for blob in places]).astype(np.int64)
+            row = np.concatenate([restored(blob, "<u4") for blob in rows]).astype(np.int64)
+            place = np.concatenate([restored(blob, "<u4") for blob in places]).astype(np.int64)
             order = np.lexsort((place, row))
             row, place = row[order], place[order]
             begins = np.ones(len(row), bool)
@@ -347,7 +248,7 @@ def _spans(window: int):
             ends = np.concatenate([at[1:] - 1, [len(row) - 1]]) if len(at) else at
             spans = np.stack([place[at], place[ends] + window], axis=1).astype("<u4")
             out = [
-                {"doc_id": int(ids[row[at[b]]]), "tie": int(ties[row[at[b]]]), "spans": spans[b:e].tobytes()} for b, e in _runs(row[at])
+                {"doc_id": int(ids[row[at[b]]]), "tie": int(ties[row[at[b]]]), "spans": spans[b:e].tobytes()} for b, e in runs(row[at])
             ]
             return pa.RecordBatch.from_pylist(out, schema)
 
