@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import jaccard, mixing, planes, repeats, rules, suffix, toxicity
+from larkspur.llm import jaccard, lm_scores, mixing, planes, repeats, rules, suffix, toxicity
 from larkspur.llm.text import table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.score(table(spark, sf_dir, "documents"))
