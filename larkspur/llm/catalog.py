@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import jaccard, lm_scores, mixing, planes, repeats, rules, suffix, toxicity
+from larkspur.llm import forest, jaccard, lm_scores, mixing, planes, repeats, rules, suffix, toxicity, urls
 from larkspur.llm.text import table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores.score(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.report(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.report(table(spark, sf_dir, "embeddings"))
