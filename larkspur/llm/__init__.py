@@ -1 +1,8 @@
 """Operators of a training-data pipeline; nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions of this package travel with the job, so workers need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

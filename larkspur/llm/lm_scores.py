@@ -27,6 +27,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from larkspur.llm import ctw
 from larkspur.llm.countmin import restored, runs, squeezed
+from larkspur.llm.shipping import opened, shipped
 from larkspur.llm.text import WORD, as_bytes, fold
 from larkspur.session import durable, scratch_path
 
@@ -165,7 +166,7 @@ def _messages(shared, slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model, hashes = shared.value, WordHashes()
+        model, hashes = opened(shared), WordHashes()
         for count, (rows, texts) in enumerate(_pieces(batches)):
             piece = (TaskContext.get().partitionId() << 32) + count
             scores = model_scores(model, texts)
@@ -275,7 +276,7 @@ def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per document."""
     spark = docs.sparkSession
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
-    shared = spark.sparkContext.broadcast(fit(plain.where(~F.col("held_out"))))
+    shared = shipped(spark.sparkContext, fit(plain.where(~F.col("held_out"))))
     n_words = plain.agg(F.sum(F.regexp_count("text", F.lit(WORD)).cast("long"))).first()[0] or 0
     slices = n_words // SLICE_WORDS + 1
     messages = plain.mapInArrow(_messages(shared, slices), _MESSAGE)

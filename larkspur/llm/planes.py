@@ -128,14 +128,6 @@ class Encoder:
 
 _WORD_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?]*)").fullmatch
 _LETTERS = re.compile(rb"[a-z\x80-\xff]+").fullmatch
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
 
 
 def to_planes(ids: bytes, bits: bool = False, level: int = LEVEL) -> list[bytes]:
@@ -180,7 +172,7 @@ def _encode_shard(tokenizer: str, end_id: int, block_ids: int, bits: bool):
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encode, end = encoder(tokenizer).ids, int(end_id).to_bytes(4, "little")
+        encode, end = Encoder(tokenizer).ids, int(end_id).to_bytes(4, "little")
         schema = pa.schema(
             [("kind", pa.int32()), ("shard", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()),
              ("offset", pa.int64()), ("n_ids", pa.int64()), ("planes", pa.list_(pa.binary()))]
@@ -225,7 +217,7 @@ def write(
     records = ordered.mapInArrow(_encode_shard(tokenizer or default_tokenizer(), end_id, block_ids, bits), RECORDS)
     # One pass writes both: the table is split by kind, and each part is read with its own columns.
     records.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/records")
-    spark.read.parquet(f"{path}/records").where("kind = 0").groupBy("shard").agg(
+    spark.read.schema(RECORDS).parquet(f"{path}/records").where("kind = 0").groupBy("shard").agg(
         F.sum("n_ids").alias("n_ids"), F.count(F.lit(1)).alias("n_docs")
     ).coalesce(1).write.parquet(f"{path}/shards")
 
@@ -236,7 +228,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     # One row per file of the output, as bounded as the file listing itself.
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = shards.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
-    rows = spark.read.parquet(f"{path}/records").where("kind = 0").drop("kind", "planes")
+    rows = spark.read.schema(RECORDS).parquet(f"{path}/records").where("kind = 0").drop("kind", "planes")
     return rows.join(F.broadcast(bases), "shard").select(
         "shard", "row", "doc_id", "offset", "n_ids", (F.col("base") + F.col("offset")).alias("start")
     )
@@ -305,7 +297,7 @@ def read(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFram
         F.struct("row", "offset", "n_ids").alias("doc"),
     )
     listed = entries.groupBy("shard", "block").agg(F.collect_list("doc").alias("docs"))  # at most block_ids of them
-    blocks = spark.read.parquet(f"{path}/records").where("kind = 1").select(
+    blocks = spark.read.schema(RECORDS).parquet(f"{path}/records").where("kind = 1").select(
         "shard", F.col("row").alias("block"), (F.col("row") * block_ids).alias("first"), "n_ids", "planes"
     )
     pieces = blocks.join(listed, ["shard", "block"]).mapInArrow(_crc_pieces, "shard int, row long, block long, n long, crc long")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from larkspur.llm.shipping import opened, shipped
 from larkspur.llm.text import as_bytes
 
 WINDOW = 10
@@ -176,7 +177,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 def _hits(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests = shared.value
+        tests = opened(shared)
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for rows, docs in _shards(batches):
             shard = Shard(tests, docs)
@@ -203,7 +204,7 @@ def _hits(shared):
 
 def _longest(shared, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests = shared.value
+        tests = opened(shared)
         for rows, docs in _shards(batches):
             shard = Shard(tests, docs)
             best, place = shard.longest()
@@ -229,10 +230,10 @@ def _blocks(items: DataFrame, window: int, block_chars: int):
     chars = named.agg(F.sum(F.length("text") + F.length("name"))).first()[0] or 0
     n = int(chars // block_chars) + 1
     if n == 1:
-        return [context.broadcast(TestSet([tuple(r) for r in named.collect()], window))]
+        return [shipped(context, TestSet([tuple(r) for r in named.collect()], window))]
     dealt = named.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(n)))
     return [
-        context.broadcast(TestSet([tuple(r) for r in dealt.where(F.col("block") == k).select("name", "text").collect()], window))
+        shipped(context, TestSet([tuple(r) for r in dealt.where(F.col("block") == k).select("name", "text").collect()], window))
         for k in range(n)
     ]
 
