@@ -82,12 +82,14 @@ def mine(
     baskets = durable(picked.select(F.monotonically_increasing_id().alias("id"), "bad", "tokens"))
     n = baskets.count()
     least = max(int(min_support * n), MIN_ROWS)
+    if n < least:  # no rule can have the support
+        return pages.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support long")
     # Tokens below the support cannot be in a rule.
     common = baskets.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= least)
     counted = baskets.select("id", "bad", F.explode("tokens").alias("t")).join(common, "t")
     held = counted.groupBy("id", "bad").agg(F.slice(F.array_sort(F.collect_list(F.struct("times", "t"))), 1, MAX_BASKET)["t"].alias("items"))
     small = durable(held.select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=least / max(n, 1), minConfidence=min_confidence).fit(small)
+    model = FPGrowth(itemsCol="items", minSupport=least / n, minConfidence=min_confidence).fit(small)
     frequent = model.freqItemsets.where(F.size("items") <= MAX_TOKENS + 1)
     with_bad = frequent.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(
         F.array_sort(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("support")
