@@ -114,7 +114,7 @@ def collected(records: DataFrame, bits: int) -> tuple[list[bytes], dict[int, np.
     merged = records.repartition("row", "part").sortWithinPartitions("row", "part").mapInArrow(_merged(bits), RECORD)
     size = (1 << min(bits, SLICE_BITS)) // 8
     bitmaps, sums = [bytearray((1 << bits) // 8) for _ in range(ROWS)], {}
-    for row, part, blob in merged.toLocalIterator():
+    for row, part, blob in merged.collect():  # bounded by MAX_BITS
         if row >= COUNTS:
             sums[part] = restored(blob, "<u8")
         else:

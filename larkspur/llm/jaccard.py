@@ -15,7 +15,8 @@ union bounds its overlap with every member, and only groups that pass the bound
    size, and cut into groups. Groups are joined inside; one leader per linked set goes on to
    the next level, where leaders are grouped again. So a family of n near copies falls
    together in n / 64 + n / 64^2 + ... groups and never makes n^2 pairs.
-4. A query visits a group of another linked set if a prefix shingle and the sizes allow it.
+4. A group visits another one if a shared prefix shingle, the sizes and their linked sets allow
+   it; a member is a query there if its own size and linked set do.
    Groups with many visitors are dealt out by salt. Only one link per visit and linked set is
    kept, so links grow with the rows.
 5. Components by large-star and small-star steps over the links of leaders.
@@ -332,15 +333,20 @@ def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT)
         leader = leader.join(step, "leader").select("class", "group", F.col("next").alias("leader"))
     leader = durable(leader)
 
-    # Who visits which group: a shared prefix shingle, sizes that allow a link, another linked set.
-    entry = durable(shared.join(leader, "class").select("token", "class", "n", "group", "leader"))
-    table = entry.groupBy(F.col("token"), F.col("group").alias("to")).agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.min("leader").alias("one"), F.max("leader").alias("other")
-    )
+    # Which groups may hold links between them: a shared prefix shingle, sizes that allow a link,
+    # more than one linked set. Met as groups, so a family makes a 64th of its pairs squared.
+    entry = shared.join(leader, "class").select("token", "class", "n", "group", "leader")
+    limits = [F.min("n").alias("low"), F.max("n").alias("high"), F.min("leader").alias("one"), F.max("leader").alias("other")]
+    table = durable(entry.groupBy("token", "group").agg(*limits))
+    right = table.select("token", *[F.col(c).alias(f"to_{c}") for c in ("group", "low", "high", "one", "other")])
+    sizes = (100 * F.col("to_high") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("to_low"))
+    apart = F.least("one", "to_one") != F.greatest("other", "to_other")
+    pairs = table.join(right, "token").where((F.col("group") < F.col("to_group")) & sizes & apart).select("group", "to_group").distinct()
+    whole = leader.join(tops.select("class", "n"), "class").groupBy(F.col("group").alias("to_group")).agg(*limits)
+    visitor = leader.join(tops.select("class", "n"), "class").join(pairs, "group").join(whole, "to_group")
     sizes = (100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low"))
     apart = (F.col("one") != F.col("leader")) | (F.col("other") != F.col("leader"))
-    visits = entry.join(table, "token").where((F.col("group") < F.col("to")) & sizes & apart)
-    visits = durable(visits.select("class", "leader", "to").distinct())
+    visits = durable(visitor.where(sizes & apart).select("class", "leader", F.col("to_group").alias("to")))
 
     salts = visits.groupBy("to").agg((F.floor(F.count(F.lit(1)) / VISITS) + 1).alias("salts"))
     members = leader.join(salts, leader["group"] == salts["to"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))

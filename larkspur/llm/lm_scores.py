@@ -129,7 +129,7 @@ def fit(texts: DataFrame) -> ctw.Model:
     powers = sizes.groupBy("power").agg(F.max("n").alias("n")).collect()  # 48 rows
     power = min((r["power"] for r in powers if r["n"] <= ctw.MAX_ENTRIES), default=0)
     tables: list[list] = [[] for _ in range(ctw.DEPTH + 1)]
-    for row in merged.select("depth", "part", "grams", "counts").mapInArrow(_pruned(1 << power), _GRAMS).toLocalIterator():
+    for row in merged.select("depth", "part", "grams", "counts").mapInArrow(_pruned(1 << power), _GRAMS).collect():  # MAX_ENTRIES
         tables[row["depth"]].append((restored(row["grams"], "<u8"), restored(row["counts"], "<i8")))
     empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     joined = [[np.concatenate([t[i] for t in [empty, *own]]) for i in (0, 1)] for own in tables]
