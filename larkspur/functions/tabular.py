@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from larkspur.functions.text import strip
+
 # Labels and right-closed upper bounds of the tenure bins.
 TENURE_BINS = [
     ("0-6 months", 6),
@@ -77,7 +79,7 @@ def count_yes(*columns: Column) -> Column:
     """How many of the columns read ``yes``, whatever their case and outer blanks."""
     total = F.lit(0)
     for column in columns:
-        total = total + F.coalesce((F.lower(F.trim(column)) == "yes").cast("int"), F.lit(0))
+        total = total + F.coalesce((F.lower(strip(column)) == "yes").cast("int"), F.lit(0))
     return total
 
 
@@ -88,9 +90,5 @@ def risk_band(probability: Column, low_max: float = RISK_LOW_MAX, medium_max: fl
 
 
 def predicted_status(predicted: Column) -> Column:
+    # The two texts.
     return F.when(predicted == 1, "Likely to Churn").otherwise("Likely to Stay")
-
-
-def half_even(x: Column, digits: int) -> Column:
-    """Round half to even, as result tables do."""
-    return F.bround(x, digits)

@@ -9,21 +9,16 @@ from larkspur.functions.text import page_list, page_ranges, strip
 
 INSUFFICIENT = "insufficient information"
 
-PROMPT = """You answer questions about a set of documents.
+#: A neutral default; callers pass their own wording as ``template``.
+PROMPT = """Question: {question}
 
-Use only the excerpts below as a source of facts.
-- Base the answer on the excerpts that bear on the question and leave the others aside.
-- Combine several excerpts where the answer needs it.
-- Add nothing that the excerpts do not support; answer the part they do support.
-- Differences in wording or scanning errors are no reason to decline.
-- Be clear and brief, use the documents' own terms, and do not mention these rules.
+Answer from the numbered sources and cite them by number.
 
-Question:
-{question}
-
-Excerpts:
 {context}"""
 
+# The labels of a source block.
+SOURCE, DOCUMENT, PAGES, TEXT = "SOURCE ", "Document: ", "Pages: ", "Text:"
+
 
 def with_chunks(hits: DataFrame, chunks: DataFrame, chunk_id: str = "chunk_id") -> DataFrame:
     """Add source, pages and text to ranked hits by chunk id."""
@@ -33,8 +28,8 @@ def with_chunks(hits: DataFrame, chunks: DataFrame, chunk_id: str = "chunk_id")
 def prompt_context(hits: DataFrame, query_id: str = "query_id") -> DataFrame:
     """(query_id, hits, context): the excerpts of a query in order of rank (at most k)."""
     block = F.concat(
-        F.lit("SOURCE "), F.col("rank").cast("string"), F.lit("\nDocument: "), F.col("source").cast("string"),
-        F.lit("\nPages: "), page_list(F.col("page_numbers")), F.lit("\nText:\n"), F.col("text"), F.lit("\n"),
+        F.lit(SOURCE), F.col("rank").cast("string"), F.lit(f"\n{DOCUMENT}"), F.col("source").cast("string"),
+        F.lit(f"\n{PAGES}"), page_list(F.col("page_numbers")), F.lit(f"\n{TEXT}\n"), F.col("text"), F.lit("\n"),
     )
     gathered = hits.groupBy(query_id).agg(
         F.count(F.lit(1)).alias("hits"), F.array_sort(F.collect_list(F.struct("rank", block.alias("block")))).alias("b")

@@ -21,10 +21,10 @@ def _shares(sizes: dict, fraction: float) -> dict:
     """Test rows per class: floor of the share, the rest to the largest remainders."""
     total = sum(sizes.values())
     wanted = math.ceil(fraction * total)
-    shares = {k: n * wanted / total for k, n in sizes.items()}
-    quotas = {k: math.floor(s) for k, s in shares.items()}
+    quotas = {k: n * wanted // total for k, n in sizes.items()}
+    rests = {k: n * wanted % total for k, n in sizes.items()}
     short = wanted - sum(quotas.values())
-    order = sorted(sizes, key=lambda k: (quotas[k] - shares[k], -sizes[k], (k is not None, k)))
+    order = sorted(sizes, key=lambda k: (-rests[k], -sizes[k], (k is not None, k)))
     for k in order[:short]:
         quotas[k] += 1
     return quotas
@@ -76,8 +76,10 @@ def _cutoff_table(keys: DataFrame, fraction: float) -> DataFrame:
     sizes = counts.groupBy("_class").agg(F.sum("_n").alias("_n"))
     total = sizes.agg(F.sum("_n")).first()[0]
     wanted = math.ceil(fraction * total)
-    share = F.col("_n") * F.lit(wanted) / F.lit(total)
-    shares = sizes.withColumn("_floor", F.floor(share)).withColumn("_rest", share - F.floor(share))
+    product = f"cast(_n as decimal(19, 0)) * cast({wanted} as decimal(19, 0))"  # beyond 64 bits
+    shares = sizes.withColumns(
+        {"_floor": F.expr(f"{product} div cast({total} as decimal(19, 0))"), "_rest": F.expr(f"{product} % cast({total} as decimal(19, 0))")}
+    )
     short = wanted - shares.agg(F.sum("_floor")).first()[0]
     ranked = running_totals(shares, [], [F.desc("_rest"), F.desc("_n"), F.col("_class")], {"_place": F.lit(1)})
     extra = F.when(F.col("_place") <= short, 1).otherwise(0)
@@ -103,14 +105,16 @@ def hash_split(
 ) -> DataFrame:
     """Add a boolean column that marks exactly ``ceil(fraction * n)`` rows as test rows.
 
-    Rows are taken in the order of ``md5(seed:id)``; ids must be unique. The result is a
+    Rows are taken in the order of ``md5(seed:id)``; ids must be unique, and rows with equal or
+    missing ids fall on one side, which may then exceed the share. The result is a
     comparison of each row with the cut-off hash of its class, so the data itself is not
     shuffled, and the split is the same on every run and in every partitioning. Finding
     the cut-offs reads only ids and classes: two passes for up to some ten million rows
     per class, one more per factor of 4096. With ``stratify`` the class shares follow the
     largest-remainder rule; a NULL class is a class of its own.
     """
-    hashed = F.md5(F.concat(F.lit(f"{seed}:"), quoted(id_column).cast("string")))
+    named = F.coalesce(quoted(id_column).cast("string"), F.lit("\x00"))  # rows without an id stay together
+    hashed = F.md5(F.concat(F.lit(f"{seed}:"), named))
     kind = quoted(stratify) if stratify else F.lit(0)
     keys = df.select(kind.alias("_class"), hashed.alias("_hash"))
     cutoffs = _cutoffs(keys, fraction)

@@ -36,7 +36,7 @@ def ask(
 ) -> DataFrame:
     """Per question: status, prompt for the answerable ones, and citations as text."""
     asked = embedder.embed(questions.select("query_id", "question"), "question", "embedding")
-    hits = search(asked, stored, k, floor, carry=["source", "page_numbers", "text"])
+    hits = answers.with_chunks(search(asked, stored.select("chunk_id", "embedding"), k, floor), stored)
     gated = answers.evidence_gate(questions.select("query_id", "question"), hits)
     prompts = answers.grounded_prompts(questions, hits).select("query_id", "prompt")
     cited = answers.citations(hits).groupBy("query_id").agg(

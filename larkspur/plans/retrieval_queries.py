@@ -73,10 +73,10 @@ def _hits_sql(floor: float) -> str:
 
 
 def _hits(spark, sf_dir, floor):
-    """Hits with the stored passage on the same row."""
-    return search(
-        v.topics(spark, sf_dir), v.passages(spark, sf_dir), K, floor, carry=["source", "page_numbers", "text"]
-    )
+    """Hits with their passage: the search reads ids and vectors only."""
+    stored = v.passages(spark, sf_dir)
+    hits = search(v.topics(spark, sf_dir), stored.select("chunk_id", "embedding"), K, floor)
+    return answers.with_chunks(hits, stored)
 
 
 @query(f"""WITH {v.CENTROIDS_SQL} SELECT query_id, vec_id AS chunk_id, round_even(score, 6) AS similarity_score, rank FROM (
@@ -109,8 +109,8 @@ _MIDDLE = _REST.split("{context}")[0]
 
 
 @query(f"""{_hits_sql(FLOOR)} SELECT query_id, count(*) AS hits, trim('{_HEAD}' || question || '{_MIDDLE}' || string_agg(
-  'SOURCE ' || rank || chr(10) || 'Document: ' || source || chr(10) || 'Pages: ' || array_to_string(page_numbers, ', ') ||
-  chr(10) || 'Text:' || chr(10) || text || chr(10), chr(10) || chr(10) ORDER BY rank), {v.STRIP_SET}) AS prompt
+  '{answers.SOURCE}' || rank || chr(10) || '{answers.DOCUMENT}' || source || chr(10) || '{answers.PAGES}' || array_to_string(page_numbers, ', ') ||
+  chr(10) || '{answers.TEXT}' || chr(10) || text || chr(10), chr(10) || chr(10) ORDER BY rank), {v.STRIP_SET}) AS prompt
 FROM hits JOIN topics USING (query_id) GROUP BY query_id, question""")
 def grounded_prompt(spark, sf_dir):
     asked = v.topics(spark, sf_dir).select("query_id", "question")

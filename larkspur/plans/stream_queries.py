@@ -19,7 +19,7 @@ from larkspur.streaming import jobs
 def stream_score(spark, sf_dir):
     model = _logistic(churn.split(featured(spark, sf_dir))[0])
     schema = v.table(spark, sf_dir, "orders").schema
-    orders = jobs.file_stream(spark, sf_dir, schema, "orders.parquet")
+    orders = jobs.file_stream(spark, f"{sf_dir}/orders.parquet", schema)
     records = v.account_columns(orders, v.table(spark, sf_dir, "customer")).drop("Churn Label")
     out, state = scratch_path(spark, "scores"), scratch_path(spark, "state")
     jobs.stream_scores(records, model, "CustomerID", _MODEL_CATEGORICAL, churn.NUMERICAL, out, state).awaitTermination()
@@ -30,7 +30,7 @@ def stream_score(spark, sf_dir):
   array_to_string(page_numbers, ', ') AS pages, text FROM chunks""")
 def stream_kb(spark, sf_dir):
     schema = v.table(spark, sf_dir, "documents").schema
-    documents = jobs.file_stream(spark, sf_dir, schema, "documents.parquet")
+    documents = jobs.file_stream(spark, f"{sf_dir}/documents.parquet", schema)
     pages = documents.select("source", F.col("doc_id").alias("page_number"), "text")
     out, state = scratch_path(spark, "kb"), scratch_path(spark, "state")
     jobs.stream_knowledge(pages, out, "library", embed.HashedTokens(), state).awaitTermination()

@@ -10,14 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import WHITESPACE
+from larkspur.plans.churn import RATE_DIMENSIONS, SERVICES  # noqa: F401
 
 SCORE_COLUMNS = ["math score", "reading score", "writing score"]
 SCORE_FEATURES = ["gender", "race/ethnicity", "parental level of education", "lunch", "test preparation course"]
-SERVICES = [
-    "Phone Service", "Multiple Lines", "Online Security", "Online Backup", "Device Protection", "Tech Support",
-    "Streaming TV", "Streaming Movies",
-]
-RATE_DIMENSIONS = ["Contract", "Internet Service", "Payment Method", "Senior Citizen", "TenureGroup"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -276,7 +272,7 @@ topics AS (
     list(m ORDER BY i) AS v, sqrt(sum(m * m)) AS n FROM means GROUP BY label),
 passages AS (
   SELECT vec_id AS chunk_id, 'doc-' || label AS source, [vec_id % 7 + 1, vec_id % 7 + 2, vec_id % 5 + 8] AS page_numbers,
-    text, embedding FROM embeddings JOIN documents ON vec_id = doc_id),
+    coalesce(text, '') AS text, embedding FROM embeddings LEFT JOIN documents ON vec_id = doc_id),
 scored AS (
   SELECT query_id, chunk_id, source, page_numbers, text,
     list_dot_product(v, embedding::DOUBLE[]) / n AS similarity_score
@@ -299,15 +295,15 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All vectors with the text of the document of the same number."""
+    """All vectors with the text of the document of the same number, empty without one."""
     c = F.col
     vectors = table(spark, sf_dir, "embeddings")
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return vectors.join(texts, c("vec_id") == c("doc_id")).select(
+    return vectors.join(texts, c("vec_id") == c("doc_id"), "left").select(
         c("vec_id").alias("chunk_id"),
         F.concat(F.lit("doc-"), c("label").cast("string")).alias("source"),
         F.array(c("vec_id") % 7 + 1, c("vec_id") % 7 + 2, c("vec_id") % 5 + 8).alias("page_numbers"),
-        "text",
+        F.coalesce("text", F.lit("")).alias("text"),
         "embedding",
     )
 

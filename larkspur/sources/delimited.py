@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
-import csv
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.text import BOM, MISSING_TEXTS, strip
-from larkspur.operators.bounds import checked_small, quoted
+from larkspur.operators.bounds import checked_small
+from larkspur.session import durable
 
 # Texts that mark the header line, and separators in order of preference.
 HEADER_MARKS = ["CustomerID", "Tenure Months", "Churn Label"]
 SEPARATORS = ["\t", ",", ";"]
 
-MAX_LAYOUTS = 64
-
 
-def detect_separator(header: str) -> str:
-    for separator in SEPARATORS:
-        if separator in header:
-            return separator
-    raise ValueError(f"no known separator in the header line: {header[:80]!r}")
+def separator_of(header: Column) -> Column:
+    """The first of the known separators that the header holds, else NULL."""
+    return F.coalesce(*[F.when(header.contains(s), s) for s in SEPARATORS])
 
 
-def clean_names(names: list[str]) -> list[str]:
-    return [n.replace(BOM, "").strip() for n in names]
+def split_record(value: Column, separator: Column, width: int) -> Column:
+    """The fields of a record as a struct of texts c0, c1, ..., quoted ones unquoted."""
+    schema = ", ".join(f"`c{i}` STRING" for i in range(width))
+    options = {"escape": '"', "mode": "PERMISSIVE"}
+    return F.coalesce(*[F.when(separator == s, F.from_csv(value, schema, options | {"sep": s})) for s in SEPARATORS])
 
 
 def read_dirty(
@@ -59,34 +57,39 @@ def read_dirty(
     headers = marked.groupBy("file").agg(
         F.min_by("value", row_id).alias("header"), F.min(row_id).alias("header_at")
     )
-    headers = checked_small(headers)
-    layouts = [r["header"] for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if not layouts:
-        raise ValueError("no header line with " + ", ".join(marks))
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different header lines")
-    without = lines.join(headers, "file", "left_anti").select("file").limit(1).collect()
+    headers = headers.withColumn("separator", separator_of(F.col("header")))
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))  # lists, reads nothing
+    headers = durable(headers)
+    without = files.join(headers, "file", "left_anti").limit(1).collect()
     if without:
         raise ValueError(f"no header line with {', '.join(marks)} in {without[0]['file']}")
-
-    body = lines.join(headers, "file").where(F.col(row_id) > F.col("header_at"))
-    out = None
-    for header in sorted(layouts):
-        separator = detect_separator(header)
-        names = clean_names(next(csv.reader([header.strip("\r\n")], delimiter=separator)))
-        schema = ", ".join(f"`c{i}` STRING" for i in range(len(names)))
-        options = {"sep": separator, "escape": '"', "mode": "PERMISSIVE"}
-        blank = (strip(F.col("value")) == "") & ~F.col("value").contains(separator)
-        kept = body.where((F.col("header") == header) & ~blank)
-        parsed = kept.select(row_id, F.from_csv("value", schema, options).alias("r"))
-        values = []
-        for i, name in enumerate(names):
-            value = F.col(f"r.c{i}")
-            value = F.when(value.isin(MISSING_TEXTS), None).otherwise(strip(value))
-            values.append((F.coalesce(value, F.lit(null_literal)) if null_literal is not None else value).alias(name))
-        part = parsed.select(row_id, *values)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    unknown = headers.where("separator is null").limit(1).collect()
+    if unknown:
+        raise ValueError(f"no known separator in the header line: {unknown[0]['header'][:80]!r}")
+
+    # Files differ in their separator and in the place of a name; both come with the file's header.
+    parts = F.size(F.split("header", F.concat(F.lit("["), F.col("separator"), F.lit("]"))))
+    width = headers.agg(F.max(parts)).first()[0]
+    if width is None:
+        raise ValueError("no header line with " + ", ".join(marks))
+    every = [F.col(f"r.c{i}") for i in range(width)]
+    read = headers.withColumn("r", split_record(F.rtrim("header", F.lit("\r\n")), F.col("separator"), width))
+    names = F.array(*[strip(F.replace(F.coalesce(c, F.lit("")), F.lit(BOM), F.lit(""))) for c in every])
+    headers = durable(read.select("file", "header", "header_at", "separator", names.alias("names")))
+    places = headers.select("header", F.posexplode("names").alias("place", "name"))
+    named = places.where("name <> ''").groupBy("name").agg(F.min(F.struct("header", "place")).alias("first")).orderBy("first").collect()  # the columns
+
+    body = lines.join(checked_small(headers), "file").where(F.col(row_id) > F.col("header_at"))
+    blank = (strip(F.col("value")) == "") & ~F.col("value").contains(F.col("separator"))
+    split = body.where(~blank).select(row_id, "names", split_record(F.col("value"), F.col("separator"), width).alias("r"))
+    split = split.select(row_id, "names", F.array(*every).alias("fields"))
+    values = []
+    for name in [r["name"] for r in named]:
+        place = F.array_position("names", F.lit(name))
+        value = F.when(place > 0, F.get("fields", (place - 1).cast("int")))
+        missing = F.when(place > 0, F.lit(null_literal)) if null_literal is not None else F.lit(None)
+        values.append(F.when(value.isNull() | value.isin(MISSING_TEXTS), missing).otherwise(strip(value)).cast("string").alias(name))
+    return split.select(row_id, *values)
 
 
 def read_plain(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -97,8 +100,3 @@ def read_plain(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 def write_plain(df: DataFrame, path: str) -> None:
     """Comma-separated files with a header line in each."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-
-
-def as_texts(df: DataFrame) -> DataFrame:
-    """All columns as text, ready for a delimited sink."""
-    return df.select(*[quoted(c).cast("string").alias(c) for c in df.columns])

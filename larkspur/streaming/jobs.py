@@ -17,12 +17,15 @@ from larkspur.sources import corpus
 BATCH_IDS = 1 << 40  # chunk ids set aside per micro-batch
 
 
-def file_stream(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", files: int | None = None) -> DataFrame:
-    """New Parquet files below ``path``; ``files`` bounds the files of one micro-batch."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+def file_stream(spark: SparkSession, path: str, schema, files: int | None = None) -> DataFrame:
+    """New Parquet files of a table that is a file or a folder of part files.
+
+    ``files`` bounds the files of one micro-batch.
+    """
+    reader = spark.readStream.schema(schema)
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
-    return reader.parquet(path)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")  # as a pattern, the path may be a single file
 
 
 def stream_scores(

@@ -9,7 +9,8 @@ from larkspur.operators import clean, metrics, models, prep, profile
 from larkspur.plans import churn, exams
 from larkspur.plans import views as v
 from larkspur.session import scratch_path
-from larkspur.sources.delimited import detect_separator, read_dirty
+from larkspur.operators.split import hash_split
+from larkspur.sources.delimited import read_dirty
 from larkspur.streaming import jobs
 
 MARKS = ["CustomerID", "Tenure Months", "Churn Label"]
@@ -43,8 +44,57 @@ def test_dirty_file_without_header(spark, tmp_path):
     (tmp_path / "b.csv").write_text("CustomerID,Tenure Months,Churn Label\n1,2,Yes\n", encoding="utf-8")
     with pytest.raises(ValueError, match="a.csv"):
         read_dirty(spark, str(tmp_path), MARKS)
-    with pytest.raises(ValueError):
-        detect_separator("one")
+    (tmp_path / "a.csv").write_text("CustomerID Tenure Months Churn Label\n1,2,Yes\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="separator"):
+        read_dirty(spark, str(tmp_path), MARKS)
+
+
+def test_many_layouts_in_one_scan(spark, tmp_path):
+    for i in range(70):
+        names = ["CustomerID", "Tenure Months", "Churn Label", f"Extra {i}"]
+        names = names[i % 4 :] + names[: i % 4]
+        sep = "\t,;"[i % 3]
+        values = {"CustomerID": f"c{i}", "Tenure Months": str(i), "Churn Label": "Yes", f"Extra {i}": f"x{i}"}
+        lines = [sep.join(names), sep.join(values[n] for n in names)]
+        (tmp_path / f"f{i}.csv").write_text("\n".join(lines), encoding="utf-8")
+    rows = read_dirty(spark, str(tmp_path), MARKS)
+    assert len(rows.columns) == 1 + 3 + 70
+    got = {r["CustomerID"]: r for r in rows.collect()}
+    assert len(got) == 70
+    for i in range(70):
+        r = got[f"c{i}"]
+        assert (r["Tenure Months"], r["Churn Label"], r[f"Extra {i}"], r[f"Extra {(i + 1) % 70}"]) == (str(i), "Yes", f"x{i}", None)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("] text") == 1
+
+
+@pytest.mark.parametrize("stratify", [None, "k"])
+def test_split_with_missing_ids(spark, stratify):
+    rows = spark.createDataFrame([(None if i % 40 == 0 else i, "ab"[i % 2]) for i in range(200)], "i long, k string")
+    marked = hash_split(rows, "i", stratify=stratify).collect()
+    assert len(marked) == 200 and all(r["is_test"] is not None for r in marked)
+    assert 40 <= sum(r["is_test"] for r in marked) <= 45
+
+
+def test_split_of_many_large_classes(spark, monkeypatch):
+    from larkspur.operators import split
+
+    rows = spark.range(60_000).selectExpr("id", "id % 60 as k")
+    monkeypatch.setattr(split, "COUNT_ROWS", 50)
+    assert hash_split(rows, "id", stratify="k").where("is_test").count() == 12_000
+    assert split._shares({"a": 10**10, "b": 3 * 10**10 + 1}, 0.2) == {"a": 2 * 10**9, "b": 6 * 10**9 + 1}
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_streams_read_files_and_folders(spark, tmp_path, parts):
+    path = str(tmp_path / "t.parquet")
+    spark.range(90).repartition(parts).write.parquet(path)
+    if parts == 1:
+        path = str(next((tmp_path / "t.parquet").glob("*.parquet")))
+    query = jobs.file_stream(spark, path, "id long").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "state")
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 90
 
 
 def test_header_reaches_all_splits_of_a_file(spark, tmp_path):
