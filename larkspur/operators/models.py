@@ -31,7 +31,7 @@ def linear_regressor(label: str) -> LinearRegression:
 def forest_regressor(label: str, trees: int = TREES, depth: int = DEEPEST) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=label, numTrees=trees, minInstancesPerNode=MIN_LEAF, featureSubsetStrategy="all",
-        maxDepth=depth, seed=SEED, maxMemoryInMB=1024,
+        maxDepth=depth, seed=SEED, maxMemoryInMB=1024, cacheNodeIds=True,
     )
 
 
@@ -46,7 +46,7 @@ def logistic_classifier(label: str, train_rows: int) -> LogisticRegression:
 def forest_classifier(label: str, trees: int = TREES, depth: int = DEEPEST) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol=label, numTrees=trees, minInstancesPerNode=MIN_LEAF, featureSubsetStrategy="sqrt",
-        impurity="gini", maxDepth=depth, seed=SEED, maxMemoryInMB=1024,
+        impurity="gini", maxDepth=depth, seed=SEED, maxMemoryInMB=1024, cacheNodeIds=True,
     )
 
 

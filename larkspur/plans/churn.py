@@ -66,6 +66,11 @@ def add_features(rows: DataFrame) -> DataFrame:
     )
 
 
+def prepare(records: DataFrame) -> DataFrame:
+    """Raw records as the models were trained on: trimmed, coerced, with features."""
+    return add_features(clean.coerce_numeric(clean.trim_strings(records), COERCED))
+
+
 def split(rows: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     marked = hash_split(rows, ID, 0.2, seed, stratify=TARGET)
     return marked.where(~F.col("is_test")).drop("is_test"), marked.where("is_test").drop("is_test")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions import tabular as ft
@@ -18,11 +18,24 @@ TARGET = "overall_score"
 LINEAR, FOREST = "Linear Regression", "Random Forest"
 
 
-def clean_scores(raw: DataFrame, dedupe: bool = True) -> DataFrame:
-    """Coerce, remove equal rows, drop invalid scores and rows without any; add mean and band."""
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of comma-separated files, all as text, with a ``row_id`` in the order of the files."""
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    clean.require_columns(raw, [*FEATURES, *SCORES])
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    return raw.select("*", F.to_json(place).alias("row_id"))
+
+
+def clean_scores(raw: DataFrame, dedupe: bool = True, id_column: str | None = None) -> DataFrame:
+    """Coerce, remove equal rows, drop invalid scores and rows without any; add mean and band.
+
+    Rows are equal if everything but ``id_column`` is; the first id stays.
+    """
     clean.require_columns(raw, [*FEATURES, *SCORES])
     rows = clean.coerce_numeric(raw, SCORES)
-    if dedupe:
+    if dedupe and id_column:
+        rows = clean.first_by_key(rows, [c for c in rows.columns if c != id_column], [id_column])
+    elif dedupe:
         rows = clean.drop_duplicate_rows(rows)
     rows = clean.drop_all_missing(clean.guard_range(rows, SCORES), SCORES)
     rows = rows.withColumn(TARGET, ft.row_mean(*[quoted(s) for s in SCORES]))
@@ -51,7 +64,7 @@ def train(rows: DataFrame, id_column: str, trees: int = models.TREES, depth: int
 
 def run(raw: DataFrame, id_column: str, out: str, trees: int = models.TREES) -> str:
     """The whole pipeline; tables and the selected model go below ``out``. Returns its name."""
-    rows = clean_scores(raw)
+    rows = clean_scores(raw, id_column=id_column)
     write_plain(rows, f"{out}/cleaned")
     write_plain(profile.describe(rows, [*SCORES, TARGET]), f"{out}/describe")
     write_plain(profile.value_counts(rows, FEATURES), f"{out}/value_counts")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from larkspur.operators import metrics, models, prep
+from larkspur.operators import metrics, models, prep, profile
 from larkspur.operators.bounds import quoted
 from larkspur.operators.split import hash_split
 from larkspur.plans import churn, exams
@@ -178,21 +178,15 @@ def confusion_matrix(spark, sf_dir):
 
 # ---- models -------------------------------------------------------------------------------
 
-# The pipelines train 300 trees without a depth limit; the checks grow a smaller forest on
-# the same whole tables, which takes seconds instead of minutes.
-_TREES, _DEPTH = 20, 8
-
-
 def _churn_sets(spark, sf_dir):
-    return churn.split(featured(spark, sf_dir))
-
-
-_MODEL_CATEGORICAL = ["Gender", "Senior Citizen", "Contract", "Payment Method", "TenureGroup", "IsNewCustomer"]
+    """(training rows, test rows, categorical features, numeric features) of the pipeline."""
+    rows = featured(spark, sf_dir)
+    categorical, numeric, _ = profile.select_features(rows, churn.CATEGORICAL, churn.NUMERICAL, churn.LEAKAGE)
+    return *churn.split(rows), categorical, numeric
 
 
-def _logistic(training):
-    estimator = models.logistic_classifier("Churn", training.count())
-    return models.fit(training, _MODEL_CATEGORICAL, churn.NUMERICAL, estimator)
+def _logistic(training, categorical, numeric):
+    return models.fit(training, categorical, numeric, models.logistic_classifier("Churn", training.count()))
 
 
 @query(f"""WITH {v.CLEAN_SCORES_SQL}, divided AS (
@@ -219,28 +213,28 @@ def regression_predictions(spark, sf_dir):
 @query()
 def rf_regressor(spark, sf_dir):
     training, testing = exams.split(clean_scores(spark, sf_dir), "row_key")
-    model = models.fit(training, exams.FEATURES, [], models.forest_regressor(exams.TARGET, _TREES, _DEPTH))
+    model = models.fit(training, exams.FEATURES, [], models.forest_regressor(exams.TARGET))
     return metrics.regression_metrics(models.predict_values(model, testing), exams.TARGET, "predicted", exams.FOREST)
 
 
 @query()
 def logistic_regression(spark, sf_dir):
-    training, testing = _churn_sets(spark, sf_dir)
-    tested = models.predict_classes(_logistic(training), testing)
-    return models.classification_table(tested, "Churn", ["CustomerID", *_MODEL_CATEGORICAL, *churn.NUMERICAL])
+    training, testing, categorical, numeric = _churn_sets(spark, sf_dir)
+    tested = models.predict_classes(_logistic(training, categorical, numeric), testing)
+    return models.classification_table(tested, "Churn", ["CustomerID", *categorical, *numeric])
 
 
 @query()
 def rf_classifier(spark, sf_dir):
-    training, testing = _churn_sets(spark, sf_dir)
-    model = models.fit(training, _MODEL_CATEGORICAL, churn.NUMERICAL, models.forest_classifier("Churn", _TREES, _DEPTH))
+    training, testing, categorical, numeric = _churn_sets(spark, sf_dir)
+    model = models.fit(training, categorical, numeric, models.forest_classifier("Churn"))
     tested = models.predict_classes(model, testing)
     return metrics.classification_metrics(tested, "Churn", "predicted", "probability", churn.FOREST)
 
 
 def _importances(spark, sf_dir):
     training, _ = exams.split(clean_scores(spark, sf_dir), "row_key")
-    estimator = models.forest_regressor(exams.TARGET, _TREES, _DEPTH)
+    estimator = models.forest_regressor(exams.TARGET)
     return models.importances(models.fit(training, exams.FEATURES, [], estimator), spark)
 
 
@@ -256,17 +250,19 @@ def feature_importance_top(spark, sf_dir):
 
 @query()
 def batch_score(spark, sf_dir):
-    rows = featured(spark, sf_dir)
-    model = _logistic(churn.split(rows)[0])
-    incoming = churn.add_features(v.accounts(spark, sf_dir).drop("Churn Label")).drop("Gender")  # a column is absent
-    return models.score(model, incoming, "CustomerID", _MODEL_CATEGORICAL, churn.NUMERICAL, models.action_table(spark))
+    training, _, categorical, numeric = _churn_sets(spark, sf_dir)
+    incoming = churn.prepare(v.accounts(spark, sf_dir).drop("Churn Label")).drop("Gender")  # a column is absent
+    return models.score(
+        _logistic(training, categorical, numeric), incoming, "CustomerID", categorical, numeric, models.action_table(spark)
+    )
 
 
 @query(f"""WITH {v.LABELLED_SQL} SELECT "CustomerID", true AS same_probability FROM labelled""")
 def model_roundtrip(spark, sf_dir):
     """A saved and loaded model gives every account the probability it had before."""
     rows = featured(spark, sf_dir)
-    model = _logistic(churn.split(rows)[0])
+    training, _, categorical, numeric = _churn_sets(spark, sf_dir)
+    model = _logistic(training, categorical, numeric)
     path = scratch_path(spark, "model")
     models.save_model(model, path)
     again = models.load_model(path)
@@ -278,7 +274,5 @@ def model_roundtrip(spark, sf_dir):
 @query()
 def model_manifest(spark, sf_dir):
     rows = featured(spark, sf_dir)
-    from larkspur.operators import profile
-
     categorical, numeric, constant = profile.select_features(rows, churn.CATEGORICAL, churn.NUMERICAL, churn.LEAKAGE)
     return churn.manifest(rows, churn.LOGISTIC, categorical, numeric, constant, "CustomerID")

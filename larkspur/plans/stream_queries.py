@@ -6,23 +6,23 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import page_list
 from larkspur.operators import embed
-from larkspur.plans import churn, knowledge
+from larkspur.plans import knowledge
 from larkspur.plans import views as v
-from larkspur.plans.learning_queries import _MODEL_CATEGORICAL, _logistic
+from larkspur.plans.learning_queries import _churn_sets, _logistic
 from larkspur.plans.registry import query
-from larkspur.plans.tabular_queries import featured
 from larkspur.session import scratch_path
 from larkspur.streaming import jobs
 
 
 @query()
 def stream_score(spark, sf_dir):
-    model = _logistic(churn.split(featured(spark, sf_dir))[0])
+    training, _, categorical, numeric = _churn_sets(spark, sf_dir)
+    model = _logistic(training, categorical, numeric)
     schema = v.table(spark, sf_dir, "orders").schema
     orders = jobs.file_stream(spark, f"{sf_dir}/orders.parquet", schema)
     records = v.account_columns(orders, v.table(spark, sf_dir, "customer")).drop("Churn Label")
     out, state = scratch_path(spark, "scores"), scratch_path(spark, "state")
-    jobs.stream_scores(records, model, "CustomerID", _MODEL_CATEGORICAL, churn.NUMERICAL, out, state).awaitTermination()
+    jobs.stream_scores(records, model, "CustomerID", categorical, numeric, out, state).awaitTermination()
     return spark.read.parquet(out)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from larkspur.operators import chunks, models
 from larkspur.operators.embed import Embedder
-from larkspur.plans.churn import add_features
+from larkspur.plans.churn import prepare
 from larkspur.sources import corpus
 
 BATCH_IDS = 1 << 40  # chunk ids set aside per micro-batch
@@ -37,7 +37,7 @@ def stream_scores(
     Stateless: every record is scored once, the checkpoint makes restarts exact.
     """
     actions = models.action_table(records.sparkSession)
-    scored = models.score(model, add_features(records), id_column, categorical, numeric, actions)
+    scored = models.score(model, prepare(records), id_column, categorical, numeric, actions)
     return (
         scored.writeStream.format("parquet")
         .option("path", out)
