@@ -23,9 +23,9 @@ empty tables. Extra columns are not stored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -61,11 +61,11 @@ class Encoder:
     two generations of at most ``MEMO_WORDS``, which bounds memory and not what is encoded.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_str(definition)
         self.encode = tokenizer.encode
         vocabulary = tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -95,7 +95,7 @@ class Encoder:
             ids = self.young.get(word) or self.old.get(word)
             if ids is not None:
                 found[word] = ids
-            elif _LETTERS(word) and word.decode().isalpha():
+            elif word.isalpha() or (not word.isascii() and word.decode().isalpha()):
                 runs.append(word)
             else:
                 others.append(word)
@@ -112,9 +112,9 @@ class Encoder:
         lists = [as_bytes(text).split() for text in texts]
         parts, needed = {}, set()
         for word in set().union(*lists):
-            match = _WORD_AND_MARKS(word)
-            if match and (word.isascii() or match[1].decode().isalpha()):
-                parts[word] = pair = match[1].lower(), match[2]
+            letters = word.rstrip(_MARKS)
+            if letters.isalpha() or (letters and not letters.isascii() and letters.decode().isalpha()):
+                parts[word] = pair = letters.lower(), word[len(letters) :]
                 needed.update(pair)
             else:
                 parts[word] = (word, b"")
@@ -126,8 +126,15 @@ class Encoder:
         return [b"".join(map(ids.__getitem__, words)) for words in lists]
 
 
-_WORD_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?]*)").fullmatch
-_LETTERS = re.compile(rb"[a-z\x80-\xff]+").fullmatch
+_MARKS = b".,;:!?"
+
+
+def worker_encoder(shared) -> Encoder:
+    """The encoder of this Python worker: made from the broadcast definition, kept from task to task."""
+    state = shared.value
+    if "encoder" not in state:
+        state["encoder"] = Encoder(state["definition"])
+    return state["encoder"]
 
 
 def to_planes(ids: bytes, bits: bool = False, level: int = LEVEL) -> list[bytes]:
@@ -167,12 +174,12 @@ def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         begin = stop
 
 
-def _encode_shard(tokenizer: str, end_id: int, block_ids: int, bits: bool):
+def _encode_shard(shared, end_id: int, block_ids: int, bits: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encode, end = Encoder(tokenizer).ids, int(end_id).to_bytes(4, "little")
+        encode, end = worker_encoder(shared).ids, int(end_id).to_bytes(4, "little")
         schema = pa.schema(
             [("kind", pa.int32()), ("shard", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()),
              ("offset", pa.int64()), ("n_ids", pa.int64()), ("planes", pa.list_(pa.binary()))]
@@ -214,7 +221,9 @@ def write(
     spark = docs.sparkSession
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    records = ordered.mapInArrow(_encode_shard(tokenizer or default_tokenizer(), end_id, block_ids, bits), RECORDS)
+    definition = Path(tokenizer or default_tokenizer()).read_text(encoding="utf-8")
+    shared = spark.sparkContext.broadcast({"definition": definition})  # one vocabulary file
+    records = ordered.mapInArrow(_encode_shard(shared, end_id, block_ids, bits), RECORDS)
     # One pass writes both: the table is split by kind, and each part is read with its own columns.
     records.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/records")
     spark.read.schema(RECORDS).parquet(f"{path}/records").where("kind = 0").groupBy("shard").agg(

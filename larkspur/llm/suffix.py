@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from larkspur.llm.shipping import opened, shipped
-from larkspur.llm.text import as_bytes
+from larkspur.llm.text import as_bytes, carried, text_of
 
 WINDOW = 10
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 BLOCK_CHARS = 1 << 24
 
 _KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
@@ -165,7 +165,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
     """Bounded groups of rows with the words of their texts."""
     for batch in batches:
         begin, size, docs = 0, 0, []
-        for i, text in enumerate(batch.column("text")):
+        for i, text in enumerate(text_of(batch)):
             docs.append(words(text.as_py()))
             size += len(docs[-1])
             if size >= SHARD_WORDS:
@@ -262,8 +262,7 @@ def _merged(spans):
 
 def find(docs: DataFrame, items: DataFrame, carry: list[str] | None = None, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per document: ``row`` (the carried columns), n_words, hit spans of words, and item names."""
-    row = F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)])
-    plain = docs.select(row.alias("row"), "text")
+    plain = carried(docs, carry or docs.columns)
     schema = _schema(plain.schema["row"].dataType)
     scans = [plain.mapInArrow(_hits(block), schema) for block in _blocks(items, window, block_chars)]
     if len(scans) == 1:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +32,14 @@ def unit_hash(*parts: Column) -> Column:
 
 def as_bytes(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
+
+
+def carried(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``row`` with the columns to carry, and the text beside it unless it is one of them."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    return docs.select(row) if "text" in columns else docs.select(row, "text")
+
+
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch of a ``carried`` frame."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")

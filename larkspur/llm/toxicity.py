@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from larkspur.llm.text import as_bytes, fold
+from larkspur.llm.text import as_bytes, carried, fold, text_of
 
 THRESHOLD = 0.7
 WINDOW, STRIDE = 48, 24
@@ -41,7 +41,7 @@ WORD_BUCKETS, GRAM_BUCKETS = 1 << 12, 1 << 15
 GRAMS = (3, 4, 5)
 LETTERS = 24
 BATCH_WINDOWS = 8192
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 20
 FOLDS, HELD_OUT = 3, 1
 
 _KEPT = bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
@@ -350,14 +350,14 @@ def _scored(shared):
 
         model, share = shared.value
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            texts = text_of(batch)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
             part = (np.cumsum(sizes) - sizes) // TEXT_BYTES
             cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
             for begin, end in zip(cuts, cuts[1:]):
-                rows = batch.slice(begin, end - begin)
-                if rows.num_rows:
-                    found = scores(model, share, rows.column("text").to_pylist())
-                    yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(found)], names=["row", "score"])
+                if end > begin:
+                    found = scores(model, share, texts.slice(begin, end - begin).to_pylist())
+                    yield pa.RecordBatch.from_arrays([batch.column("row").slice(begin, end - begin), pa.array(found)], names=["row", "score"])
 
     return run
 
@@ -365,8 +365,7 @@ def _scored(shared):
 def score(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """``row`` (the carried columns) and score of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-    row = F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)])
-    plain = docs.select(row.alias("row"), "text")
+    plain = carried(docs, carry or docs.columns)
     schema = StructType([StructField("row", plain.schema["row"].dataType), StructField("score", DoubleType())])
     return plain.mapInArrow(_scored(shared), schema)
 
