@@ -20,6 +20,7 @@ MIN_SIMILARITY = 0.35
 QUERY_ROWS = 10_000  # query vectors the driver reads at most
 QUERY_VALUES = 4_000_000  # numbers in a broadcast query matrix: 32 MB of doubles
 CORPUS_BLOCK = 50_000  # vectors of one corpus block in the grid form
+TILE_CELLS = 16_000_000  # scores held at once: 128 MB of doubles, whatever the width
 
 
 def _matrix(column: pa.Array, dimension: int | None = None) -> np.ndarray:
@@ -63,8 +64,8 @@ def search(
     Scores are inner products in double precision; scores below ``floor`` are dropped,
     ties go to the smaller chunk id. ``within`` ranks separately per value of a corpus
     column, ``carry`` takes further corpus columns along. Each task keeps its own k best
-    per query, so what is shuffled does not grow with the corpus beyond k rows per query
-    and batch, and pairs are never rows.
+    per query, so what is shuffled is at most k rows per query and task, and pairs are
+    never rows. At most ``TILE_CELLS`` scores are held at once.
 
     Query vectors are broadcast as one matrix if there are at most ``QUERY_ROWS`` of them
     and their numbers are within ``query_values``. More queries are met in a grid: blocks of queries against blocks
@@ -78,29 +79,45 @@ def search(
         + [corpus.schema[c] for c in kept]
         + [T.StructField("similarity_score", T.DoubleType())]
     )
-    table = wanted.limit(QUERY_ROWS + 1).toArrow()
-    width = len(table.column(vector)[0]) if len(table) else 0
-    if len(table) <= QUERY_ROWS and len(table) * width <= query_values:
+    size = wanted.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("width")).first()
+    width = size["width"] or 0
+    if size["n"] <= QUERY_ROWS and size["n"] * width <= query_values:  # measured before it is read
+        table = wanted.toArrow()
         found = _against_matrix(table, stored, k, floor, query_id, chunk_id, vector, within, kept, schema)
     else:
-        blocks = math.ceil(wanted.count() / max(1, query_values // width))
+        blocks = math.ceil(size["n"] / max(1, query_values // max(1, width)))
         found = _against_grid(wanted, stored, k, floor, query_id, chunk_id, vector, within, kept, schema, blocks)
     groups = [within] if within else []
     order = Window.partitionBy(query_id, *groups).orderBy(F.desc("similarity_score"), chunk_id)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _top(asked: np.ndarray, kinds: np.ndarray | None, ids: np.ndarray, values: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best entries per query and kind; the smaller id wins ties."""
+    kind = np.zeros(len(asked), "int64") if kinds is None else np.unique(kinds, return_inverse=True)[1]
+    order = np.lexsort((np.unique(ids, return_inverse=True)[1], -values, kind, asked))
+    first = np.ones(len(order), bool)
+    first[1:] = (asked[order][1:] != asked[order][:-1]) | (kind[order][1:] != kind[order][:-1])
+    begin = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    return order[np.arange(len(order)) - begin < k]
+
+
 def _block_best(rows, ids, kinds, matrix, k, floor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query numbers, row numbers, scores) of the k best rows per query and kind."""
-    scores = rows @ matrix.T
+    """(query numbers, row numbers, scores) of the k best rows per query and kind, tile by tile."""
     asked, at, values = [np.zeros(0, "int64")], [np.zeros(0, "int64")], [np.zeros(0)]
-    for kind in [None] if kinds is None else np.unique(kinds):
-        some = np.arange(len(ids)) if kinds is None else np.flatnonzero(kinds == kind)
-        for q, best in _best(scores[some], ids[some], k, floor):
-            asked.append(np.full(len(best), q))
-            at.append(some[best])
-            values.append(scores[some[best], q])
-    return np.concatenate(asked), np.concatenate(at), np.concatenate(values)
+    step = max(1, TILE_CELLS // max(1, len(matrix)))
+    for start in range(0, len(ids), step):
+        scores = rows[start : start + step] @ matrix.T
+        own = None if kinds is None else kinds[start : start + step]
+        for kind in [None] if kinds is None else np.unique(own):
+            some = np.arange(len(scores)) if kinds is None else np.flatnonzero(own == kind)
+            for q, best in _best(scores[some], ids[start + some], k, floor):
+                asked.append(np.full(len(best), q))
+                at.append(start + some[best])
+                values.append(scores[some[best], q])
+    asked, at, values = np.concatenate(asked), np.concatenate(at), np.concatenate(values)
+    kept = _top(asked, None if kinds is None else kinds[at], ids[at], values, k)
+    return asked[kept], at[kept], values[kept]
 
 
 def _against_matrix(table, stored, k, floor, query_id, chunk_id, vector, within, kept, schema) -> DataFrame:
@@ -109,7 +126,9 @@ def _against_matrix(table, stored, k, floor, query_id, chunk_id, vector, within,
     shared = stored.sparkSession.sparkContext.broadcast((names, matrix))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k best of a task: what is sent on does not grow with its batches."""
         names, matrix = shared.value
+        held = None
         for batch in batches:
             if not len(names) or not batch.num_rows:
                 continue
@@ -118,8 +137,16 @@ def _against_matrix(table, stored, k, floor, query_id, chunk_id, vector, within,
             ids = columns[chunk_id].to_numpy(zero_copy_only=False)
             rows = _matrix(columns[vector], matrix.shape[1])
             asked, at, values = _block_best(rows, ids, kinds, matrix, k, floor)
-            arrays = [names.take(pa.array(asked)), *[columns[c].take(pa.array(at)) for c in kept], pa.array(values)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[query_id, *kept, "similarity_score"])
+            arrays = [pa.array(asked), *[columns[c].take(pa.array(at)) for c in kept], pa.array(values)]
+            found = pa.table(arrays, names=["_asked", *kept, "similarity_score"])
+            held = found if held is None else pa.concat_tables([held, found])
+            kinds = held.column(within).to_numpy() if within else None
+            places = _top(held.column("_asked").to_numpy(), kinds, held.column(chunk_id).to_numpy(), held.column("similarity_score").to_numpy(), k)
+            held = held.take(pa.array(places))
+        if held is not None:
+            asked = names.take(held.column("_asked").combine_chunks())
+            out = pa.table([asked, *[held.column(c) for c in kept], held.column("similarity_score")], names=[query_id, *kept, "similarity_score"])
+            yield from out.combine_chunks().to_batches()
 
     return stored.mapInArrow(best, schema)
 

@@ -131,3 +131,38 @@ def test_search_without_queries(spark):
     corpus = spark.createDataFrame([(1, [1.0, 0.0])], "chunk_id long, embedding array<double>")
     queries = spark.createDataFrame([], "query_id long, embedding array<double>")
     assert search(queries, corpus).count() == 0
+
+
+@pytest.mark.parametrize("width", [8, 64, 384])
+def test_score_tiles_stay_within_their_bound(width, monkeypatch):
+    from larkspur.operators import search as module
+
+    monkeypatch.setattr(module, "TILE_CELLS", 500)
+    seen = []
+    plain = module._best
+    monkeypatch.setattr(module, "_best", lambda scores, *a: seen.append(scores.size) or plain(scores, *a))
+    draw = np.random.default_rng(width)
+    rows, matrix = draw.standard_normal((400, width)), draw.standard_normal((20, width))
+    ids, kinds = np.arange(400)[::-1].copy(), draw.integers(0, 3, 400)
+    asked, at, values = module._block_best(rows, ids, kinds, matrix, 3, -1e9)
+    assert max(seen) <= 500
+    scores = rows @ matrix.T
+    for q in range(20):
+        for kind in range(3):
+            some = np.flatnonzero(kinds == kind)
+            want = some[np.lexsort((ids[some], -scores[some, q]))[:3]]
+            assert sorted(at[(asked == q) & (kinds[at] == kind)]) == sorted(want)
+    assert np.allclose(values, scores[at, asked])
+
+
+def test_sent_rows_do_not_grow_with_batches(spark):
+    rows = [(i, [float(i % 17), 1.0]) for i in range(3000)]
+    corpus = spark.createDataFrame(rows, "chunk_id long, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<double>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = search(asked, corpus, 5, 0.0).orderBy("rank").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [r["chunk_id"] for r in got] == [16 + 17 * i for i in range(5)]
