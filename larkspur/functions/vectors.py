@@ -6,17 +6,5 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def inner_product(a: Column, b: Column) -> Column:
-    """Inner product of two arrays, in double precision."""
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
-
-
 def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
-
-
-def unit(a: Column) -> Column:
-    """The array scaled to length one; a zero vector stays as it is."""
-    length = norm(a)
-    return F.transform(a, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0).cast("float"))

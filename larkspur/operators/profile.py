@@ -11,9 +11,9 @@ from larkspur.operators.ranks import running_totals
 from larkspur.operators.summaries import summarize, tall
 
 
-def shape(df: DataFrame) -> tuple[int, int]:
-    """(rows, columns)."""
-    return df.count(), len(df.columns)
+def shape(df: DataFrame) -> DataFrame:
+    """(rows, columns) as one row."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
 def preview(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:

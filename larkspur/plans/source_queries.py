@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larkspur.functions.text import BOM
+from larkspur.functions.text import BOM, page_list, preview
+from larkspur.operators import profile
 from larkspur.operators.bounds import quoted
 from larkspur.plans import churn
 from larkspur.plans import views as v
@@ -91,3 +92,45 @@ def vector_table(spark, sf_dir):
     rows = v.table(spark, sf_dir, "embeddings").select(c("vec_id").alias("chunk_id"), "embedding", "label")
     corpus.write_vectors(rows, path, "label")
     return corpus.read_vectors(spark, path).select("chunk_id", "label", F.size("embedding").alias("dimension"))
+
+
+@query("""SELECT conv_id::VARCHAR AS source, (turn + 1)::VARCHAR AS pages, text, length(text)::INT AS character_count,
+  turn::BIGINT AS chunk_id FROM conversations""")
+def chunk_json_read(spark, sf_dir):
+    """Chunk files, one JSON object per conversation, written as text and read back."""
+    chunk = F.struct(
+        c("conv_id").cast("string").alias("source"), F.array((c("turn") + 1).cast("int")).alias("page_numbers"), "text",
+        F.length("text").alias("character_count"), c("turn").cast("long").alias("chunk_id"),
+    )
+    objects = v.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(chunk).alias("chunks")).select("chunks")
+    path = scratch_path(spark, "chunks")
+    corpus.as_object(objects, "value").write.text(path)
+    out = corpus.read_chunks(spark, path, multi_line=False)
+    return out.select("source", page_list(c("page_numbers")).alias("pages"), "text", "character_count", "chunk_id")
+
+
+@query("""SELECT '{"source": "broken' AS line, count(*) AS lines FROM conversations WHERE turn = 0 HAVING count(*) > 0""")
+def quarantined_lines(spark, sf_dir):
+    """The damaged lines that ``page_quarantine`` sets aside, counted by their text."""
+    page = F.to_json(F.struct(c("conv_id").cast("string").alias("source"), (c("turn") + 1).alias("page_number"), "text"))
+    line = F.when(c("turn") == 0, F.concat(page, F.lit('\n{"source": "broken'))).otherwise(page)
+    path = scratch_path(spark, "pages")
+    v.table(spark, sf_dir, "conversations").select(line.alias("value")).write.text(path)
+    _, bad = corpus.split_quarantine(corpus.read_pages(spark, path, "*.txt", bad_rows="quarantine"))
+    return bad.groupBy(c("_corrupt_record").alias("line")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query("SELECT doc_id, substr(text, 1, 500) AS preview FROM documents")
+def text_preview(spark, sf_dir):
+    return v.table(spark, sf_dir, "documents").select("doc_id", preview(c("text")).alias("preview"))
+
+
+@query("""SELECT count(*) AS rows, (SELECT count(*) FROM (DESCRIBE customer))::INT AS columns FROM customer""")
+def table_shape(spark, sf_dir):
+    return profile.shape(v.table(spark, sf_dir, "customer"))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal, c_custkey LIMIT 5")
+def table_preview(spark, sf_dir):
+    rows = v.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return profile.preview(rows, ["c_acctbal", "c_custkey"])
