@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from larkspur.functions.text import BOM, page_list, preview
 from larkspur.operators import profile
 from larkspur.operators.bounds import quoted
-from larkspur.plans import churn
+from larkspur.plans import exams
 from larkspur.plans import views as v
-from larkspur.plans.registry import query
+from larkspur.plans.registry import query, r
 from larkspur.session import scratch_path
 from larkspur.sources import corpus, delimited
 
@@ -134,3 +134,15 @@ def table_shape(spark, sf_dir):
 def table_preview(spark, sf_dir):
     rows = v.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     return profile.preview(rows, ["c_acctbal", "c_custkey"])
+
+
+_DISTINCT_SCORES_SQL = v.CLEAN_SCORES_SQL.replace("FROM scores)", "FROM (SELECT DISTINCT * EXCLUDE (row_key) FROM scores))")
+
+
+@query(f"""WITH {_DISTINCT_SCORES_SQL} SELECT * EXCLUDE (overall_score), round_even(overall_score, 6) AS overall_score FROM banded""")
+def exam_pipeline_clean(spark, sf_dir):
+    """Exam rows written as a plain file without ids, read with their places as ids, deduplicated and cleaned."""
+    path = scratch_path(spark, "exams")
+    delimited.write_plain(v.scores(spark, sf_dir).drop("row_key"), path)
+    rows = exams.clean_scores(exams.load(spark, path), id_column="row_id")
+    return rows.withColumn("overall_score", r("overall_score")).drop("row_id")
