@@ -342,8 +342,11 @@ def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT)
     sizes = (100 * F.col("to_high") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("to_low"))
     apart = F.least("one", "to_one") != F.greatest("other", "to_other")
     pairs = table.join(right, "token").where((F.col("group") < F.col("to_group")) & sizes & apart).select("group", "to_group").distinct()
-    whole = leader.join(tops.select("class", "n"), "class").groupBy(F.col("group").alias("to_group")).agg(*limits)
-    visitor = leader.join(tops.select("class", "n"), "class").join(pairs, "group").join(whole, "to_group")
+    # Only classes with a shingle of another group can have a link there.
+    wide = table.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    able = durable(entry.join(wide, "token", "left_semi").select("class", "n", "group", "leader").distinct())
+    whole = able.groupBy(F.col("group").alias("to_group")).agg(*limits)
+    visitor = able.join(pairs, "group").join(whole, "to_group")
     sizes = (100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low"))
     apart = (F.col("one") != F.col("leader")) | (F.col("other") != F.col("leader"))
     visits = durable(visitor.where(sizes & apart).select("class", "leader", F.col("to_group").alias("to")))
