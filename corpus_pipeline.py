@@ -12,6 +12,9 @@ from larkspur.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near copies of the pipeline: words of a shingle, and the least similarity in percent.
+SHINGLE, PERCENT = 5, 80
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold of the toxicity model."""
@@ -20,7 +23,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each component of linked shingle sets."""
-    return jaccard.first_of_each(docs)
+    return jaccard.first_of_each(docs, size=SHINGLE, percent=PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,6 +87,17 @@ def test_run_gives_what_the_stages_give(spark, tables):
     assert Counter(map(tuple, corpus_pipeline.run(spark, tables).collect())) == Counter(map(tuple, docs.collect()))
 
 
+def test_near_copies_between_eighty_and_ninety_percent(spark, tables):
+    """Two separate words of 100 replaced: 86 of 106 five-word shingles are shared, 92 of 104 three-word ones."""
+    base = [f"w{i}" for i in range(100)]
+    near, far = list(base), list(base)
+    near[30], near[60] = "x", "y"
+    far[20], far[40], far[60] = "p", "q", "r"  # 81 of 111: below the bound, also against the near copy
+    rows = [(i, " ".join(own), "en", "s", None) for i, own in enumerate((base, near, far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.one_per_group(spark, docs, tables).collect()) == [0, 2]
+
+
 def test_empty_table(spark, tables, tmp_path):
     for name in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
