@@ -22,9 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from larkspur.llm.shipping import opened, shipped
 from larkspur.llm.text import as_bytes, carried, text_of
@@ -175,7 +176,9 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield batch.slice(begin), docs
 
 
-def _hits(shared):
+def _hits(shared, digests: bool = False):
+    """Hits per row; with digests also 128 bits of each text, to put the blocks' hits together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = opened(shared)
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
@@ -194,10 +197,13 @@ def _hits(shared):
             found: list[list] = [[] for _ in docs]
             for doc, item in np.unique(np.stack([shard.document(place), owner], axis=1), axis=0).tolist():
                 found[doc].append(tests.names[item])
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("row"), pa.array(shard.counts), pa.array(spans, spans_type), pa.array(found, pa.list_(pa.string()))],
-                names=["row", "n_words", "spans", "items"],
-            )
+            columns = {
+                "row": rows.column("row"), "n_words": pa.array(shard.counts),
+                "spans": pa.array(spans, spans_type), "items": pa.array(found, pa.list_(pa.string())),
+            }
+            if digests:
+                columns["digest"] = pa.array([xxhash.xxh3_128_digest(as_bytes(text.as_py())) for text in text_of(rows)], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
@@ -264,17 +270,18 @@ def find(docs: DataFrame, items: DataFrame, carry: list[str] | None = None, wind
     """Per document: ``row`` (the carried columns), n_words, hit spans of words, and item names."""
     plain = carried(docs, carry or docs.columns)
     schema = _schema(plain.schema["row"].dataType)
-    scans = [plain.mapInArrow(_hits(block), schema) for block in _blocks(items, window, block_chars)]
-    if len(scans) == 1:
-        return scans[0]
-    # Equal rows have equal hits, so one of them stands for all while blocks are put together.
+    blocks = _blocks(items, window, block_chars)
+    if len(blocks) == 1:
+        return plain.mapInArrow(_hits(blocks[0]), schema)
+    scans = [plain.mapInArrow(_hits(block, True), StructType([*schema, StructField("digest", BinaryType())])) for block in blocks]
+    # Equal rows with equal texts have equal hits, so one of them stands for all while blocks are put together.
+    key = F.struct(F.to_json("row").alias("json"), "digest").alias("key")
     hits = None
     for scan in scans:
-        key = F.struct(F.to_json("row").alias("json")).alias("key")
         part = scan.where(F.size("items") > 0).groupBy(key).agg(F.first("spans").alias("spans"), F.first("items").alias("items"))
         hits = part if hits is None else hits.unionByName(part)
     joined = hits.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-    base = scans[0].select("row", "n_words", F.struct(F.to_json("row").alias("json")).alias("key"))
+    base = scans[0].select("row", "n_words", key)
     spans = F.coalesce(_merged(F.col("spans")), F.array().cast("array<struct<start:bigint,stop:bigint>>"))
     return base.join(joined, "key", "left").select(
         "row", "n_words", spans.alias("spans"), F.array_distinct(F.coalesce("items", F.array().cast("array<string>"))).alias("items")

@@ -172,6 +172,17 @@ def test_decontamination_in_blocks_and_shards(docs, items, monkeypatch):
     assert sorted(map(str, whole)) == sorted(str((r["row"]["doc_id"], r["n_words"], r["spans"], sorted(r["items"]))) for r in split.collect())
 
 
+def test_decontamination_in_blocks_judges_rows_by_their_texts(spark, items, pairs, monkeypatch):
+    texts = dict(pairs)
+    rows = [(i, t) for i in (7, None) for t in (texts[5], texts[9], texts[30], "one two", None, texts[9])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = [tuple(r) for r in suffix.report(frame, items).collect()]
+    real = suffix._blocks
+    monkeypatch.setattr(suffix, "_blocks", lambda items, window, block_chars: real(items, window, 40))
+    assert brute.ordered(tuple(r) for r in suffix.report(frame, items).collect()) == brute.ordered(whole)
+    assert {r[5] for r in whole} == {True, False}
+
+
 def test_longest_matches(docs, items):
     found = {(r["item_id"], r["item_start"]): r for r in suffix.longest_matches(docs, items).collect()}
     assert found[("1", 0)]["n_words"] == 30 and found[("1", 0)]["doc_id"] == 5 and found[("1", 0)]["doc_start"] == 10
