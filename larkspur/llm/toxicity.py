@@ -2,6 +2,7 @@
 
 Every whole text is cut into overlapping windows of words. A word enters the network as a
 hashed embedding of itself beside the mean of hashed embeddings of its character n-grams.
+A run of more than ``LETTERS`` bytes (scripts without spaces) becomes several overlapping words.
 Two gated recurrences read each window in both directions, attention pools their states, and
 a document scores as its highest window. The network is trained here in numpy.
 
@@ -49,8 +50,17 @@ _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEPT else 0x20 for b
 
 
 def words(text: str | None) -> list[bytes]:
-    """Lower-cased runs of letters and characters beyond ASCII."""
-    return as_bytes(text).translate(_TABLE).split()
+    """Lower-cased runs of letters and characters beyond ASCII; of a longer run than ``LETTERS`` bytes its pieces."""
+    own = as_bytes(text).translate(_TABLE).split()
+    if own and len(max(own, key=len)) > LETTERS:
+        return [piece for word in own for piece in _cut(word)]
+    return own
+
+
+def _cut(word: bytes) -> list[bytes]:
+    """Pieces of a run of letters that overlap so far that every n-gram of the run is in one of them."""
+    last = max(len(word) - max(GRAMS) + 1, 1)
+    return [word[i : i + LETTERS] for i in range(0, last, LETTERS - max(GRAMS) + 1)] if len(word) > LETTERS else [word]
 
 
 class Features:

@@ -313,6 +313,19 @@ def test_windows_cover_every_word():
         assert covered == set(range(n))
 
 
+def test_long_runs_of_letters_are_read_to_their_end():
+    model = toxicity.initial()
+    first = "\u6f22" * 8  # 24 bytes
+    texts = [first, first + "\u5b57" * 40, first + "\u5b57" * 39 + "\u6bd2", "a" * 24, "a" * 24 + "b", "a" * 500 + "b"]
+    assert len(set(toxicity.scores(model, 0.5, texts).tolist())) == len(texts)
+    for n in range(1, 120):
+        word = bytes(np.random.default_rng(n).integers(97, 123, n, dtype=np.uint8))
+        pieces = toxicity.words(f"x {word.decode()} y")[1:-1]
+        grams = {word[i : i + size] for size in toxicity.GRAMS for i in range(n - size + 1)}
+        assert grams == {p[i : i + size] for p in pieces for size in toxicity.GRAMS for i in range(len(p) - size + 1)}
+        assert max(map(len, pieces)) <= toxicity.LETTERS and (n > toxicity.LETTERS or pieces == [word])
+
+
 def judged(url):
     if url is None or "://" not in url:
         host = path = ""
