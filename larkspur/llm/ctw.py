@@ -7,9 +7,10 @@ its longer contexts, and the prediction mixes all depths by these weights. A tex
 after ``DEPTH`` end bytes and is closed by one (0xFF, which UTF-8 never holds).
 
 A gram is a context, nearest byte first, with the byte that follows, as one number. Counts
-come from all training texts. The model has at most ``MAX_ENTRIES`` grams per depth: contexts
-below the smallest power of two that keeps to this bound are left out, and what they saw
-counts at their parent's rate. The bound holds at every size of the corpus.
+come from all training texts. Levels can be weighted and mixed in parts (``weigh``, ``mixed``),
+as ``lm_scores.score`` does with the whole counts. ``Model`` holds all its levels in memory; for
+it ``lm_scores.fit`` leaves out rare contexts, down to ``MAX_ENTRIES`` grams per depth, and what
+they saw counts at their parent's rate.
 """
 
 from __future__ import annotations
@@ -145,6 +146,35 @@ class Level:
         return self.before[np.searchsorted(self.keys, high, side="right")] - self.before[np.searchsorted(self.keys, low)]
 
 
+def weigh(levels: list[Level], log_weighted: np.ndarray) -> np.ndarray:
+    """Set the weights of consecutive whole levels above the last one; the log of the first one's weighted probabilities."""
+    for level, longer in zip(levels[-2::-1], levels[:0:-1]):
+        at = level.find(longer.contexts >> np.uint64(8))
+        split = np.bincount(at, weights=log_weighted, minlength=len(level.contexts)) if len(at) else np.zeros(0)
+        log_weighted = np.logaddexp(level.log_own, split) - np.log(2)
+        level.stop = np.exp(level.log_own - np.log(2) - log_weighted)
+    return log_weighted
+
+
+def mixed(levels: list[Level], lowest: int, found: np.ndarray, deeper: np.ndarray) -> np.ndarray:
+    """Probability of full grams: the depths of some levels from ``lowest`` on, mixed over that of all deeper ones."""
+    p = deeper.copy()
+    for depth in range(lowest + len(levels) - 1, lowest - 1, -1):
+        level = levels[depth - lowest]
+        own = shorter(found, DEPTH, depth)
+        at = level.find(own >> np.uint64(8))
+        here = np.flatnonzero(at >= 0)
+        if not len(here):
+            continue
+        own, stop = own[here], level.stop[at[here]]
+        place = np.minimum(np.searchsorted(level.keys, own), len(level.keys) - 1)
+        seen = level.keys[place] == own
+        estimate = np.exp(level.log_estimate[place])
+        estimate[~seen] = level.estimate(own[~seen])
+        p[here] = stop * estimate + (1 - stop) * p[here]
+    return p
+
+
 class Model:
     """Levels from depth 0 to the deepest, weighted bottom-up."""
 

@@ -252,6 +252,20 @@ def test_model_stays_within_its_bound(docs, monkeypatch):
     assert all(len(level.keys) <= 2000 for level in model.levels) and len(model.levels[-1].keys) > 0
 
 
+def test_scores_use_every_gram(docs, pairs, monkeypatch):
+    """Whole counts at any size: a bound on the model in memory, small slices and pieces change no score."""
+    monkeypatch.setattr(ctw, "MAX_ENTRIES", 2000)
+    monkeypatch.setattr(lm_scores, "SLICE_BYTES", 1 << 15)
+    monkeypatch.setattr(lm_scores, "TEXT_BYTES", 1 << 13)
+    texts = [(i, (t or "").encode()) for i, t in pairs]
+    training = [t for i, t in texts if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+    keys, counts = ctw.counted(ctw.text_grams(training)[0])
+    model = ctw.Model([ctw.summed(ctw.shorter(keys, ctw.DEPTH, d), counts) for d in range(ctw.DEPTH + 1)])
+    want = lm_scores.model_scores(model, [t for _, t in texts])
+    got = lm_scores.score(docs).collect()
+    assert brute.ordered((r["doc_id"], round(r["score"], 5)) for r in got) == brute.ordered((i, round(float(w), 5)) for (i, _), w in zip(texts, want))
+
+
 def held_out_accuracy(frame, labels, column):
     joined = frame.where("held_out").join(labels, "doc_id").where(F.col(column).isNotNull())
     return joined.agg(F.avg((F.col("predicted") == F.col(column)).cast("double"))).first()[0]
