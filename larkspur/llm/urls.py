@@ -6,10 +6,11 @@ page; combinations that meet the marker with enough support and confidence becom
 Rules are matched by an inverted index: each rule is listed under its rarest token, the
 tokens of a URL look up their postings, and a rule fires where the URL holds all its tokens.
 
-FP-growth runs on the distinct baskets with their labels sampled to at most ``SAMPLE`` rows,
-lowest hashes first, with the ``MAX_BASKET`` rarest of a URL's frequent tokens; every URL is
-judged by all its tokens. At most ``MAX_RULES`` rules, the most confident, are kept, which bounds
-the index that is broadcast. The fixed rules win over mined ones.
+FP-growth runs on the baskets with their labels sampled to at most ``SAMPLE`` rows, lowest
+hashes first, with all frequent tokens of a URL. Tokens that are in the very same baskets are
+mined as one and listed one by one again in the rules. A rule that contains another one of at
+least its confidence is left out, since only the highest confidence counts; all others are kept
+as a table, which is joined with the tokens. The fixed rules win over mined ones.
 
 Defined cases: a missing URL, or one without ``://``, has an empty host and path, no tokens
 and is allowed; missing labels are not learned from, of several labels for one id the bad
@@ -33,9 +34,7 @@ SAMPLE = 200_000
 MIN_SUPPORT = 0.0005
 MIN_ROWS = 20
 MIN_CONFIDENCE = 0.5
-MAX_BASKET = 12
 MAX_TOKENS = 3
-MAX_RULES = 10_000
 BAD = " bad"  # no token holds a space
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,8 +85,13 @@ def mine(
         return pages.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support long")
     # Tokens below the support cannot be in a rule.
     common = baskets.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= least)
-    counted = baskets.select("id", "bad", F.explode("tokens").alias("t")).join(common, "t")
-    held = counted.groupBy("id", "bad").agg(F.slice(F.array_sort(F.collect_list(F.struct("times", "t"))), 1, MAX_BASKET)["t"].alias("items"))
+    counted = baskets.select("id", "bad", F.explode("tokens").alias("t")).join(common.select("t"), "t")
+    # Tokens of the very same baskets have one name, or a long URL alone would give 2 ** tokens combinations.
+    where = [F.count(F.lit(1)).alias("times"), F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("other")]
+    alike = counted.groupBy("t").agg(*where).groupBy("times", "one", "other").agg(F.min("t").alias("name"), F.collect_list("t").alias("same"))
+    alike = durable(alike.select("name", "same"))
+    named = counted.join(alike.select("name", F.explode("same").alias("t")), "t")
+    held = named.groupBy("id", "bad").agg(F.collect_set("name").alias("items"))
     small = durable(held.select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=least / n, minConfidence=min_confidence).fit(small)
     frequent = model.freqItemsets.where(F.size("items") <= MAX_TOKENS + 1)
@@ -96,7 +100,29 @@ def mine(
     )
     alone = frequent.where(~F.array_contains("items", BAD)).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("seen"))
     scored = with_bad.join(alone, "tokens").select("tokens", (F.col("support") / F.col("seen")).alias("confidence"), "support")
-    return scored.where(F.col("confidence") >= min_confidence).orderBy(F.desc("confidence"), F.desc("support"), "tokens").limit(MAX_RULES)
+    rules = durable(scored.where(F.col("confidence") >= min_confidence))
+    return durable(_each_token(_least(rules), alike))
+
+
+def _least(rules: DataFrame) -> DataFrame:
+    """The rules that contain no other rule of at least their confidence."""
+    parts = F.concat(F.transform("tokens", lambda t: F.array(t)), F.transform("tokens", lambda t: F.array_remove("tokens", t)))
+    smaller = rules.where(F.size("tokens") > 1).select(F.col("tokens").alias("whole"), "confidence", F.explode(F.array_distinct(parts)).alias("part"))
+    known = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("of_part"))
+    redundant = smaller.join(known, "part").where(F.col("of_part") >= F.col("confidence")).select(F.col("whole").alias("tokens")).distinct()
+    return rules.join(redundant, "tokens", "left_anti")
+
+
+def _each_token(rules: DataFrame, alike: DataFrame) -> DataFrame:
+    """The rules with each of the tokens that a name stands for."""
+    out = rules.select("tokens", F.array().cast("array<string>").alias("done"), "confidence", "support")
+    for place in range(MAX_TOKENS):
+        name = F.get("tokens", F.lit(place)).alias("name")
+        listed = out.select("*", name).join(alike, "name", "left")
+        same = F.coalesce("same", F.array(F.lit(None).cast("string")))
+        step = listed.select("tokens", "done", "confidence", "support", F.explode(same).alias("t"))
+        out = step.select("tokens", F.array_compact(F.array_append("done", F.col("t"))).alias("done"), "confidence", "support")
+    return out.select(F.array_sort("done").alias("tokens"), "confidence", "support")
 
 
 def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -106,17 +132,15 @@ def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
     frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("listed"))
     # Listed under the token that the fewest rules hold; a rule has one posting.
     index = postings.join(frequency, "token").groupBy("tokens", "confidence").agg(F.min_by("token", F.struct("listed", "token")).alias("key"))
-    hits = tokens.select("url", "held", F.explode("held").alias("key")).join(F.broadcast(index), "key")
+    hits = tokens.select("url", "held", F.explode("held").alias("key")).join(index, "key")
     fired = hits.where(F.size(F.array_except("tokens", "held")) == 0)
     return fired.groupBy("url").agg(F.max("confidence").alias("confidence"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict and the confidence of a mined rule, per page."""
-    spark = pages.sparkSession
     plain = pages.select("page_id", "url")
-    rows = mine(plain, labels, min_support, min_confidence).collect()  # at most MAX_RULES
-    rules = spark.createDataFrame(rows, "tokens array<string>, confidence double, support long")
+    rules = mine(plain, labels, min_support, min_confidence)
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     name, verdict = fixed_rule(F.col("host"), F.col("path"))
     # Mined rules are matched for distinct URLs, so a repeated URL is looked up once.

@@ -389,6 +389,22 @@ def test_mined_rules_are_what_counting_gives(spark):
         assert r["support"] == support and math.isclose(r["confidence"], support / len(own))
 
 
+def test_url_rules_of_many_hosts_and_long_urls(spark):
+    """Some 10,000 combinations of 270 bad hosts leave room for five rarer ones; the commonest token of long URLs is counted whole."""
+    bad = [f"x://m.z{h}.example.biz/path?key={i}" for h in range(275) for i in range(21 if h < 270 else 20)]
+    bad += [f"x://long.info/{'/'.join(f'p{k}' for k in range(14))}"] * 100
+    good = [f"x://m.fine{i % 7}.example.biz/path?key={i}" for i in range(7000)] + ["x://other.info/p0"] * 60
+    rows = list(enumerate(bad + good)) + [(20000, "x://new/p0"), (20001, "x://m.new.example.biz/path?key=1")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= len(bad)), 0) for i in range(len(bad) + len(good))], "doc_id long, quality int, toxic int")
+    rules = {tuple(r["tokens"]): (r["confidence"], r["support"]) for r in urls.mine(pages, labels).collect()}
+    assert rules[("path:p0",)] == (100 / 160, 100) and rules[("path:p13",)] == (1.0, 100)
+    assert {("host:z274",), ("site:m.z274.example.biz",)} <= set(rules) and ("host:biz", "host:z274") not in rules
+    found = {r["page_id"]: (r["verdict"], r["confidence"]) for r in urls.report(pages, labels).collect()}
+    assert all(found[i] == ("block", 1.0) for i in range(len(bad)))
+    assert found[20000] == ("block", 100 / 160) and found[20001] == ("allow", None)
+
+
 def test_forest_finds_neighbours(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     found = forest.report(table).toPandas()
