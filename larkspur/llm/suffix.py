@@ -1,9 +1,10 @@
 """Benchmark decontamination with suffix arrays over shards of the training texts.
 
 Each task cuts its documents into shards of a bounded number of words (a single longer
-document is a shard of its own), builds the suffix array of the shard and binary-searches
-every test suffix in it. That gives all places of every test window and, per test suffix,
-the longest verbatim match. Words outside the test vocabulary end a match, so suffixes that
+document is a shard of its own), builds the suffix array of the shard and binary-searches the test
+suffixes in it. ``find``, and so the query and the pipeline, search the windows only: suffixes
+cut to ``WINDOW`` words, which gives all places of every window. ``longest_matches`` searches
+every whole suffix for its longest verbatim match; no query calls it. Words outside the test vocabulary end a match, so suffixes that
 begin with one are not put into the array.
 
 Documents are never shuffled. The test items are shipped to the tasks in blocks of at most
