@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import forest, jaccard, lm_scores, mixing, planes, repeats, rules, suffix, toxicity, urls
+from larkspur.llm import curve, forest, jaccard, lm_scores, mixing, planes, repeats, rules, suffix, toxicity, urls
 from larkspur.llm.text import table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op7_repeats": repeats.ORACLE, "op10_decontamination": suffix.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.ORACLE, "op7_repeats": repeats.ORACLE, "op10_decontamination": suffix.ORACLE,
+    "op12_curve_shards": curve.ORACLE,
+}
 
 
 def register(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -66,3 +69,8 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.report(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_curve_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve.report(table(spark, sf_dir, "documents"))
