@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import curve, forest, jaccard, lm_scores, mixing, planes, repeats, rules, suffix, toxicity, urls
+from larkspur.llm import curve, divergence, forest, jaccard, lm_scores, mixing, planes, repeats, rules, suffix, toxicity, urls, whitening
 from larkspur.llm.text import table
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.ORACLE, "op7_repeats": repeats.ORACLE, "op10_decontamination": suffix.ORACLE,
     "op12_curve_shards": curve.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
 }
 
 
@@ -74,3 +75,13 @@ def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op12_curve_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve.report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"))
