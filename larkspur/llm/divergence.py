@@ -4,11 +4,12 @@ Terms travel as digests of fixed width; their strings stay where they were found
 last rows are known.
 
 1. Tasks count the terms of their documents per (lang, source) and write the counts beside the
-   digests, each spelling once per language. Only numbers and digests are shuffled to sum them.
+   digests, and each spelling once. Only numbers and digests are shuffled to sum them.
 2. Digests with enough documents are kept. Their least and greatest spelling are compared: a
    digest with two spellings stands for several terms. The documents are counted once more, by
    spelling, for such digests only, so all later keys are (digest, part), where the part is
-   empty unless the digest was split.
+   empty unless the digest was split. A task compares the bytes of all terms it meets, so no
+   second spelling stays unseen.
 3. Pairs of sources are compared in tiles of ``TILE`` sources by buckets of terms. A task holds
    the probabilities of one tile and bucket and adds up all its pairs, so no pair is emitted per
    term. Terms that neither source has add the same number each and are multiplied out.
@@ -25,8 +26,9 @@ kept terms gives pairs of value 0; an empty table gives no rows. Extra columns a
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,59 +44,225 @@ from larkspur.session import durable, scratch_path
 MIN_DOCS = 10
 TOP = 10
 BASE = 1_000_000_000
-#: Distinct (group, term) counts that a task holds before it writes them.
-HELD = 400_000
+#: Counts, and spellings, that a task holds before it writes or forgets them.
+HELD = 1 << 21
+SPELLED = 1 << 20
+#: Bytes of text that a task works on at once, and the length from which a term is hashed as a whole.
+PIECE, LONG = 1 << 21, 1 << 20
 TILE = 256
 BUCKET_ROWS = 200_000
 #: Entries of the matrix that a task builds at once.
 CELLS = 1 << 21
 DIGEST_BITS = 64
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
-_COUNTS = "l long, g long, digest long, term string, n long, docs long"
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_LETTER = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
+_GAP = re.compile(rb"[^a-z\x80-\xff]")
+#: A random number for every byte of a term, and an odd step, for the digest and for its check.
+_CODES = [np.where(_LETTER, np.random.default_rng(seed).integers(1, 1 << 64, 256, dtype=np.uint64), 0).astype(np.uint64) for seed in (13, 14)]
+_STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_COUNTS = "g long, digest long, term string, n long, docs long"
 
 Batches = Iterator[pa.RecordBatch]
+Columns = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _narrowed(digests: np.ndarray, bits: int) -> np.ndarray:
+    return (digests >> np.uint64(64 - bits)).view(np.int64)
 
 
-def digest(term: bytes, bits: int = DIGEST_BITS) -> int:
-    """The leading bits of a 64-bit hash, as a signed number."""
-    return (xxhash.xxh3_64_intdigest(term) >> 64 - bits) - (1 << 63 if bits == 64 else 0)
-
-
-def _counted(bits: int, spell_all: bool) -> Callable[[Batches], Batches]:
-    def written(counts: dict, docs: dict) -> pa.RecordBatch:
-        l, g, digests, terms, n, with_term = [], [], [], [], [], []
-        spelled: dict[int, set] = defaultdict(set)
-        for (lang, group), own in counts.items():
-            known, in_docs = spelled[lang], docs[lang, group]
-            l += [lang] * len(own)
-            g += [group] * len(own)
-            digests += [digest(t, bits) for t in own]
-            terms += own if spell_all else [None if t in known else t for t in own]
-            n += own.values()
-            with_term += [in_docs[t] for t in own]
-            known.update(own)
-        arrays = [pa.array(v, pa.int64()) for v in (l, g, digests, n, with_term)]
-        arrays.insert(3, pa.array(terms, pa.binary()).cast(pa.string()))
-        return pa.RecordBatch.from_arrays(arrays, names=["l", "g", "digest", "term", "n", "docs"])
+class Terms:
+    """The terms of lower-case texts put one after the other: place, number of the text, digest and check.
+
+    Both hashes are polynomials over the bytes' codes, from running sums; those of long terms
+    are a hash of the whole. Terms of one digest with different checks are different.
+    """
+
+    def __init__(self, texts: list[bytes], bits: int):
+        self.bytes = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        n = len(self.bytes)
+        bounds = np.cumsum([0, *map(len, texts)])
+        letter = _LETTER[self.bytes]
+        first, last = letter.copy(), letter.copy()
+        first[1:] &= ~letter[:-1]
+        last[:-1] &= ~letter[1:]
+        inner = bounds[(bounds > 0) & (bounds < n)]  # terms end with their text
+        first[inner] = letter[inner]
+        last[inner - 1] = letter[inner - 1]
+        self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.text = np.searchsorted(bounds, self.start, side="right") - 1
+        hashes = [self._hash(codes, step) for codes, step in zip(_CODES, _STEPS)]
+        for i in np.flatnonzero(self.end - self.start > LONG).tolist():
+            hashes[0][i], hashes[1][i] = whole_hash(self.bytes[self.start[i] : self.end[i]].tobytes())
+        self.digest, self.check = _narrowed(hashes[0], bits), hashes[1]
+
+    def _hash(self, codes: np.ndarray, step: int) -> np.ndarray:
+        n = len(self.bytes)
+        size = max(n, 2 * PIECE) + 1  # one size for all pieces but long ones
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(codes[self.bytes] * _powers(step, size)[:n], out=sums[1:])
+        mixed = (sums[self.end] - sums[self.start]) * _powers(pow(step, -1, 1 << 64), size)[self.start]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        return mixed ^ mixed >> np.uint64(29)
+
+    def spellings(self, some: np.ndarray) -> pa.Array:
+        start, size = self.start[some], self.end[some] - self.start[some]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        data = self.bytes[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
+        return pa.Array.from_buffers(pa.large_string(), len(some), [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data)]).cast(pa.string())
+
+
+def whole_hash(term: bytes) -> tuple[int, int]:
+    return divmod(xxhash.xxh3_128_intdigest(term), 1 << 64)
+
+
+def _summed_by(group: np.ndarray, digests: np.ndarray, n: np.ndarray, docs: np.ndarray) -> Columns:
+    """The same columns with one row per (group, digest)."""
+    known, code = np.unique(digests, return_inverse=True)
+    pairs, row = np.unique(group * len(known) + code, return_inverse=True)
+    held = [np.bincount(row, weights=v).astype(np.int64) for v in (n, docs)]
+    return pairs // len(known), known[pairs % len(known)], *held
+
+
+def _rows(g, digests, terms, n, docs) -> pa.RecordBatch:
+    size = len(digests)
+    arrays = [pa.nulls(size, pa.int64()) if v is None else pa.array(v, pa.int64()) for v in (g, digests, n, docs)]
+    arrays.insert(2, pa.nulls(size, pa.string()) if terms is None else pa.array(terms, pa.string()))
+    return pa.RecordBatch.from_arrays(arrays, names=["g", "digest", "term", "n", "docs"])
+
+
+class _Task:
+    """Counts by group and digest, and the spellings that a task has passed on."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.parts: list[Columns] = []
+        self.new: list[pa.RecordBatch] = []  # spellings to be written
+        self.forget()
+
+    def forget(self) -> None:
+        self.seen, self.checks = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+
+    def unseen(self, digests: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Which of the distinct digests are new, or come with another spelling; they count as seen from now on."""
+        place = np.searchsorted(self.seen, digests)
+        near = np.minimum(place, max(len(self.seen) - 1, 0))
+        known = self.seen[near] == digests if len(self.seen) else np.zeros(len(digests), dtype=bool)
+        fresh = ~known
+        other = known & (self.checks[near] != checks) if len(self.seen) else known
+        self.seen, self.checks = np.insert(self.seen, place[fresh], digests[fresh]), np.insert(self.checks, place[fresh], checks[fresh])
+        if len(self.seen) >= SPELLED:
+            self.forget()
+        return np.flatnonzero(fresh | other)
+
+    def counted(self, group: np.ndarray, texts: list[bytes]) -> Columns | None:
+        """Counts of the terms of texts, with one group number each; keeps spellings not passed on yet."""
+        terms = Terms(texts, self.bits)
+        if not len(terms.start):
+            return None
+        known, first, code = np.unique(terms.digest, return_index=True, return_inverse=True)
+        pairs, n = np.unique(terms.text * len(known) + code, return_counts=True)  # one per text and term
+        unlike = np.flatnonzero(terms.check != terms.check[first[code]])
+        some = np.concatenate([first[self.unseen(known, terms.check[first])], unlike])
+        if len(some):
+            self.new.append(_rows(None, terms.digest[some], terms.spellings(some), None, None))
+        return _summed_by(group[pairs // len(known)], known[pairs % len(known)], n, np.ones_like(n))
+
+    def long_text(self, group: int, text: bytes) -> Columns | None:
+        """The same for one text that is too long to be worked on at once."""
+        parts, at, number = [], 0, np.array([group])
+        while at < len(text):
+            stop = min(at + PIECE, len(text))
+            while at < stop < len(text) and _LETTER[text[stop]] and _LETTER[text[stop - 1]]:
+                stop -= 1
+            if stop > at:
+                part = self.counted(number, [text[at:stop]])
+            else:  # a single term fills the piece
+                gap = _GAP.search(text, at)
+                stop = gap.start() if gap else len(text)
+                key, check = (np.array([h], dtype=np.uint64) for h in whole_hash(text[at:stop]))
+                key, one = _narrowed(key, self.bits), np.ones(1, dtype=np.int64)
+                if len(self.unseen(key, check)):
+                    self.new.append(_rows(None, key, [text[at:stop].decode()], None, None))
+                part = (number, key, one, one)
+            parts += [part] if part else []
+            at = stop
+        if not parts:
+            return None
+        g, digests, n, docs = _summed_by(*[np.concatenate(c) for c in zip(*parts)])
+        return g, digests, n, np.ones_like(docs)
+
+    def add(self, part: Columns | None) -> None:
+        if part is not None:
+            self.parts.append(part)
+            if len(self.parts) >= 32:
+                self.merge()
+
+    def merge(self) -> int:
+        if self.parts:
+            self.parts = [_summed_by(*[np.concatenate(c) for c in zip(*self.parts)])]
+        return len(self.parts[0][0]) if self.parts else 0
+
+    def spelled(self) -> Batches:
+        yield from self.new
+        self.new = []
+
+    def taken(self) -> Batches:
+        self.merge()
+        for g, digests, n, docs in self.parts:
+            yield _rows(g, digests, None, n, docs)
+        self.parts = []
+
+
+def _counted(bits: int) -> Callable[[Batches], Batches]:
+    """Rows of counts (without term), and a row of every spelling of a digest (without counts)."""
 
     def run(batches: Batches) -> Batches:
-        counts, docs, held = defaultdict(Counter), defaultdict(Counter), 0
+        task = _Task(bits)
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            for lang, group, text in zip(batch.column("l").to_pylist(), batch.column("g").to_pylist(), texts):
-                terms = _TERM.findall((text.as_py() or b"").translate(_LOWER))
-                own = counts[lang, group]
-                held -= len(own)
-                own.update(terms)
-                held += len(own)
-                docs[lang, group].update(set(terms))
-                if held >= HELD:
-                    yield written(counts, docs)
-                    counts, docs, held = defaultdict(Counter), defaultdict(Counter), 0
-        if held:
-            yield written(counts, docs)
+            group = np.array(batch.column("g").to_pylist(), dtype=np.int64)
+            waiting, at, size = [], [], 0
+            for i, text in enumerate(batch.column("text").cast(pa.binary())):
+                lowered = (text.as_py() or b"").translate(_LOWER)
+                if len(lowered) > PIECE:
+                    task.add(task.long_text(int(group[i]), lowered))
+                    continue
+                waiting.append(lowered)
+                at.append(i)
+                size += len(lowered)
+                if size >= PIECE:
+                    task.add(task.counted(group[at], waiting))
+                    waiting, at, size = [], [], 0
+            if waiting:
+                task.add(task.counted(group[at], waiting))
+            yield from task.spelled()
+            if task.merge() >= HELD:
+                yield from task.taken()
+        yield from task.taken()
+
+    return run
+
+
+def _spelled(bits: int) -> Callable[[Batches], Batches]:
+    """Counts by spelling, for digests that stand for several terms."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for g, text in zip(batch.column("g").to_pylist(), batch.column("text").cast(pa.binary())):
+                lowered = (text.as_py() or b"").translate(_LOWER)
+                own = Counter(m.group() for m in _TERM.finditer(lowered))
+                for term, n in own.items():
+                    one = _Task(bits).long_text(g, term)
+                    yield _rows(one[0], one[1], [term.decode()], [n], one[3])
 
     return run
 
@@ -112,39 +280,37 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _summed(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-
-
-def _per_term(counts: DataFrame, min_docs: int, *keys: str) -> DataFrame:
-    """Per lang and term: occurrences, of the terms in enough documents."""
-    return _summed(counts, "l", *keys).where(F.col("docs") >= min_docs).select("l", *keys, F.col("n").alias("c"))
-
-
-def term_counts(numbered: DataFrame, min_docs: int = MIN_DOCS, bits: int = DIGEST_BITS) -> tuple[DataFrame, DataFrame]:
-    """Counts of the kept terms, and their spellings.
+def term_counts(numbered: DataFrame, groups: DataFrame, min_docs: int = MIN_DOCS, bits: int = DIGEST_BITS) -> tuple[DataFrame, DataFrame]:
+    """Counts of the kept terms, and their spellings, from (g, text) rows.
 
-    The first frame has l, g, digest, part, n and c (the lang's count), the second one l, digest
+    The first frame has l, g, digest, part, n and c (the lang's count), the second one digest
     and term of the digests that were not split.
     """
-    partial = _stored(numbered.mapInArrow(_counted(bits, False), _COUNTS), "partial")
-    counts = _stored(_summed(partial, "l", "g", "digest"), "counts")
-    suspects = _per_term(counts, min_docs, "digest").select("l", "digest")
-    spellings = partial.where(F.col("term").isNotNull()).select("l", "digest", "term")
-    spellings = spellings.join(suspects, ["l", "digest"], "left_semi").distinct()
-    extremes = _stored(spellings.groupBy("l", "digest").agg(F.min("term").alias("term"), F.max("term").alias("other")), "terms")
-
-    split = durable(extremes.where(F.col("term") != F.col("other")).select("l", "digest"))
-    plain = counts.withColumn("part", F.lit(""))
-    if not split.isEmpty():
-        small = checked_small(split)
-        again = numbered.mapInArrow(_counted(bits, True), _COUNTS).join(small, ["l", "digest"], "left_semi")
-        apart = _summed(again.withColumn("part", F.col("term")), "l", "g", "digest", "part")
-        plain = plain.join(small, ["l", "digest"], "left_anti").unionByName(apart)
-        extremes = extremes.join(small, ["l", "digest"], "left_anti")
-    kept = _per_term(plain, min_docs, "digest", "part")
-    rows = plain.select("l", "g", "digest", "part", "n").join(kept, ["l", "digest", "part"])
-    return _stored(rows, "rows"), extremes.select("l", "digest", "term")
+    langs = checked_small(groups.select("g", "l"))
+    partial = _stored(numbered.mapInArrow(_counted(bits), _COUNTS), "partial")
+    counts = _kept(partial.where(F.col("g").isNotNull()).drop("term").join(langs, "g"), min_docs, "digest")
+    counts = _stored(counts.withColumn("part", F.lit("")), "rows")
+
+    spellings = partial.where(F.col("term").isNotNull()).select("digest", "term")
+    spellings = spellings.join(counts.select("digest").distinct(), "digest", "left_semi").distinct()
+    extremes = _stored(spellings.groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("other")), "terms")
+    split = durable(extremes.where(F.col("term") != F.col("other")).select("digest"))
+    if split.isEmpty():
+        return counts, extremes.select("digest", "term")
+    small = checked_small(split)
+    again = numbered.mapInArrow(_spelled(bits), _COUNTS).join(small, "digest", "left_semi").withColumnRenamed("term", "part")
+    apart = _kept(again.join(langs, "g"), min_docs, "digest", "part")
+    rows = counts.join(small, "digest", "left_anti").unionByName(apart.select(*counts.columns))
+    return _stored(rows, "split"), extremes.join(small, "digest", "left_anti").select("digest", "term")
+
+
+def _kept(counts: DataFrame, min_docs: int, *keys: str) -> DataFrame:
+    """l, g, keys, n and c of the terms in enough documents; one shuffle, by lang and term, serves all of it."""
+    dealt = counts.repartition("l", *keys)
+    summed = dealt.groupBy("l", *keys, "g").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    term = Window.partitionBy("l", *keys)  # a row per source
+    whole = summed.select("l", "g", *keys, "n", F.sum("n").over(term).alias("c"), F.sum("docs").over(term).alias("in_docs"))
+    return whole.where(F.col("in_docs") >= min_docs).drop("in_docs")
 
 
 def _share(count: str, total: str) -> Column:
@@ -264,7 +430,7 @@ def term_part(rows: DataFrame, terms: DataFrame, table: DataFrame, top: int = TO
     least = over.select("g", "value", "digest", "spelled").withColumn("k", F.row_number().over(by_digest)).where(F.col("k") <= top)
     least = checked_small(least.groupBy("g").agg(F.min("value").alias("least")))
     reach = over.join(least, "g").where("value >= least")
-    found = reach.join(terms, ["l", "digest"], "left").withColumn("item", F.when(F.col("spelled") != "", F.col("spelled")).otherwise(F.col("term")))
+    found = reach.join(terms, "digest", "left").withColumn("item", F.when(F.col("spelled") != "", F.col("spelled")).otherwise(F.col("term")))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = found.select("lang", "source", F.lit("term").alias("part"), "item", "value").withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= top)
@@ -276,8 +442,8 @@ def audit(
     """lang, source, part (pair or term), item, value and rank."""
     plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     groups = durable(_groups(plain))
-    numbered = plain.join(checked_small(groups), ["lang", "source"]).select("l", "g", "text")
-    rows, terms = term_counts(numbered, min_docs, bits)
+    numbered = plain.join(checked_small(groups), ["lang", "source"]).select("g", "text")
+    rows, terms = term_counts(numbered, groups, min_docs, bits)
     table = group_table(groups, rows)
     return pair_part(rows, table, tile, bucket_rows).unionByName(term_part(rows, terms, table, top))
 

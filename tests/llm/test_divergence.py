@@ -1,7 +1,10 @@
 """The audit of sources against its SQL, with weak digests, small tiles and awkward rows."""
 
 import random
+import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from larkspur.llm import divergence
@@ -41,10 +44,62 @@ def test_split_digests_and_small_tiles(docs, bits, tile, bucket_rows):
 
 def test_counts_written_in_between(spark, docs, monkeypatch):
     monkeypatch.setattr(divergence, "HELD", 5)
+    monkeypatch.setattr(divergence, "SPELLED", 3)
     monkeypatch.setattr(divergence, "CELLS", 16)
     compare(docs, divergence.report(docs))
 
 
+def plain_counts(texts, groups):
+    counts = {}
+    for text, g in zip(texts, groups):
+        own = Counter(re.findall(rb"[a-z\x80-\xff]+", text.encode().lower()))
+        for term, n in own.items():
+            total = counts.setdefault((g, term), [0, 0])
+            total[0] += n
+            total[1] += 1
+    return counts
+
+
+@pytest.mark.parametrize("bits", [64, 3])
+@pytest.mark.parametrize("piece,long", [(1 << 21, 1 << 20), (40, 10), (7, 5)])
+def test_tasks_count_and_spell(monkeypatch, piece, long, bits):
+    """Short pieces, terms longer than a piece, and digests that stand for several terms."""
+    monkeypatch.setattr(divergence, "PIECE", piece)
+    monkeypatch.setattr(divergence, "LONG", long)
+    draw = random.Random(piece)
+    words = ["a", "B", "é", "日本", "abcdefg" * 3, "ß" * 30, "x1y", "--", "The", "the"]
+    texts = [draw.choice(["", " "]).join(draw.choice(words) for _ in range(draw.randrange(60))) for _ in range(80)] + ["", "12"]
+    groups = [draw.randrange(3) for _ in texts]
+    batches = pa.table({"g": groups, "text": [*texts]}).to_batches(max_chunksize=30)
+    rows = [r for b in divergence._counted(bits)(iter(batches)) for r in b.to_pylist()]
+    spelled = {}
+    for r in rows:
+        if r["term"] is not None:
+            spelled.setdefault(r["digest"], set()).add(r["term"].encode())
+    want = plain_counts(texts, groups)
+    of = {term: key for key, terms in spelled.items() for term in terms}
+    assert set(of) == {term for _, term in want} and len(of) == sum(map(len, spelled.values()))
+    summed = {}
+    for (g, term), (n, docs) in want.items():
+        total = summed.setdefault((g, of[term]), [0, 0])
+        total[0] += n
+        total[1] += docs if bits == 64 else 0
+    got = {}
+    for r in rows:
+        if r["term"] is None:
+            total = got.setdefault((r["g"], r["digest"]), [0, 0])
+            total[0] += r["n"]
+            total[1] += r["docs"] if bits == 64 else 0
+    assert got == summed
+    apart = {}
+    for b in divergence._spelled(bits)(iter(batches)):
+        for r in b.to_pylist():
+            total = apart.setdefault((r["g"], r["term"].encode(), r["digest"]), [0, 0])
+            total[0] += r["n"]
+            total[1] += r["docs"]
+    assert apart == {(g, term, of[term]): v for (g, term), v in want.items()}
+
+
 def test_no_kept_terms(spark):
     frame = spark.createDataFrame([(1, "a b", "en", "x"), (2, "b c", "en", "y"), (3, "d", "de", "x")], "doc_id long, text string, lang string, source string")
     got = brute.ordered(tuple(r) for r in divergence.report(frame).collect())
