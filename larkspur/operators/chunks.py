@@ -79,10 +79,15 @@ def chunk_pages(
     the pages that overlap the chunk, a page's separator belonging to no page;
     ``sorted_pages`` makes it a sorted set.
     """
+    return cut_placed(page_offsets(pages), configs, sorted_pages)
+
+
+def cut_placed(placed: DataFrame, configs: list[tuple[int, int]], sorted_pages: bool = False) -> DataFrame:
+    """The chunks that the pages of ``page_offsets``, or some of them, take part in (see ``chunk_pages``)."""
     for size, overlap in configs:
         check_window(size, overlap)
     arrays = [_pieces(size, overlap) for size, overlap in configs]
-    pieces = page_offsets(pages).select("source", F.inline(F.flatten(F.array(*arrays))))
+    pieces = placed.select("source", F.inline(F.flatten(F.array(*arrays))))
     keys = ["source", "chunk_size", "chunk_overlap", "chunk_number"]
     whole = pieces.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("at", "text", "page"))).alias("parts")

@@ -11,7 +11,7 @@ from larkspur.plans import views as v
 from larkspur.plans.learning_queries import _churn_sets, _logistic
 from larkspur.plans.registry import query
 from larkspur.session import scratch_path
-from larkspur.streaming import jobs
+from larkspur.streaming import jobs, pages
 
 
 @query()
@@ -26,13 +26,39 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query(f"""WITH {v.LIBRARY_SQL} SELECT row_number() OVER (ORDER BY source, chunk_number) AS chunk_id, source,
-  array_to_string(page_numbers, ', ') AS pages, text FROM chunks""")
+_STREAMED_SQL = f"""WITH {v.LIBRARY_SQL} SELECT row_number() OVER (ORDER BY source, chunk_number) AS chunk_id, source,
+  array_to_string(page_numbers, ', ') AS pages, text FROM chunks"""
+
+
+def _published(spark, state):
+    out = scratch_path(spark, "kb")
+    pages.publish(spark, state, "library", out)
+    stored = knowledge.load(spark, out, "library")
+    return stored.select("chunk_id", "source", page_list(F.col("page_numbers")).alias("pages"), "text")
+
+
+@query(_STREAMED_SQL)
 def stream_kb(spark, sf_dir):
     schema = v.table(spark, sf_dir, "documents").schema
     documents = jobs.file_stream(spark, f"{sf_dir}/documents.parquet", schema)
-    pages = documents.select("source", F.col("doc_id").alias("page_number"), "text")
-    out, state = scratch_path(spark, "kb"), scratch_path(spark, "state")
-    jobs.stream_knowledge(pages, out, "library", embed.HashedTokens(), state).awaitTermination()
-    stored = knowledge.load(spark, out, "library")
-    return stored.select("chunk_id", "source", page_list(F.col("page_numbers")).alias("pages"), "text")
+    came = documents.select("source", F.col("doc_id").alias("page_number"), "text")
+    state, checkpoint = scratch_path(spark, "pages"), scratch_path(spark, "state")
+    pages.stream_knowledge(came, state, "library", embed.HashedTokens(), checkpoint).awaitTermination()
+    return _published(spark, state)
+
+
+@query(_STREAMED_SQL)
+def stream_kb_batches(spark, sf_dir):
+    """The pages of every source dealt over four micro-batches, the stream started again for each.
+
+    One page in seven comes with another text first and is replaced by a later batch.
+    """
+    came = v.library_pages(spark, sf_dir).withColumn("deal", F.pmod(F.xxhash64("source", "page_number"), F.lit(4)))
+    early = came.where("page_number % 7 = 0 and deal > 0").withColumn("deal", F.lit(0).cast("long")).withColumn("text", F.lit("a first draft"))
+    came = came.unionByName(early)
+    landing, state, checkpoint = (scratch_path(spark, n) for n in ("landing", "pages", "state"))
+    for number in range(4):
+        came.where(F.col("deal") == number).drop("deal").write.mode("append").parquet(landing)
+        arrived = jobs.file_stream(spark, landing, came.drop("deal").schema)
+        pages.stream_knowledge(arrived, state, "library", embed.HashedTokens(), checkpoint).awaitTermination()
+    return _published(spark, state)

@@ -1,21 +1,13 @@
-"""Scoring and corpus building on streams of files, each run taking what is new."""
+"""Scoring on streams of files, each run taking what is new."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from larkspur.operators import chunks, models
-from larkspur.operators.embed import Embedder
+from larkspur.operators import models
 from larkspur.plans.churn import prepare
-from larkspur.sources import corpus
-
-BATCH_IDS = 1 << 40  # chunk ids set aside per micro-batch
 
 
 def file_stream(spark: SparkSession, path: str, schema, files: int | None = None) -> DataFrame:
@@ -46,39 +38,3 @@ def stream_scores(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def stream_knowledge(
-    pages: DataFrame, path: str, name: str, embedder: Embedder, checkpoint: str,
-    size: int = chunks.DEFAULT_SIZE, overlap: int = chunks.DEFAULT_OVERLAP,
-    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
-) -> StreamingQuery:
-    """Add the documents of each micro-batch to a knowledge base.
-
-    A document comes with all its pages in one micro-batch (one file per document, or
-    more documents per file); pages of a source that another batch has stored are refused,
-    since their chunks across the seam would be missing. A batch writes its own partition of
-    the table, so a batch that is run again replaces what it wrote before.
-    """
-
-    def refuse_stored(batch: DataFrame, number: int) -> None:
-        try:
-            stored = corpus.read_vectors(batch.sparkSession, path)
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return  # nothing is stored yet
-            raise
-        others = stored.where((F.col("kb_name") == name) & (F.col("batch") != number)).select("source")
-        again = batch.join(others, "source", "left_semi").select("source").limit(1).collect()
-        if again:
-            raise ValueError(f"pages of {again[0]['source']!r} came in more than one micro-batch")
-
-    def add(batch: DataFrame, number: int) -> None:
-        clean = corpus.ingest_pages(prepare(batch), clean=False, keep_empty=False)
-        refuse_stored(clean, number)
-        numbered = chunks.number_chunks(chunks.chunk_documents(clean, size, overlap, True), number * BATCH_IDS + 1)
-        stored = embedder.embed(numbered, "text", "embedding")
-        stored = stored.withColumn("kb_name", F.lit(name)).withColumn("batch", F.lit(number))
-        corpus.write_vectors(stored, path, "kb_name", "batch")
-
-    return pages.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
