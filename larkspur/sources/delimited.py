@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.text import BOM, MISSING_TEXTS, strip
-from larkspur.operators.bounds import checked_small
+from larkspur.operators.bounds import checked_small, local_copy
 from larkspur.session import durable
+from larkspur.sources import records
 
 # Texts that mark the header line, and separators in order of preference.
 HEADER_MARKS = ["CustomerID", "Tenure Months", "Churn Label"]
@@ -38,9 +39,10 @@ def read_dirty(
 
     In each file the header is the first line with all ``marks``; lines before it are
     dropped, a written-out ``\\t`` becomes a TAB, the separator is found in the header,
-    blank lines are skipped, values are stripped. ``row_id`` holds (file, block, line),
+    blank records are skipped, values are stripped. ``row_id`` holds (file, block, line),
     which orders rows as in the files. Files are read in splits; the header of a file
-    reaches its other splits through a small table. Every record is one line.
+    reaches its other splits through a small table. A record goes on over line breaks inside
+    quotes (see ``records``), also from one split to the next; the header is one line.
     """
     raw = spark.read.text(path).select(
         F.make_valid_utf8("value").alias("value"),
@@ -80,9 +82,10 @@ def read_dirty(
     named = places.where("name <> ''").groupBy("name").agg(F.min(F.struct("header", "place")).alias("first")).orderBy("first").collect()  # the columns
 
     body = lines.join(checked_small(headers), "file").where(F.col(row_id) > F.col("header_at"))
-    blank = (strip(F.col("value")) == "") & ~F.col("value").contains(F.col("separator"))
-    split = body.where(~blank).select(row_id, "names", split_record(F.col("value"), F.col("separator"), width).alias("r"))
-    split = split.select(row_id, "names", F.array(*every).alias("fields"))
+    body = _with_records(body, headers, row_id)
+    split = body.select(row_id, "names", "value", "separator", split_record(F.col("value"), F.col("separator"), width).alias("r"))
+    blank = ~F.col("value").contains(F.col("separator")) & (strip(F.coalesce("r.c0", F.lit(""))) == "")
+    split = split.where(~blank).select(row_id, "names", F.array(*every).alias("fields"))
     values = []
     for name in [r["name"] for r in named]:
         place = F.array_position("names", F.lit(name))
@@ -92,9 +95,40 @@ def read_dirty(
     return split.select(row_id, *values)
 
 
-def read_plain(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Comma-separated files with a header line, in a given schema."""
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+def _with_records(body: DataFrame, headers: DataFrame, row_id: str) -> DataFrame:
+    """``body`` with whole records in place of lines, if any record has several."""
+    scanned = body.withColumn("block", F.col(row_id)["block"]).select("file", "block", row_id, "value", "separator")
+    if local_copy(headers) is None:  # the header came by a shuffle, which loses the order
+        scanned = scanned.repartition("file", "block").sortWithinPartitions("file", "block", row_id)
+    found = records.whole_records(scanned, row_id)
+    return body if found is None else found.join(checked_small(headers), "file")
+
+
+def read_plain(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+    """Comma-separated files with a header line, in a given schema.
+
+    With ``multi_line`` a record may hold line breaks inside quotes. Other than with Spark's
+    option of that name a file is still read in splits.
+    """
+    if not multi_line:
+        return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    heads = durable(lines.where("block = 0").groupBy("file").agg(F.min("line").alias("head")))
+    small = local_copy(heads)
+    lines = lines.join(heads if small is None else F.broadcast(small), "file").where("block > 0 or line > head")
+    lines = lines.select("file", "block", F.struct("block", "line").alias("row_id"), "value", F.lit(",").alias("separator"))
+    if small is None:
+        lines = lines.repartition("file", "block").sortWithinPartitions("file", "block", "row_id")
+    found = records.whole_records(lines, "row_id")
+    rows = (lines if found is None else found).where("value <> ''")
+    if not isinstance(schema, str):
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return rows.select(F.from_csv("value", schema, {"escape": '"'}).alias("r")).select("r.*")
 
 
 def write_plain(df: DataFrame, path: str) -> None:
