@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import BOM, page_list, preview
-from larkspur.operators import profile
+from larkspur.operators import chunks, profile
 from larkspur.operators.bounds import quoted
 from larkspur.plans import exams
 from larkspur.plans import views as v
@@ -38,6 +38,35 @@ def dirty_csv_read(spark, sf_dir):
     return out.select(*[quoted(x) for x in ("CustomerID", "Tenure Months", "City", "Churn Label")])
 
 
+_BROKEN_SQL = "replace(text, '. ', '.' || chr(10) || chr(10) || '\"quoted\", and; on ')"
+
+
+@query(f"""SELECT conv_id::VARCHAR AS "CustomerID", turn::VARCHAR AS "Tenure Months", role AS "Churn Label",
+  nullif(trim({_BROKEN_SQL}, {v.STRIP_SET}), '') AS note FROM conversations""")
+def dirty_multiline_read(spark, sf_dir):
+    """Conversations as dirty files whose texts hold line breaks, blank lines, quotes and separators."""
+    broken = F.replace(c("text"), F.lit(". "), F.lit('.\n\n"quoted", and; on '))
+    note = F.concat(F.lit('"'), F.replace(broken, F.lit('"'), F.lit('""')), F.lit('"'))
+    record = F.concat_ws(",", c("conv_id").cast("string"), note, c("turn").cast("string"), c("role"))
+    file = F.floor(c("conv_id") / FILE_RECORDS).alias("file")
+    rows = v.table(spark, sf_dir, "conversations").select(file, F.lit(1).alias("part"), record.alias("value"))
+    top = '5" of junk, "never closed\nCustomerID,note,Tenure Months,Churn Label'
+    heads = rows.select("file").distinct().select("file", F.lit(0).alias("part"), F.lit(top).alias("value"))
+    path = scratch_path(spark, "dirty")
+    lines = heads.unionByName(rows).repartition("file").sortWithinPartitions("file", "part")
+    lines.drop("part").write.partitionBy("file").text(path)
+    return delimited.read_dirty(spark, path).select(*[quoted(x) for x in ("CustomerID", "Tenure Months", "Churn Label", "note")])
+
+
+@query(f"""SELECT conv_id, turn::BIGINT AS turn, {_BROKEN_SQL} AS text FROM conversations""")
+def csv_multiline_roundtrip(spark, sf_dir):
+    """Texts with line breaks written as plain files and read back in splits."""
+    broken = F.replace(c("text"), F.lit(". "), F.lit('.\n\n"quoted", and; on '))
+    path = scratch_path(spark, "csv")
+    delimited.write_plain(v.table(spark, sf_dir, "conversations").select("conv_id", c("turn").cast("long"), broken.alias("text")), path)
+    return delimited.read_plain(spark, path, "conv_id BIGINT, turn BIGINT, text STRING", multi_line=True)
+
+
 @query(f"""WITH {v.ACCOUNTS_SQL} SELECT "CustomerID", "Gender", "Payment Method", "Tenure Months" AS months, "Total Charges" AS total
 FROM accounts""")
 def csv_roundtrip(spark, sf_dir):
@@ -109,6 +138,32 @@ def chunk_json_read(spark, sf_dir):
     return out.select("source", page_list(c("page_numbers")).alias("pages"), "text", "character_count", "chunk_id")
 
 
+@query(f"""WITH paged AS (SELECT source, doc_id::INT AS page_number, text FROM documents),
+counted AS (SELECT source, count(*)::INT AS page_count, sum(length(text))::BIGINT AS total_character_count FROM paged GROUP BY source)
+SELECT 'library' AS project, 'prose' AS domain, (SELECT count(*) FROM counted)::INT AS document_count, source, page_count,
+  total_character_count, page_number, text, length(text)::INT AS character_count FROM paged JOIN counted USING (source)""")
+def json_document_roundtrip(spark, sf_dir):
+    """All documents as one JSON document, a source with its pages each, written in parts and read back."""
+    pages = v.library_pages(spark, sf_dir).select("source", c("page_number").cast("int").alias("page_number"), "text")
+    path = scratch_path(spark, "document")
+    corpus.write_corpus_document(pages, path, "library", "prose")
+    return corpus.read_corpus_document(spark, path, in_parts=True)
+
+
+@query(f"""WITH {v.LIBRARY_SQL}, numbered AS (
+  SELECT row_number() OVER (ORDER BY source, chunk_number) AS chunk_id, source, array_to_string(page_numbers, ', ') AS pages, text FROM chunks)
+SELECT (SELECT count(DISTINCT source) FROM numbered)::INT AS source_document_count, 1000 AS chunk_size, 200 AS chunk_overlap,
+  (SELECT count(*) FROM numbered)::INT AS chunk_count, source, pages, text, length(text)::INT AS character_count, chunk_id FROM numbered""")
+def chunk_document_roundtrip(spark, sf_dir):
+    """All chunks as one JSON document with its settings and counts, written in parts and read back."""
+    cut = chunks.number_chunks(chunks.chunk_documents(v.library_pages(spark, sf_dir), 1000, 200, True))
+    path = scratch_path(spark, "document")
+    corpus.write_chunk_document(cut, path, "library", "prose", 1000, 200)
+    out = corpus.read_chunk_document(spark, path, in_parts=True)
+    return out.select("source_document_count", "chunk_size", "chunk_overlap", "chunk_count", "source",
+                      page_list(c("page_numbers")).alias("pages"), "text", "character_count", "chunk_id")
+
+
 @query("""SELECT '{"source": "broken' AS line, count(*) AS lines FROM conversations WHERE turn = 0 HAVING count(*) > 0""")
 def quarantined_lines(spark, sf_dir):
     """The damaged lines that ``page_quarantine`` sets aside, counted by their text."""

@@ -6,11 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import clean_text, strip
+from larkspur.sources import json_document
 
 CORPUS_SCHEMA = (
     "project STRING, domain STRING, document_count INT, documents ARRAY<STRUCT<source: STRING, page_count: INT, "
     "total_character_count: BIGINT, pages: ARRAY<STRUCT<page_number: INT, text: STRING, character_count: INT>>>>"
 )
+CORPUS_LEVELS = [
+    "project STRING, domain STRING, document_count INT",
+    "source STRING, page_count INT, total_character_count BIGINT",
+    "page_number INT, text STRING, character_count INT",
+]
+CHUNK_LEVELS = [
+    "project STRING, domain STRING, source_document_count INT, chunk_size INT, chunk_overlap INT, chunk_count INT",
+    "source STRING, page_numbers ARRAY<INT>, text STRING, character_count INT, chunk_id BIGINT",
+]
 CHUNK_SCHEMA = (
     "source_document_count INT, chunk_size INT, chunk_overlap INT, chunk_count INT, chunks ARRAY<STRUCT<"
     "source: STRING, page_numbers: ARRAY<INT>, text: STRING, character_count: INT, chunk_id: BIGINT>>"
@@ -65,6 +75,41 @@ def read_chunks(spark: SparkSession, path: str, multi_line: bool = True) -> Data
     return nested.select(F.inline("chunks"))
 
 
+def write_corpus_document(pages: DataFrame, path: str, project: str, domain: str) -> None:
+    """All pages (source, page_number, text) as one JSON document with counts per source and in the envelope.
+
+    ``path`` is a folder of parts, which are one JSON text in the order of their names.
+    """
+    rows = pages.select("source", "page_number", "text", F.length("text").alias("character_count"))
+    counts = rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("page_count"), F.coalesce(F.sum("character_count"), F.lit(0)).cast("long").alias("total_character_count")
+    )
+    envelope = [F.lit(project).alias("project"), F.lit(domain).alias("domain"), F.lit(counts.count()).alias("document_count")]
+    json_document.write_document(rows, path, ["documents", "pages"], envelope, ["source", "page_number"], ["source"], counts)
+
+
+def read_corpus_document(spark: SparkSession, path: str, in_parts: bool = False) -> DataFrame:
+    """project, domain, document_count, and the pages with the counts of their source; a file is read by many tasks."""
+    found = json_document.read_document(spark, path, ["documents", "pages"], CORPUS_LEVELS, in_parts)
+    return found.select("r0.*", "r1.*", "r2.*")
+
+
+def write_chunk_document(cut: DataFrame, path: str, project: str, domain: str, size: int, overlap: int) -> None:
+    """Numbered chunks as one JSON document with the settings and counts in the envelope, in parts."""
+    counts = cut.agg(F.count(F.lit(1)).alias("chunks"), F.count_distinct("source").alias("sources")).first()
+    values = {
+        "project": project, "domain": domain, "source_document_count": counts["sources"], "chunk_size": size, "chunk_overlap": overlap,
+        "chunk_count": counts["chunks"],
+    }
+    rows = cut.select("source", "page_numbers", "text", "character_count", "chunk_id")
+    json_document.write_document(rows, path, ["chunks"], [F.lit(v).alias(k) for k, v in values.items()], ["chunk_id"])
+
+
+def read_chunk_document(spark: SparkSession, path: str, in_parts: bool = False) -> DataFrame:
+    """The chunks with the fields of the envelope; a file is read by many tasks."""
+    return json_document.read_document(spark, path, ["chunks"], CHUNK_LEVELS, in_parts).select("r0.*", "r1.*")
+
+
 def write_json_rows(df: DataFrame, path: str) -> None:
     """JSON lines, one object per row; missing fields are written as null."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
