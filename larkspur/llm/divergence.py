@@ -45,10 +45,10 @@ MIN_DOCS = 10
 TOP = 10
 BASE = 1_000_000_000
 #: Counts, and spellings, that a task holds before it writes or forgets them.
-HELD = 1 << 21
-SPELLED = 1 << 20
+HELD = 1 << 20
+SPELLED = 1 << 19
 #: Bytes of text that a task works on at once, and the length from which a term is hashed as a whole.
-PIECE, LONG = 1 << 21, 1 << 20
+PIECE, LONG = 1 << 19, 1 << 18
 TILE = 256
 BUCKET_ROWS = 200_000
 #: Entries of the matrix that a task builds at once.
