@@ -15,7 +15,8 @@ is in the README.
 
 Defined cases: vectors that are missing, zero, or hold missing or non-finite components take
 no part, as query or candidate; fewer candidates than k are all returned; ties go to the
-smaller vec_id; rows with equal ids are candidates each, and never for the query's own id;
+smaller vec_id; rows with equal ids are candidates each, and never for the query's own id; a
+query id asks once, of several vectors with the smallest (compared entry by entry);
 vectors of another width than the query's are no candidates; a missing vec_id takes no part;
 an empty table gives no rows. Extra columns are not read.
 """
@@ -132,12 +133,13 @@ def search(embeddings: DataFrame, query, k: int = K, share: float = SHARE) -> Da
     path = scratch_path(spark, "vectors")
     usable.withColumn("width", F.size("vector")).write.parquet(path)
     stored = spark.read.parquet(path)
-    n, asked = stored.count(), stored.where(query).count()
+    queries = stored.where(query).groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("width", F.size("vector"))
+    n, asked = stored.count(), queries.count()
     shards, blocks = n // SHARD_ROWS + 1, asked // BLOCK_QUERIES + 1
     salt = F.xxhash64("vec_id", F.to_json(F.struct("vector")))
     sides = (
         stored.withColumns({"shard": F.pmod(salt, F.lit(shards)), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))}),
-        stored.where(query).withColumns({"block": F.pmod(salt, F.lit(blocks)), "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))}),
+        queries.withColumns({"block": F.pmod(salt, F.lit(blocks)), "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))}),
     )
     keyed = [side.select("width", F.col("shard").cast("long"), F.col("block").cast("long"), "vec_id", "vector") for side in sides]
     grouped = [side.groupBy("width", "shard", "block") for side in keyed]
