@@ -7,8 +7,10 @@ Two gated recurrences read each window in both directions, attention pools their
 a document scores as its highest window. The network is trained here in numpy.
 
 Training uses a bounded sample of labelled rows: at most ``SAMPLE`` of either label, lowest
-hashes first, and at most ``BAG`` evenly spaced windows of each. A document's label counts
-for its highest window, so long documents are learned as they are scored.
+hashes first, while their windows are within ``SAMPLE_WINDOWS``; a row beyond that is passed
+over. Texts of the sample are used whole. A document's label counts for its highest window, so
+long documents are learned as they are scored. The driver holds the sample as word numbers;
+windows are views of them.
 
 Scoring goes through batches of texts in the tasks, without a shuffle. Memory depends on
 ``TEXT_BYTES`` and the longest single text only.
@@ -30,11 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from larkspur.llm.text import as_bytes, carried, fold, text_of
+from larkspur.session import durable
 
 THRESHOLD = 0.7
 WINDOW, STRIDE = 48, 24
 SAMPLE = 1500
-BAG = 96
+SAMPLE_WINDOWS = 1 << 16
 EPOCHS, FIRST_EPOCHS = 10, 3  # the former at least, and as many as make LEAST_STEPS
 LEAST_STEPS, STEP_WINDOWS = 300, 128
 HIDDEN, WIDTH = 8, 8
@@ -130,12 +133,12 @@ def _step(inputs: np.ndarray, state: np.ndarray, weights: np.ndarray):
     return fresh + keep * (state - fresh), keep, reset, fresh, inner[:, 2 * HIDDEN :]
 
 
-def logits(model: dict[str, np.ndarray], projected: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """Logit per window. ``windows`` holds rows of ``projected``; its last row is padding."""
+def logits(model: dict[str, np.ndarray], projected: np.ndarray, windows: np.ndarray | Windows) -> np.ndarray:
+    """Logit per window. ``windows`` gives rows of ``projected``, whose last row is padding."""
     out = np.empty(len(windows), dtype=np.float32)
     padding = len(projected) - 1
     for begin in range(0, len(windows), BATCH_WINDOWS):
-        chosen = windows[begin : begin + BATCH_WINDOWS]
+        chosen = windows[slice(begin, begin + BATCH_WINDOWS)]
         real = (chosen != padding).astype(np.float32)
         n, steps = chosen.shape
         ahead = np.empty((steps, n, HIDDEN), dtype=np.float32)
@@ -240,20 +243,37 @@ class Adam:
             self.model[name] -= self.rate * scale * mean / (np.sqrt(square) + 1e-8)
 
 
-def train(bags: list[tuple[list[list[bytes]], int]], seed: int = 7) -> dict[str, np.ndarray]:
-    """A model from (windows of words, label) of documents."""
+class Windows:
+    """The overlapping windows of some texts, as places in one row of word numbers."""
+
+    def __init__(self, texts: list[list[bytes]]):
+        place: dict[bytes, int] = {}
+        numbers = [np.array([place.setdefault(w, len(place)) for w in own], dtype=np.int32) for own in texts]
+        self.distinct = list(place)
+        sizes = np.array([len(own) for own in numbers])
+        begins = [_starts(n) for n in sizes.tolist()]
+        counts = [len(own) for own in begins]
+        self.flat = np.concatenate([*numbers, np.full(WINDOW, len(place), dtype=np.int32)])
+        ends = np.cumsum(sizes)
+        self.owner = np.repeat(np.arange(len(texts)), counts)
+        self.begin = np.concatenate([*begins, np.zeros(0, dtype=np.int64)]) + np.repeat(ends - sizes, counts)
+        self.end = np.repeat(ends, counts)
+
+    def __len__(self) -> int:
+        return len(self.begin)
+
+    def __getitem__(self, some) -> np.ndarray:
+        """Word numbers of some windows; the number of distinct words is padding."""
+        at = self.begin[some][:, None] + np.arange(WINDOW)
+        return np.where(at < self.end[some][:, None], self.flat[np.minimum(at, len(self.flat) - 1)], len(self.distinct))
+
+
+def train(bags: list[tuple[list[bytes], int]], seed: int = 7) -> dict[str, np.ndarray]:
+    """A model from (words, label) of documents; each has words."""
     draw = np.random.default_rng(seed)
-    place: dict[bytes, int] = {}
-    windows, owner = [], []
-    for i, (own, _) in enumerate(bags):
-        for window in own:
-            windows.append([place.setdefault(w, len(place)) for w in window])
-            owner.append(i)
-    features, padding = Features(list(place)), len(place)
-    grid = np.full((len(windows), WINDOW), padding, dtype=np.int64)
-    for i, window in enumerate(windows):
-        grid[i, : len(window)] = window
-    owner, labels = np.array(owner), np.array([label for _, label in bags], dtype=np.float32)
+    grid = Windows([own for own, _ in bags])
+    features, padding, owner = Features(grid.distinct), len(grid.distinct), grid.owner
+    labels = np.array([label for _, label in bags], dtype=np.float32)
     first = np.searchsorted(owner, np.arange(len(bags)))
     counts = np.bincount(owner, minlength=len(bags))
     model = initial(seed)
@@ -276,20 +296,6 @@ def train(bags: list[tuple[list[list[bytes]], int]], seed: int = 7) -> dict[str,
     return model
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for text in batch.column("text"):
-            own = words(text.as_py())
-            starts = _starts(len(own))
-            if len(starts) > BAG:
-                starts = starts[np.linspace(0, len(starts) - 1, BAG).astype(np.int64)]
-            rows.append([b" ".join(own[s : s + WINDOW]) for s in starts.tolist()])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.list_(pa.binary()))], names=["doc_id", "label", "windows"]
-        )
-
-
 def _starts(n: int) -> np.ndarray:
     """Begins of overlapping windows that cover n words, the last one reaching the end."""
     if n <= WINDOW:
@@ -298,23 +304,42 @@ def _starts(n: int) -> np.ndarray:
     return np.append(inner, n - WINDOW)
 
 
-def sample(docs: DataFrame, labels: DataFrame, column: str = "toxic", size: int = SAMPLE) -> DataFrame:
-    """doc_id and label of at most ``size`` training rows of either label that have a text."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, label, words and number of windows of each text."""
+    for batch in batches:
+        lists = [words(text.as_py()) for text in batch.column("text")]
+        columns = [pa.array([b" ".join(own) for own in lists], pa.binary()), pa.array([len(_starts(len(own))) for own in lists], pa.int64())]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *columns], names=["doc_id", "label", "words", "windows"])
+
+
+def sample(
+    docs: DataFrame, labels: DataFrame, column: str = "toxic", size: int = SAMPLE, windows: int = SAMPLE_WINDOWS
+) -> list[tuple[list[bytes], int]]:
+    """(words, label) of the training rows: at most ``size`` of either label, with at most so many windows; equal rows are one."""
     known = labels.where(F.col(column).isin(0, 1) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [known.where(F.col("label") == label).orderBy(*order).limit(size) for label in (1, 0)]
-    return picked[0].unionByName(picked[1])
+    texts = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("doc_id", "label", "text")  # at most 2 * size ids
+    cut = texts.mapInArrow(_words, "doc_id long, label int, words binary, windows long").where("windows > 0")
+    stored = durable(cut.distinct().withColumn("digest", F.md5("words")))
+    chosen = []
+    for label in (1, 0):  # an id may have many texts, so rows are bounded once more
+        own = stored.where(F.col("label") == label).select("doc_id", "digest", "windows")
+        left = windows
+        for row in own.orderBy(*order, "digest").limit(size).collect():
+            if row["windows"] <= left:
+                left -= row["windows"]
+                chosen.append((row["doc_id"], row["digest"]))
+    keys = docs.sparkSession.createDataFrame(chosen, "doc_id long, digest string")
+    rows = stored.join(F.broadcast(keys), ["doc_id", "digest"]).select("doc_id", "digest", "label", "words").collect()
+    return [(bytes(r["words"]).split(), r["label"]) for r in sorted(rows)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", size: int = SAMPLE) -> tuple[dict[str, np.ndarray] | None, float]:
     """The trained model, and the share of label 1 in the sample."""
-    picked = sample(docs, labels, column, size)
-    texts = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
-    rows = texts.mapInArrow(_bags, "doc_id long, label int, windows array<binary>").collect()  # bounded by size and BAG
-    bags = sorted({(r["doc_id"], r["label"], tuple(bytes(w) for w in r["windows"])) for r in rows if r["windows"]})
-    bags = [([w.split() for w in windows], label) for _, label, windows in bags]
+    bags = sample(docs, labels, column, size)
     share = float(np.mean([label for _, label in bags])) if bags else 0.0
     if share in (0.0, 1.0):
         return None, share
@@ -326,29 +351,11 @@ def scores(model: dict[str, np.ndarray] | None, share: float, texts: list[str |
     out = np.full(len(texts), share)
     if model is None:
         return out
-    lists = [words(text) for text in texts]
-    distinct = list(set().union(*lists))
-    place = dict(zip(distinct, range(len(distinct))))
-    flat = np.fromiter((place[w] for own in lists for w in own), dtype=np.int32)
-    flat = np.append(flat, np.full(WINDOW, len(distinct), dtype=np.int32))
-    counts = np.array([len(own) for own in lists])
-    starts = np.cumsum(counts) - counts
-    begins, owner, ends = [], [], []
-    for i in np.flatnonzero(counts).tolist():
-        own = _starts(int(counts[i]))
-        begins.append(own + starts[i])
-        owner.append(np.full(len(own), i))
-        ends.append(np.full(len(own), starts[i] + counts[i]))
-    if not begins:
+    grid = Windows([words(text) for text in texts])
+    if not len(grid):
         return out
-    begins, owner, ends = np.concatenate(begins), np.concatenate(owner), np.concatenate(ends)
-    projected = project(model, Features(distinct))
     best = np.full(len(texts), -np.inf, dtype=np.float64)
-    for at in range(0, len(begins), BATCH_WINDOWS):
-        own = slice(at, at + BATCH_WINDOWS)
-        places = begins[own, None] + np.arange(WINDOW)
-        windows = np.where(places < ends[own, None], flat[np.minimum(places, len(flat) - 1)], len(distinct))
-        np.maximum.at(best, owner[own], logits(model, projected, windows))
+    np.maximum.at(best, grid.owner, logits(model, project(model, Features(grid.distinct)), grid))
     found = np.isfinite(best)
     out[found] = 1 / (1 + np.exp(-best[found]))
     return out

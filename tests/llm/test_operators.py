@@ -432,6 +432,67 @@ def test_forest_edges(spark):
     assert forest.report(frame.limit(0)).count() == 0
 
 
+def test_forest_repeated_query_rows(spark):
+    draw = np.random.default_rng(2)
+    rows = [(i, draw.standard_normal(5).tolist()) for i in range(1, 60)] + [(0, [1.0] * 5)] * 3 + [(100, [2.0, 0.0, 0.0, 0.0, 0.0]), (100, [-1.0, 0.0, 0.0, 0.0, 0.0])]
+    found = forest.report(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    for query, vector in ((0, [1.0] * 5), (100, [-1.0, 0.0, 0.0, 0.0, 0.0])):
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == query)
+        near = sorted((-float(np.dot(vector, v)), i) for i, v in rows if i != query)[:20]
+        assert [r[0] for r in own] == list(range(1, 21))
+        assert [r[1] for r in own] == [i for _, i in near] and np.allclose([r[2] for r in own], [-s for s, _ in near])
+
+
+def test_toxic_passages_anywhere_in_long_texts_are_learned(spark):
+    """Whole training texts are used: a passage near the end of 20,000 words, and a bound on windows that passes rows over."""
+    plain = " ".join(f"calm{'abcdefgh'[i % 8]} word" for i in range(10_000))
+    rows = [(i, f"{plain} vile vicious venom {'calm word ' * 20}" if i % 2 else plain) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    held = {r[0]: zlib.crc32(str(r[0]).encode()) % 3 == 1 for r in rows}
+    bags = toxicity.sample(docs, labels)
+    assert sorted((len(own), label) for own, label in bags) == sorted((len(t.split()), i % 2) for i, t in rows if not held[i])
+    grid = toxicity.Windows([own for own, _ in bags])
+    number = {w: n for n, w in enumerate(grid.distinct)}
+    for i, (own, _) in enumerate(bags):
+        mine = np.flatnonzero(grid.owner == i)
+        assert len(mine) == len(toxicity._starts(len(own)))
+        for place in (0, len(mine) // 2, len(mine) - 1):
+            begin = int(toxicity._starts(len(own))[place])
+            assert grid[mine[place : place + 1]][0].tolist() == [number[w] for w in own[begin : begin + toxicity.WINDOW]]
+    assert len(toxicity.sample(docs, labels, windows=900)) == 2
+    twice = docs.unionByName(docs).unionByName(docs.limit(0))
+    assert sorted(map(str, toxicity.sample(twice, labels))) == sorted(map(str, bags))
+
+
+def plain_logit(model, own):
+    """The network on one window, step by step."""
+    features = toxicity.Features(own)
+    x = np.array([np.concatenate([model["words"][features.word[i]], np.mean([model["grams"][g] for g, real in zip(features.grams[i], features.real[i]) if real], axis=0)])
+                  for i in range(len(own))]) @ model["input"] + model["bias"]
+    h, states = toxicity.HIDDEN, {}
+    for side, order, part in (("ahead", range(len(own)), x[:, : 3 * h]), ("back", range(len(own) - 1, -1, -1), x[:, 3 * h :])):
+        state, states[side] = np.zeros(h), {}
+        for t in order:
+            inner = state @ model[side]
+            keep, reset = (1 / (1 + np.exp(-(part[t, k * h : (k + 1) * h] + inner[k * h : (k + 1) * h]))) for k in (0, 1))
+            fresh = np.tanh(part[t, 2 * h :] + reset * inner[2 * h :])
+            state = (1 - keep) * fresh + keep * state
+            states[side][t] = state
+    both = [np.concatenate([states["ahead"][t], states["back"][t]]) for t in range(len(own))]
+    weight = np.exp([b @ model["attention"] for b in both])
+    return float((weight / weight.sum()) @ [b @ model["output"] for b in both] + model["offset"][0])
+
+
+def test_toxicity_scores_equal_a_plain_pass():
+    draw, model = random.Random(3), toxicity.initial()
+    texts = [" ".join("".join(draw.choice("abcdef") for _ in range(draw.randint(1, 9))) for _ in range(n)) for n in (1, 5, 48, 49, 130)]
+    for text, score in zip(texts, toxicity.scores(model, 0.5, texts)):
+        own = toxicity.words(text)
+        best = max(plain_logit(model, own[s : s + toxicity.WINDOW]) for s in toxicity._starts(len(own)).tolist())
+        assert math.isclose(score, 1 / (1 + math.exp(-best)), rel_tol=1e-4)
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_queries_match_their_sql(spark, sf_dir, duck, name):
     from tests.oracle import difference
