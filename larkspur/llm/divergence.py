@@ -45,10 +45,12 @@ MIN_DOCS = 10
 TOP = 10
 BASE = 1_000_000_000
 #: Counts, and spellings, that a task holds before it writes or forgets them.
-HELD = 1 << 20
+HELD = 1 << 19
 SPELLED = 1 << 19
+#: Rows of a batch that leaves a task.
+BATCH_ROWS = 1 << 15
 #: Bytes of text that a task works on at once, and the length from which a term is hashed as a whole.
-PIECE, LONG = 1 << 19, 1 << 18
+PIECE, LONG = 1 << 18, 1 << 17
 TILE = 256
 BUCKET_ROWS = 200_000
 #: Entries of the matrix that a task builds at once.
@@ -204,22 +206,26 @@ class _Task:
     def add(self, part: Columns | None) -> None:
         if part is not None:
             self.parts.append(part)
-            if len(self.parts) >= 32:
+            if len(self.parts) >= 16:
                 self.merge()
 
-    def merge(self) -> int:
+    def merge(self) -> None:
         if self.parts:
             self.parts = [_summed_by(*[np.concatenate(c) for c in zip(*self.parts)])]
-        return len(self.parts[0][0]) if self.parts else 0
 
-    def spelled(self) -> Batches:
+    def ready(self) -> Batches:
+        """Spellings not passed on yet, and the counts if there are many."""
         yield from self.new
         self.new = []
+        if self.parts and len(self.parts[0][0]) >= HELD:
+            yield from self.taken()
 
     def taken(self) -> Batches:
         self.merge()
         for g, digests, n, docs in self.parts:
-            yield _rows(g, digests, None, n, docs)
+            for at in range(0, len(g), BATCH_ROWS):
+                own = slice(at, at + BATCH_ROWS)
+                yield _rows(g[own], digests[own], None, n[own], docs[own])
         self.parts = []
 
 
@@ -229,7 +235,7 @@ def _counted(bits: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         task = _Task(bits)
         for batch in batches:
-            group = np.array(batch.column("g").to_pylist(), dtype=np.int64)
+            group = batch.column("g").to_numpy()
             waiting, at, size = [], [], 0
             for i, text in enumerate(batch.column("text").cast(pa.binary())):
                 lowered = (text.as_py() or b"").translate(_LOWER)
@@ -242,11 +248,10 @@ def _counted(bits: int) -> Callable[[Batches], Batches]:
                 if size >= PIECE:
                     task.add(task.counted(group[at], waiting))
                     waiting, at, size = [], [], 0
+                    yield from task.ready()
             if waiting:
                 task.add(task.counted(group[at], waiting))
-            yield from task.spelled()
-            if task.merge() >= HELD:
-                yield from task.taken()
+            yield from task.ready()
         yield from task.taken()
 
     return run
