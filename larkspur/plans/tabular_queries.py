@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import tabular as ft
 from larkspur.functions.text import NUMBER_SHAPE, clean_text as clean_expr, flatten_blocks as flatten_expr
-from larkspur.operators import clean, models, profile, rag_eval
+from larkspur.operators import clean, models, profile, rag_eval, sketches
 from larkspur.operators.bounds import quoted
 from larkspur.operators.metrics import extents
 from larkspur.operators.summaries import summarize
 from larkspur.plans import churn, exams
 from larkspur.plans import views as v
 from larkspur.plans.registry import query, r
+from larkspur.session import scratch_path
 
 c = F.col
 
@@ -451,3 +452,21 @@ def rubric_scores(spark, sf_dir):
   round_even(avg(complete::INT), 6) AS completion FROM totals""")
 def rubric_summary(spark, sf_dir):
     return rag_eval.rubric_summary(_rubric(spark, sf_dir)).select("questions", "points", "max_points", r("completion"))
+
+
+_PROFILED = ["l_returnflag", "l_linestatus", "l_linenumber"]
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{x}' AS "column", count(*) AS rows, count(*) FILTER ("{x}" IS NULL) AS missing, count(DISTINCT "{x}") AS distinct_values,
+  {f'min("{x}")::DOUBLE' if x == "l_linenumber" else 'NULL'} AS min, {f'max("{x}")::DOUBLE' if x == "l_linenumber" else 'NULL'} AS max,
+  (SELECT string_agg(v || ':' || n, ',' ORDER BY n DESC, v) FROM (SELECT "{x}"::VARCHAR AS v, count(*) AS n FROM lineitem GROUP BY 1) t) AS frequent FROM lineitem"""
+    for x in _PROFILED))
+def merged_profile(spark, sf_dir):
+    """Line items profiled year by year, and the years' rows merged; these columns' sketches are exact at their few values."""
+    path = scratch_path(spark, "profiles")
+    lines = v.table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    sketches.add_parts(lines, path, "year", _PROFILED)
+    out = sketches.merged(spark, path)
+    listed = F.array_join(F.transform("frequent", lambda x: F.concat(x["value"], F.lit(":"), x["n"].cast("string"))), ",")
+    return out.select("column", "rows", "missing", c("distinct").alias("distinct_values"), "min", "max", listed.alias("frequent"))
