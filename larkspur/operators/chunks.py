@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.text import strip
 from larkspur.operators.bounds import attach, checked_small
 from larkspur.operators.ranks import block_running_totals, running_totals
-from larkspur.session import durable
+from larkspur.session import stored
 
 SEPARATOR = "\n\n"
 GAP = len(SEPARATOR)
@@ -115,9 +115,9 @@ def number_chunks(chunks: DataFrame, first_id: int = 1) -> DataFrame:
 
     The place inside a source comes from block totals, the offset of a source from the
     running total of the chunk counts per source; no window sees all chunks. The chunks
-    are written to the checkpoint folder first, as three reads of them follow.
+    are written to the shared folder first; two of the three reads of them take two columns.
     """
-    chunks = durable(chunks)
+    chunks = stored(chunks, "chunks")
     placed = block_running_totals(chunks, ["source"], "chunk_number", {"_place": F.lit(1).cast("long")})
     counts = chunks.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
     offsets = running_totals(counts, [], [F.col("source")], {"_upto": F.col("_n")})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):  # local-cluster has executors of its own
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="larkspur-")
     context.setCheckpointDir(folder)
@@ -58,3 +59,10 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder, of which later steps read the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import BOM
 from larkspur.operators.bounds import checked_small, local_copy, quoted
-from larkspur.session import durable, scratch_path
+from larkspur.session import durable, stored
 from larkspur.sources.records import with_start_bit
 
 SPLIT = ["document", "part", "block"]
@@ -240,7 +240,7 @@ def read_document(spark: SparkSession, path: str, arrays: list[str], schemas: li
     else:
         told = lines.join(states, SPLIT).repartition(*SPLIT).sortWithinPartitions(*SPLIT, "line")
     pieces = told.select(*SPLIT, "line", "value", "opened", "depth", "around").mapInArrow(_cut(levels), _PIECE)
-    pieces = _stored(pieces)
+    pieces = stored(pieces, "json-pieces")  # every level reads them
 
     whole = pieces.where((F.col("level") == levels) & F.col("whole")).select("document", "keys", "text")
     apart = pieces.where((F.col("level") == levels) & ~F.col("whole")).groupBy("document", "keys").agg(_in_order().alias("runs"))
@@ -257,13 +257,6 @@ def read_document(spark: SparkSession, path: str, arrays: list[str], schemas: li
     return found.select("document", *[f"r{i}" for i in range(levels + 1)])
 
 
-def _stored(pieces: DataFrame) -> DataFrame:
-    """Written out, since every level reads them."""
-    path = scratch_path(pieces.sparkSession, "json-pieces")
-    pieces.write.parquet(path)
-    return pieces.sparkSession.read.parquet(path)
-
-
 def _in_order() -> Column:
     return F.array_sort(F.collect_list(F.struct("place", "text")))
 

@@ -118,3 +118,63 @@ def test_nothing_stored(spark):
     pages.add_pages(spark.createDataFrame([("a", 1, "x")], SCHEMA), 1, state, "kb", EMBEDDER)
     assert [r[4] for r in published(spark, state)] == ["x"]
     assert spark.read.parquet(f"{state}/cuts").where(F.col("batch") == 0).count() == 0
+
+
+def test_first_records_with_repeats_late_ones_and_a_restart(spark):
+    schema = "id long, at timestamp, value string"
+    batches = [
+        [(1, "2024-01-01 10:00:00", "a"), (2, "2024-01-01 11:00:00", "b"), (None, "2024-01-01 11:00:00", "no id"), (9, None, "no time")],
+        [(1, "2024-01-01 10:30:00", "again"), (3, "2024-01-01 12:00:00", "c"), (2, "2024-01-01 09:00:00", "late again")],
+        [(4, "2024-01-02 11:00:00", "d"), (3, "2024-01-01 12:00:00", "c")],
+        [(5, "2024-01-01 06:00:00", "too late"), (4, "2024-01-02 11:30:00", "again"), (6, "2024-01-02 09:00:00", "late, in time")],
+    ]
+    landing, out, state = (scratch_path(spark, n) for n in ("landing", "out", "state"))
+    for rows in batches:  # each run is a restart
+        frame = spark.createDataFrame(rows, "id long, at string, value string").withColumn("at", F.to_timestamp("at"))
+        frame.coalesce(1).write.mode("append").parquet(landing)
+        jobs.stream_first_records(jobs.file_stream(spark, landing, schema), "id", "at", "4 hours", out, state).awaitTermination()
+    got = {(r["id"], r["value"]) for r in spark.read.parquet(out).collect()}
+    assert got == {(1, "a"), (2, "b"), (3, "c"), (4, "d"), (6, "late, in time")}
+
+
+class Mixed:
+    """Vectors of two widths."""
+
+    def embed(self, df, text, output="embedding"):
+        vector = F.when(F.col("chunk_id") % 2 == 0, F.array(F.lit(1.0))).otherwise(F.array(F.lit(0.0), F.lit(1.0)))
+        return df.withColumn(output, vector)
+
+
+def test_versions_of_a_knowledge_base(spark, library):
+    path = scratch_path(spark, "kb")
+    frame = spark.createDataFrame(library, SCHEMA)
+    half = spark.createDataFrame(library[:50], SCHEMA)
+    assert knowledge.clean(spark, path, "kb") == [] and knowledge.versions(spark, path) is None
+    with pytest.raises(ValueError, match="no version"):
+        knowledge.load_version(spark, path, "kb")
+    assert knowledge.publish(half, path, "kb", EMBEDDER, 100, 20) == 1
+    reading = knowledge.load_version(spark, path, "kb")
+    before = reading.count()
+    for pages_, embedder in ((frame, Mixed()), (frame.limit(0), EMBEDDER)):
+        with pytest.raises(ValueError):
+            knowledge.publish(pages_, path, "kb", embedder, 100, 20)
+        assert knowledge.load_version(spark, path, "kb").count() == before
+    assert knowledge.publish(frame, path, "kb", EMBEDDER, 100, 20) == 2
+    assert knowledge.publish(half, path, "other-kb", EMBEDDER, 100, 20) == 1
+    assert reading.count() == before == knowledge.load_version(spark, path, "kb", 1).count()
+    assert knowledge.load_version(spark, path, "kb").count() > before
+    removed = knowledge.clean(spark, path, "kb", keep=1)  # version 1, and what the two refused builds left
+    assert len(removed) == 3
+    assert knowledge.load_version(spark, path, "kb").count() > before and knowledge.load_version(spark, path, "other-kb").count() == before
+    with pytest.raises(Exception):
+        knowledge.load_version(spark, path, "kb", 1).count()
+
+
+def test_build_refuses_mixed_widths(spark, library):
+    path = scratch_path(spark, "kb")
+    frame = spark.createDataFrame(library, SCHEMA)
+    knowledge.build(frame, path, "kb", EMBEDDER, 100, 20)
+    before = knowledge.load(spark, path, "kb").count()
+    with pytest.raises(ValueError, match="dimensions"):
+        knowledge.build(frame, path, "kb", Mixed(), 100, 20)
+    assert knowledge.load(spark, path, "kb").count() == before
