@@ -9,9 +9,9 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BATCH = 32
@@ -22,6 +22,16 @@ class Embedder(Protocol):
     def embed(self, df: DataFrame, text: str, output: str) -> DataFrame: ...
 
 
+def tokens(text: str) -> Column:
+    """Lower-case runs of letters and digits of a text column."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def slot(token: Column, dimension: int) -> Column:
+    """The slot of a token: the leading 28 bits of its md5, which any engine can compute."""
+    return F.conv(F.substring(F.md5(token), 1, 7), 16, 10).cast("int") % dimension
+
+
 class HashedTokens:
     """Token counts hashed to a fixed number of slots, unit length; stays in the JVM.
 
@@ -33,10 +43,11 @@ class HashedTokens:
         self.dimension = dimension
 
     def embed(self, df: DataFrame, text: str, output: str = "embedding") -> DataFrame:
-        words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-        counted = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=self.dimension)
+        slots = F.transform(tokens(text), lambda w: slot(w, self.dimension).cast("string"))
+        every = [str(i) for i in range(self.dimension)]
+        counted = CountVectorizerModel.from_vocabulary(every, inputCol="_slots", outputCol="_counts")
         scaled = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
-        out = scaled.transform(counted.transform(df.withColumn("_words", words)))
+        out = scaled.transform(counted.transform(df.withColumn("_slots", slots)))
         vector = vector_to_array("_unit", "float32")
         return out.select(*df.columns, vector.alias(output))
 

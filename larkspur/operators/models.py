@@ -28,18 +28,18 @@ def linear_regressor(label: str) -> LinearRegression:
     return LinearRegression(labelCol=label, regParam=0.0, maxIter=1000, tol=1e-12, predictionCol="prediction")
 
 
-def forest_regressor(label: str, trees: int = TREES, depth: int = DEEPEST) -> RandomForestRegressor:
+def forest_regressor(label: str, trees: int = TREES, depth: int = DEEPEST, bootstrap: bool = True) -> RandomForestRegressor:
     return RandomForestRegressor(
-        labelCol=label, numTrees=trees, minInstancesPerNode=MIN_LEAF, featureSubsetStrategy="all",
+        labelCol=label, numTrees=trees, minInstancesPerNode=MIN_LEAF, featureSubsetStrategy="all", bootstrap=bootstrap,
         maxDepth=depth, seed=SEED, maxMemoryInMB=1024, cacheNodeIds=True,
     )
 
 
-def logistic_classifier(label: str, train_rows: int) -> LogisticRegression:
-    """L2 with unit inverse strength, which MLlib counts per training row."""
+def logistic_classifier(label: str, train_rows: int, strength: float = 1.0) -> LogisticRegression:
+    """L2 with unit inverse strength, which MLlib counts per training row; ``strength`` 0 is without."""
     return LogisticRegression(
-        labelCol=label, regParam=1.0 / max(train_rows, 1), elasticNetParam=0.0,
-        standardization=False, maxIter=MAX_ITERATIONS,
+        labelCol=label, regParam=strength / max(train_rows, 1), elasticNetParam=0.0,
+        standardization=False, maxIter=MAX_ITERATIONS, tol=1e-6 if strength else 1e-12,
     )
 
 
@@ -165,6 +165,13 @@ def score(
     return with_actions(scored, actions) if actions is not None else scored
 
 
+def score_values(model: PipelineModel, records: DataFrame, id_column: str, features: list[str]) -> DataFrame:
+    """Predict a value, and its performance category, for records that need not have all features."""
+    schema = T.StructType([records.schema[id_column]] + [T.StructField(c, T.StringType()) for c in features])
+    out = predict_values(model, project_to(records, schema)).select(quoted(id_column), "predicted")
+    return out.withColumn("performance_category", ft.performance_category(F.col("predicted")))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -70,7 +70,8 @@ def chunk_size_sweep(
     chunks = durable(chunk_pages(pages, configs))  # read by the search and by the counts
     named = chunks.select(
         "source", "text",
-        F.xxhash64("source", "chunk_number").alias("chunk_id"),  # orders ties only
+        # Ties go by source and chunk number.
+        F.concat("source", F.lit("\0"), F.lpad(F.col("chunk_number").cast("string"), 19, "0")).alias("chunk_id"),
         F.concat_ws("/", "chunk_size", "chunk_overlap").alias("setting"),
     )
     asked = embedder.embed(questions, "question", "embedding")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from larkspur.functions import tabular as ft
 from larkspur.operators import metrics, models, prep, profile
 from larkspur.operators.bounds import quoted
 from larkspur.operators.split import hash_split
@@ -12,7 +13,7 @@ from larkspur.plans import churn, exams
 from larkspur.plans import views as v
 from larkspur.plans.registry import query, r
 from larkspur.plans.tabular_queries import clean_scores, featured
-from larkspur.session import scratch_path
+from larkspur.session import scratch_path, stored
 
 c = F.col
 
@@ -180,7 +181,7 @@ def confusion_matrix(spark, sf_dir):
 
 def _churn_sets(spark, sf_dir):
     """(training rows, test rows, categorical features, numeric features) of the pipeline."""
-    rows = featured(spark, sf_dir)
+    rows = stored(featured(spark, sf_dir), "features")  # read by the selection, the split, the fit and the test
     categorical, numeric, _ = profile.select_features(rows, churn.CATEGORICAL, churn.NUMERICAL, churn.LEAKAGE)
     return *churn.split(rows), categorical, numeric
 
@@ -271,8 +272,113 @@ def model_roundtrip(spark, sf_dir):
     return before.join(after, "CustomerID").select("CustomerID", (c("before") == c("after")).alias("same_probability"))
 
 
-@query()
+def _list_sql(section: str, names: list[str]) -> str:
+    """The features of a list that vary (or do not) as manifest rows, in the order of the list."""
+    kept = "<= 1" if section == "constant_removed" else "> 1"
+    parts = [f"""SELECT '{x}' AS name, {i} AS place, count(DISTINCT "{x}") + (count("{x}") < count(*))::INT AS kinds FROM featured"""
+             for i, x in enumerate(names)]
+    return f"""SELECT '{section}' AS section, name, row_number() OVER (ORDER BY place) - 1 AS position, '' AS value
+  FROM ({" UNION ALL ".join(parts)}) WHERE kinds {kept}"""
+
+
+_OPTIONS_SQL = " UNION ALL ".join(
+    f"""SELECT 'feature_option' AS section, '{x}' AS name, row_number() OVER (ORDER BY min("CustomerID"), "{x}") AS position, "{x}" AS value
+  FROM featured WHERE "{x}" IS NOT NULL GROUP BY "{x}" """ for x in churn.CATEGORICAL
+)
+_FACTS = [("selected_model", "", churn.LOGISTIC), ("threshold", "low_max", str(ft.RISK_LOW_MAX)), ("threshold", "medium_max", str(ft.RISK_MEDIUM_MAX))]
+_FACTS += [("action", band, text) for band, text in ft.RISK_ACTIONS.items()]
+_FACTS_SQL = " UNION ALL ".join(f"SELECT '{a}', '{b}', 0, '{text}'" for a, b, text in _FACTS)
+
+
+@query(f"""WITH {v.LABELLED_SQL} {_list_sql("categorical", churn.CATEGORICAL)} UNION ALL {_list_sql("numerical", churn.NUMERICAL)}
+UNION ALL {_list_sql("constant_removed", [*churn.CATEGORICAL, *churn.NUMERICAL])} UNION ALL {_OPTIONS_SQL} UNION ALL {_FACTS_SQL}""")
 def model_manifest(spark, sf_dir):
-    rows = featured(spark, sf_dir)
+    """What a scoring job needs to know, but for the ranges of numeric features (see ``feature_profile``)."""
+    rows = stored(featured(spark, sf_dir), "features")
     categorical, numeric, constant = profile.select_features(rows, churn.CATEGORICAL, churn.NUMERICAL, churn.LEAKAGE)
-    return churn.manifest(rows, churn.LOGISTIC, categorical, numeric, constant, "CustomerID")
+    facts = churn.manifest(rows, churn.LOGISTIC, categorical, numeric, constant, "CustomerID")
+    return facts.where(~((c("section") == "feature_option") & c("name").isin(churn.NUMERICAL)))
+
+
+# ---- models that SQL can compute: one feature, whose groups a model without a penalty tells apart --
+
+_GROUP = "test preparation course"
+_EXAM_GROUPS_SQL = f"""WITH {v.CLEAN_SCORES_SQL}, divided AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42:' || row_key)) <= ceil(0.2 * count(*) OVER ()) AS is_test FROM clean_scores),
+fitted AS (SELECT "{_GROUP}", avg(overall_score) AS predicted FROM divided WHERE NOT is_test GROUP BY 1)"""
+_TESTED_SQL = f"""{_EXAM_GROUPS_SQL} SELECT row_key, round_even(overall_score, 4) AS actual, round_even(predicted, 4) AS predicted,
+  round_even(abs(overall_score - predicted), 4) AS absolute_error FROM divided JOIN fitted USING ("{_GROUP}") WHERE is_test"""
+
+
+def _exam_groups(spark, sf_dir, estimator):
+    rows = clean_scores(spark, sf_dir).select("row_key", _GROUP, exams.TARGET)
+    training, testing = exams.split(rows, "row_key")
+    return models.fit(training, [_GROUP], [], estimator), testing
+
+
+def _tested(model, testing):
+    out = models.regression_table(models.predict_values(model, testing), exams.TARGET, ["row_key"])
+    return out.select("row_key", r("actual", 4), r("predicted", 4), r("absolute_error", 4))
+
+
+@query(_TESTED_SQL)
+def group_regression_table(spark, sf_dir):
+    return _tested(*_exam_groups(spark, sf_dir, models.linear_regressor(exams.TARGET)))
+
+
+@query(_TESTED_SQL)
+def group_tree_table(spark, sf_dir):
+    """One whole tree on one feature predicts the mean of each of its levels."""
+    return _tested(*_exam_groups(spark, sf_dir, models.forest_regressor(exams.TARGET, 1, 5, bootstrap=False)))
+
+
+@query(f"""{_EXAM_GROUPS_SQL}, scored AS (
+  SELECT row_key, coalesce(f.predicted, m.predicted) AS predicted FROM clean_scores LEFT JOIN fitted f USING ("{_GROUP}"), (
+    SELECT predicted FROM fitted JOIN (SELECT "{_GROUP}", count(*) AS n FROM divided WHERE NOT is_test GROUP BY 1) USING ("{_GROUP}")
+    ORDER BY n DESC, "{_GROUP}" LIMIT 1) m)
+SELECT row_key, round_even(predicted, 4) AS predicted, CASE WHEN predicted >= 70 THEN 'High' WHEN predicted >= 50 THEN 'Medium'
+  ELSE 'Low' END AS performance_category FROM scored""")
+def exam_batch_score(spark, sf_dir):
+    """Records without most of the columns, scored by a saved and loaded exam model."""
+    model, _ = _exam_groups(spark, sf_dir, models.linear_regressor(exams.TARGET))
+    path = scratch_path(spark, "model")
+    models.save_model(model, path)
+    records = clean_scores(spark, sf_dir).select("row_key", _GROUP)
+    out = models.score_values(models.load_model(path), records, "row_key", [_GROUP])
+    return out.select("row_key", r("predicted", 4), "performance_category")
+
+
+GROUP_LEVEL = "Contract"
+_CHURN_GROUPS_SQL = f"""{_STRATIFIED_SQL}, fitted AS (SELECT "{GROUP_LEVEL}", avg("Churn") AS probability FROM divided WHERE NOT is_test GROUP BY 1)"""
+GROUP_SCORES_SQL = f"""{_CHURN_GROUPS_SQL}
+SELECT "CustomerID", (probability > 0.5)::INT AS predicted, round_even(probability, 4) AS probability,
+  CASE WHEN probability > 0.5 THEN 'Likely to Churn' ELSE 'Likely to Stay' END AS status, risk_band, action
+FROM (SELECT *, CASE WHEN probability < {ft.RISK_LOW_MAX} THEN 'Low' WHEN probability < {ft.RISK_MEDIUM_MAX} THEN 'Medium' ELSE 'High' END AS risk_band
+  FROM accounts JOIN fitted USING ("{GROUP_LEVEL}"))
+JOIN (VALUES {", ".join(f"('{band}', '{text}')" for band, text in ft.RISK_ACTIONS.items())}) t(risk_band, action) USING (risk_band)"""
+
+
+def group_model(spark, sf_dir):
+    """Logistic regression without a penalty on one feature: the rate of each of its levels."""
+    training, _ = churn.split(featured(spark, sf_dir).select("CustomerID", GROUP_LEVEL, "Churn"))
+    return models.fit(training, [GROUP_LEVEL], [], models.logistic_classifier("Churn", 1, strength=0.0))
+
+
+@query(GROUP_SCORES_SQL)
+def group_batch_score(spark, sf_dir):
+    """Status, band and action of raw accounts, scored by a model that SQL can compute."""
+    incoming = churn.prepare(v.accounts(spark, sf_dir).drop("Churn Label")).drop("Gender")
+    out = models.score(group_model(spark, sf_dir), incoming, "CustomerID", [GROUP_LEVEL], [], models.action_table(spark))
+    return out.withColumn("probability", r("probability", 4))
+
+
+@query(f"""{_CHURN_GROUPS_SQL} SELECT "CustomerID", "{GROUP_LEVEL}", "Churn" AS "Actual_Churn", (probability > 0.5)::INT AS "Predicted_Churn",
+  round_even(probability, 4) AS "Churn_Probability", CASE WHEN probability < {ft.RISK_LOW_MAX} THEN 'Low'
+  WHEN probability < {ft.RISK_MEDIUM_MAX} THEN 'Medium' ELSE 'High' END AS "Risk_Category"
+FROM divided JOIN fitted USING ("{GROUP_LEVEL}") WHERE is_test""")
+def group_logistic_table(spark, sf_dir):
+    """Held-out accounts with the class, probability and band of ``group_model``."""
+    _, testing = churn.split(featured(spark, sf_dir).select("CustomerID", GROUP_LEVEL, "Churn"))
+    tested = models.predict_classes(group_model(spark, sf_dir), testing)
+    out = models.classification_table(tested, "Churn", ["CustomerID", GROUP_LEVEL])
+    return out.withColumn("Churn_Probability", r("Churn_Probability", 4))

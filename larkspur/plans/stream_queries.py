@@ -8,8 +8,8 @@ from larkspur.functions.text import page_list
 from larkspur.operators import embed
 from larkspur.plans import knowledge
 from larkspur.plans import views as v
-from larkspur.plans.learning_queries import _churn_sets, _logistic
-from larkspur.plans.registry import query
+from larkspur.plans.learning_queries import GROUP_LEVEL, GROUP_SCORES_SQL, _churn_sets, _logistic, group_model
+from larkspur.plans.registry import query, r
 from larkspur.session import scratch_path
 from larkspur.streaming import jobs, pages
 
@@ -26,6 +26,17 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query(GROUP_SCORES_SQL)
+def group_stream_score(spark, sf_dir):
+    """Raw accounts scored as a stream, by a model that SQL can compute."""
+    orders = jobs.file_stream(spark, f"{sf_dir}/orders.parquet", v.table(spark, sf_dir, "orders").schema)
+    records = v.account_columns(orders, v.table(spark, sf_dir, "customer")).drop("Churn Label")
+    out, state = scratch_path(spark, "scores"), scratch_path(spark, "state")
+    jobs.stream_scores(records, group_model(spark, sf_dir), "CustomerID", [GROUP_LEVEL], [], out, state).awaitTermination()
+    scored = spark.read.parquet(out)
+    return scored.withColumn("probability", r("probability", 4))
+
+
 _STREAMED_SQL = f"""WITH {v.LIBRARY_SQL} SELECT row_number() OVER (ORDER BY source, chunk_number) AS chunk_id, source,
   array_to_string(page_numbers, ', ') AS pages, text FROM chunks"""
 
@@ -62,3 +73,16 @@ def stream_kb_batches(spark, sf_dir):
         arrived = jobs.file_stream(spark, landing, came.drop("deal").schema)
         pages.stream_knowledge(arrived, state, "library", embed.HashedTokens(), checkpoint).awaitTermination()
     return _published(spark, state)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def stream_first_orders(spark, sf_dir):
+    """Orders that are delivered twice, the second time in the next micro-batch: each is kept once."""
+    orders = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("timestamp").alias("at"))
+    landing, out, state = (scratch_path(spark, n) for n in ("landing", "orders", "state"))
+    for batch in range(3):
+        now = orders.where((F.col("o_orderkey") % 2 == batch) | (F.col("o_orderkey") % 2 == batch - 1))
+        now.write.mode("append").parquet(landing)
+        arrived = jobs.file_stream(spark, landing, orders.schema)
+        jobs.stream_first_records(arrived, "o_orderkey", "at", "10000 days", out, state).awaitTermination()
+    return spark.read.parquet(out).drop("at")

@@ -246,25 +246,42 @@ def library_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Python's strip() set, for SQL: chr() codes joined to one text.
 STRIP_SET = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
-LIBRARY_SQL = f"""
+def library_sql(size: int = 1000, overlap: int = 200, suffix: str = "") -> str:
+    """The pages, offsets and chunks of all documents; the names of what depends on the setting end in ``suffix``."""
+    step = size - overlap
+    pages = f"""
 library AS (SELECT source, doc_id AS page_number, trim(text, {STRIP_SET}) AS text FROM documents),
 offsets AS (
   SELECT source, page_number, text, upto - length(text) AS "start", upto AS "end"
   FROM (SELECT *, sum(length(text) + 2) OVER (PARTITION BY source ORDER BY page_number
                  ROWS UNBOUNDED PRECEDING) - 2 AS upto FROM library WHERE text <> '')),
 whole AS (SELECT source, string_agg(text, chr(10) || chr(10) ORDER BY page_number) AS full_text,
-            max("end") AS total FROM offsets GROUP BY source),
-raw_chunks AS (
-  SELECT source, k AS chunk_number, k * 800 AS s, least(k * 800 + 1000, total) AS e,
-    trim(substring(full_text, (k * 800 + 1)::BIGINT, 1000), {STRIP_SET}) AS text
-  FROM whole, LATERAL unnest(range(0, CASE WHEN total <= 1000 THEN 1
-    ELSE CAST(ceil((total - 1000) / 800.0) AS BIGINT) + 1 END)) t(k)),
-chunks AS (
+            max("end") AS total FROM offsets GROUP BY source),"""
+    return ("" if suffix else pages) + f"""
+raw_chunks{suffix} AS (
+  SELECT source, k AS chunk_number, k * {step} AS s, least(k * {step} + {size}, total) AS e,
+    trim(substring(full_text, (k * {step} + 1)::BIGINT, {size}), {STRIP_SET}) AS text
+  FROM whole, LATERAL unnest(range(0, CASE WHEN total <= {size} THEN 1
+    ELSE CAST(ceil((total - {size}) / {step}.0) AS BIGINT) + 1 END)) t(k)),
+chunks{suffix} AS (
   SELECT c.source, chunk_number, s, c.text, list(page_number ORDER BY page_number) AS page_numbers
-  FROM raw_chunks c JOIN offsets o ON o.source = c.source AND o."end" > c.s AND o."start" < c.e
+  FROM raw_chunks{suffix} c JOIN offsets o ON o.source = c.source AND o."end" > c.s AND o."start" < c.e
   WHERE c.text <> '' GROUP BY ALL)"""
 
 
+LIBRARY_SQL = library_sql()
+
+
+def slots_sql(name: str, table: str, keys: str, text: str, dimension: int = 384) -> str:
+    """``name``: keys, slot, its count n, and the norm, of the hashed tokens of a table's texts."""
+    return f"""
+{name} AS (
+  SELECT *, sqrt(sum(n * n) OVER (PARTITION BY {keys})) AS norm FROM (
+    SELECT {keys}, slot, count(*)::DOUBLE AS n FROM (
+      SELECT {keys}, unnest(list_transform(list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''),
+        lambda w: ('0x' || substr(md5(w), 1, 7))::INT % {dimension})) AS slot FROM {table}) GROUP BY ALL))"""
+
+
 CENTROIDS_SQL = """
 means AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 65) t(i) GROUP BY label, i),
 topics AS (
