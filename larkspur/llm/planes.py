@@ -23,6 +23,7 @@ empty tables. Extra columns are not stored.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -95,7 +96,7 @@ class Encoder:
             ids = self.young.get(word) or self.old.get(word)
             if ids is not None:
                 found[word] = ids
-            elif word.isalpha() or (not word.isascii() and word.decode().isalpha()):
+            elif _run_of_letters(word):
                 runs.append(word)
             else:
                 others.append(word)
@@ -113,7 +114,7 @@ class Encoder:
         parts, needed = {}, set()
         for word in set().union(*lists):
             letters = word.rstrip(_MARKS)
-            if letters.isalpha() or (letters and not letters.isascii() and letters.decode().isalpha()):
+            if _run_of_letters(letters):
                 parts[word] = pair = letters.lower(), word[len(letters) :]
                 needed.update(pair)
             else:
@@ -129,6 +130,11 @@ class Encoder:
 _MARKS = b".,;:!?"
 
 
+def _run_of_letters(word: bytes) -> bool:
+    """Whether the tokenizer, which lower-cases and composes, sees letters only; some letters become a letter and a mark."""
+    return word.isalpha() or (not word.isascii() and unicodedata.normalize("NFC", word.decode().lower()).isalpha())
+
+
 def worker_encoder(shared) -> Encoder:
     """The encoder of this Python worker: made from the broadcast definition, kept from task to task."""
     state = shared.value

@@ -107,6 +107,24 @@ def test_encoder_equals_whole_texts():
     assert planes.Encoder(open(planes.default_tokenizer(), encoding="utf-8").read()).ids(odd) == want
 
 
+def test_encoder_over_all_code_points():
+    """Every character after and before letters, and before a final mark, as the whole-text tokenizer has it."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(planes.default_tokenizer())
+    encoder = planes.Encoder(open(planes.default_tokenizer(), encoding="utf-8").read())
+    points = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    for begin in range(0, len(points), 2048):
+        some = [chr(c) for c in points[begin : begin + 2048]]
+        for form in ("a{}!", "{}b.", "{}"):
+            text = " ".join(form.format(c) for c in some)
+            want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if encoder.ids([text]) != [want]:
+                own = [form.format(c) for c in some]
+                wrong = [w for w in own if encoder.ids([w]) != [np.array(tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()]]
+                raise AssertionError(wrong[:10] or "only together")
+
+
 def test_repeats(docs, none, pairs):
     got = [tuple(r) for r in repeats.report(docs).collect()]
     assert brute.ordered(got) == brute.ordered(brute.repeats(pairs))
