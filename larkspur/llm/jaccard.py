@@ -159,7 +159,9 @@ def _profiled(shared, size: int, percent: int):
                 kept = order[(place < length[owner]) & maybe[order]]
                 cuts = np.searchsorted(owner[kept], np.arange(len(found) + 1))
                 prefixes = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat[kept].astype(np.int64)))
-                sets = [t.tobytes() if cuts[i + 1] > cuts[i] else None for i, t in enumerate(found)]
+                # A shingle of one document is in no overlap, so only the others are stored, beside the full size.
+                parts = np.split(maybe, np.cumsum(counts)[:-1])
+                sets = [t[own].tobytes() if cuts[i + 1] > cuts[i] else None for i, (t, own) in enumerate(zip(found, parts))]
                 numbers = np.arange(number, number + len(found))
                 number += len(found)
                 yield pa.RecordBatch.from_arrays(
@@ -172,13 +174,13 @@ def _profiled(shared, size: int, percent: int):
 
 
 class Group:
-    """The union of the members' shingles, with one bit per member for each of them."""
+    """The union of the members' stored shingles, with one bit per member for each of them, and the full sizes."""
 
-    def __init__(self, sets: list[np.ndarray], percent: int):
-        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    def __init__(self, sets: list[np.ndarray], sizes: list[int], percent: int):
+        self.sizes = np.array(sizes, dtype=np.int64)
         self.percent = percent
         tokens = np.concatenate(sets)
-        bits = np.repeat(np.uint64(1) << np.arange(len(sets), dtype=np.uint64), self.sizes)
+        bits = np.repeat(np.uint64(1) << np.arange(len(sets), dtype=np.uint64), [len(s) for s in sets])
         order = np.argsort(tokens, kind="stable")
         tokens, bits = tokens[order], bits[order]
         new = np.ones(len(tokens), bool)
@@ -186,17 +188,17 @@ class Group:
         self.union = tokens[new]
         self.rows = np.bitwise_or.reduceat(bits, np.flatnonzero(new))
 
-    def linked(self, query: np.ndarray) -> np.ndarray:
-        """Members that link with the query; only counted where the bound allows one."""
+    def linked(self, query: np.ndarray, size: int) -> np.ndarray:
+        """Members that link with a set of that size, of which ``query`` is stored; only counted where the bound allows one."""
         at = np.minimum(np.searchsorted(self.union, query), len(self.union) - 1)
         rows = self.rows[at[self.union[at] == query]]
         # overlap >= percent * (n + m) / (100 + percent), and m is at least percent of n
-        least = max(int(self.sizes.min()), -(-self.percent * len(query) // 100))
-        if (100 + self.percent) * len(rows) < self.percent * (len(query) + least):
+        least = max(int(self.sizes.min()), -(-self.percent * size // 100))
+        if (100 + self.percent) * len(rows) < self.percent * (size + least):
             return np.zeros(0, dtype=np.int64)
         overlap = np.unpackbits(rows.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         overlap = overlap[: len(self.sizes)]
-        union = self.sizes + len(query) - overlap
+        union = self.sizes + size - overlap
         return np.flatnonzero(100 * overlap >= self.percent * union)
 
 
@@ -211,7 +213,7 @@ def _leaders(group: Group, sets: list[np.ndarray]) -> list[int]:
         return i
 
     for i, tokens in enumerate(sets):
-        for j in group.linked(tokens).tolist():
+        for j in group.linked(tokens, int(group.sizes[i])).tolist():
             a, b = root(i), root(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
@@ -225,22 +227,23 @@ def _grouped(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number, names, sets, held = TaskContext.get().partitionId() << 32, [], [], 0
+        number, names, sets, sizes, held = TaskContext.get().partitionId() << 32, [], [], [], 0
 
         def closed() -> pa.RecordBatch:
-            leaders = _leaders(Group(sets, percent), sets)
+            leaders = _leaders(Group(sets, sizes, percent), sets)
             return pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array([number] * len(names), pa.int64()), pa.array([names[i] for i in leaders], pa.int64())], schema=schema
             )
 
         for batch in batches:
-            for name, blob in zip(batch.column("class").to_pylist(), batch.column("tokens")):
+            for name, n, blob in zip(batch.column("class").to_pylist(), batch.column("n").to_pylist(), batch.column("tokens")):
                 tokens = np.frombuffer(blob.as_py(), dtype="<u8")
                 if names and (len(names) == GROUP or held + len(tokens) > GROUP_SHINGLES):
                     yield closed()
-                    number, names, sets, held = number + 1, [], [], 0
+                    number, names, sets, sizes, held = number + 1, [], [], [], 0
                 names.append(name)
                 sets.append(tokens)
+                sizes.append(n)
                 held += len(tokens)
         if names:
             yield closed()
@@ -250,7 +253,7 @@ def _grouped(percent: int):
 
 def _level(sets: DataFrame, percent: int) -> DataFrame:
     ordered = sets.repartitionByRange("top", "n", "class").sortWithinPartitions("top", "n", "class")
-    return durable(ordered.select("class", "tokens").mapInArrow(_grouped(percent), "class long, group long, leader long"))
+    return durable(ordered.select("class", "n", "tokens").mapInArrow(_grouped(percent), "class long, group long, leader long"))
 
 
 def _visited(percent: int):
@@ -258,20 +261,21 @@ def _visited(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members, leaders, group = None, [], [], None
+        key, members, sizes, leaders, group = None, [], [], [], None
         for batch in batches:
             out = []
-            names = ("group", "salt", "kind", "leader", "tokens")
-            for now, salt, kind, leader, blob in zip(*(batch.column(n) for n in names)):
+            names = ("group", "salt", "kind", "leader", "n", "tokens")
+            for now, salt, kind, leader, n, blob in zip(*(batch.column(n) for n in names)):
                 now, tokens, leader = (now.as_py(), salt.as_py()), np.frombuffer(blob.as_py(), dtype="<u8"), leader.as_py()
                 if now != key:
-                    key, members, leaders, group = now, [], [], None
+                    key, members, sizes, leaders, group = now, [], [], [], None
                 if kind.as_py() == 0:
                     members.append(tokens)
+                    sizes.append(n.as_py())
                     leaders.append(leader)
                     continue
-                group = group or Group(members, percent)
-                out += [{"a": leader, "b": other} for other in {leaders[j] for j in group.linked(tokens)} - {leader}]
+                group = group or Group(members, sizes, percent)
+                out += [{"a": leader, "b": other} for other in {leaders[j] for j in group.linked(tokens, n.as_py())} - {leader}]
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return run
@@ -353,9 +357,9 @@ def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT)
 
     salts = visits.groupBy("to").agg((F.floor(F.count(F.lit(1)) / VISITS) + 1).alias("salts"))
     members = leader.join(salts, leader["group"] == salts["to"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    members = members.join(sets.select("class", "tokens"), "class").select("group", "salt", F.lit(0).alias("kind"), "leader", "tokens")
+    members = members.join(sets.select("class", "n", "tokens"), "class").select("group", "salt", F.lit(0).alias("kind"), "leader", "n", "tokens")
     visitors = visits.join(salts, "to").withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")))
-    visitors = visitors.join(sets.select("class", "tokens"), "class").select(F.col("to").alias("group"), "salt", F.lit(1).alias("kind"), "leader", "tokens")
+    visitors = visitors.join(sets.select("class", "n", "tokens"), "class").select(F.col("to").alias("group"), "salt", F.lit(1).alias("kind"), "leader", "n", "tokens")
     both = members.unionByName(visitors).repartition("group", "salt").sortWithinPartitions("group", "salt", "kind")
     links = both.mapInArrow(_visited(percent), "a long, b long")
     roots = components(links)
