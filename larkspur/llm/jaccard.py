@@ -342,12 +342,14 @@ def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT)
     entry = shared.join(leader, "class").select("token", "class", "n", "group", "leader")
     limits = [F.min("n").alias("low"), F.max("n").alias("high"), F.min("leader").alias("one"), F.max("leader").alias("other")]
     table = durable(entry.groupBy("token", "group").agg(*limits))
+    # A shingle whose groups all have one leader, as in a family of near copies, holds no link that is not known.
+    wide = table.groupBy("token").agg(F.min("one").alias("first"), F.max("other").alias("last")).where("first <> last").select("token")
+    table = durable(table.join(wide, "token", "left_semi"))
     right = table.select("token", *[F.col(c).alias(f"to_{c}") for c in ("group", "low", "high", "one", "other")])
     sizes = (100 * F.col("to_high") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("to_low"))
     apart = F.least("one", "to_one") != F.greatest("other", "to_other")
     pairs = table.join(right, "token").where((F.col("group") < F.col("to_group")) & sizes & apart).select("group", "to_group").distinct()
-    # Only classes with a shingle of another group can have a link there.
-    wide = table.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    # Only classes with a shingle of another linked set can have a link there.
     able = durable(entry.join(wide, "token", "left_semi").select("class", "n", "group", "leader").distinct())
     whole = able.groupBy(F.col("group").alias("to_group")).agg(*limits)
     visitor = able.join(pairs, "group").join(whole, "to_group")

@@ -148,6 +148,32 @@ def test_jaccard_keeps_one_of_each(docs, none, pairs):
     assert jaccard.first_of_each(none).count() == 0
 
 
+def test_jaccard_one_large_family_makes_no_pairs_of_groups(spark, monkeypatch):
+    """All groups of a family fall under one leader, so none meets another one."""
+    draw = random.Random(6)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(900):
+        own = list(base)
+        own[draw.randrange(300)] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    rows += [(5000 + i, " ".join(f"q{i}-{j}" for j in range(50))) for i in range(3)]
+    visits = []
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    saved = jaccard.durable
+
+    def watched(df):
+        out = saved(df)
+        if out.columns == ["class", "leader", "to"]:
+            visits.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "durable", watched)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.report(docs).collect()}
+    assert len(visits) == 1 and visits[0] <= 2 * 900 // 64
+    assert {got[i] for i in range(900)} == {0} and [got[5000 + i] for i in range(3)] == [5000, 5001, 5002]
+
+
 def test_jaccard_family_of_near_copies(spark):
     """One large family over many groups and levels, and a chain whose ends do not link."""
     draw = random.Random(1)
