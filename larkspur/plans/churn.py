@@ -129,6 +129,11 @@ def run(spark: SparkSession, path: str, out: str, trees: int = models.TREES) ->
     delimited.write_plain(profile.ranked_rates(rated), f"{out}/rates")
     delimited.write_plain(profile.rate_extremes(rated, "Senior Citizen"), f"{out}/rate_extremes")
     delimited.write_plain(profile.majority_baseline(rows, TARGET), f"{out}/baseline")
+    # The tables behind the charts.
+    delimited.write_plain(profile.value_counts(rows, ["Churn Label"]), f"{out}/chart_outcomes")
+    delimited.write_plain(profile.boxplot(rows, "Churn Label", "Monthly Charges"), f"{out}/chart_charges")
+    by_tenure = rated.where(F.col("dimension") == "TenureGroup").withColumn("ordinal", ft.tenure_ordinal(F.col("level")))
+    delimited.write_plain(by_tenure.orderBy("ordinal"), f"{out}/chart_tenure")
     categorical, numeric, constant = profile.select_features(rows, CATEGORICAL, NUMERICAL, LEAKAGE)
     fitted, predicted, comparison, selected = train(rows, categorical, numeric, trees)
     delimited.write_plain(comparison.drop("model_order"), f"{out}/model_comparison")

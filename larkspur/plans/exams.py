@@ -76,3 +76,8 @@ def run(raw: DataFrame, id_column: str, out: str, trees: int = models.TREES) ->
     write_plain(models.importances(fitted[FOREST], rows.sparkSession), f"{out}/feature_importance")
     models.save_model(fitted[selected], f"{out}/model")
     return selected
+
+
+def score(records: DataFrame, path: str, id_column: str) -> DataFrame:
+    """Score new records with the model that ``run`` saved: predicted value and performance category."""
+    return models.score_values(models.load_model(path), records, id_column, FEATURES)

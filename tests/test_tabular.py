@@ -256,3 +256,9 @@ def test_churn_pipeline_from_file(spark, tmp_path):
     manifest = {(r["section"], r["name"]) for r in spark.read.json(f"{out}/manifest").collect()}
     assert ("constant_removed", "Internet Service") in manifest and ("threshold", "low_max") in manifest
     assert models.load_model(f"{out}/model").stages
+    read = {name: spark.read.option("header", True).csv(f"{out}/chart_{name}") for name in ("outcomes", "charges", "tenure")}
+    counted = {r["value"]: int(r["count"]) for r in read["outcomes"].collect()}
+    assert counted == {r[0]: r[1] for r in rows.groupBy("Churn Label").count().collect()}
+    assert {r["Churn Label"] for r in read["charges"].collect()} == set(counted)
+    assert [int(r["ordinal"]) for r in read["tenure"].where("ordinal is not null").collect()] == sorted(
+        int(r["ordinal"]) for r in read["tenure"].where("ordinal is not null").collect())
