@@ -59,7 +59,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores.score(table(spark, sf_dir, "documents"))
+    return lm_scores.score(table(spark, sf_dir, "documents"), lower=True)
 
 
 @register

@@ -196,7 +196,7 @@ def _unpacked(blob: bytes, sizes: np.ndarray) -> list[bytes]:
     return [whole[begin:end] for begin, end in zip((stops - sizes).tolist(), stops.tolist())]
 
 
-def _messages(slices: int, gram_slices: int):
+def _messages(slices: int, gram_slices: int, lower: bool):
     """Per piece: texts and word matrix of its documents, and per slice its distinct words and grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +205,7 @@ def _messages(slices: int, gram_slices: int):
         hashes = WordHashes()
         for count, (rows, texts) in enumerate(_pieces(batches)):
             piece = (TaskContext.get().partitionId() << 32) + count
-            lists = [[*text.split(), b""] for text in texts]  # the empty word is the end
+            lists = [[*(text.lower() if lower else text).split(), b""] for text in texts]  # A-Z only; the empty word is the end
             sizes = np.array([len(own) for own in lists], dtype=np.int64)
             flat = np.frombuffer(b"".join(b"".join(map(hashes.__getitem__, own)) for own in lists), dtype="<u8")
             words, place = np.unique(flat, return_inverse=True)
@@ -396,15 +396,18 @@ def _pair(blob):
     return np.frombuffer(blob, "<i8").tolist()
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per document."""
+def score(docs: DataFrame, lower: bool = False) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per document.
+
+    With ``lower`` the base counts words with A-Z in lower case; the model always reads the texts as they are.
+    """
     spark = docs.sparkSession
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
     sizes = plain.agg(
         F.sum(F.regexp_count("text", F.lit(WORD)).cast("long")).alias("words"), F.sum(F.octet_length("text").cast("long")).alias("bytes")
     ).first()
     slices, gram_slices = (sizes["words"] or 0) // SLICE_WORDS + 1, (sizes["bytes"] or 0) // SLICE_BYTES + 1
-    messages = plain.mapInArrow(_messages(slices, gram_slices), _MESSAGE)
+    messages = plain.mapInArrow(_messages(slices, gram_slices, lower), _MESSAGE)
     path = scratch_path(spark, "word-counts")
     messages.repartition("part").sortWithinPartitions("part").mapInArrow(_answered(slices), _MESSAGE).write.parquet(path)
     answers = spark.read.parquet(path)

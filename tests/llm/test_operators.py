@@ -240,6 +240,15 @@ def test_unigram_base_and_scores(docs, none, pairs):
     assert lm_scores.score(none).count() == 0
 
 
+def test_context_tree_query_counts_words_in_lower_case(spark, rows, tmp_path):
+    own = [(*row[:1], row[1] and row[1].replace("a", "A").replace("é", "É") if i % 2 else row[1]) for i, row in enumerate(rows)]
+    spark.createDataFrame(own, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(*r[:5], round(r["base_score"], 6)) for r in catalog.BUILDERS["op5_context_tree"](spark, str(tmp_path)).collect()]
+    small = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    lowered = [(i, text and text.translate(small)) for i, text in own]
+    assert brute.ordered(got) == brute.ordered(brute.unigrams(lowered)) != brute.ordered(brute.unigrams(own))
+
+
 def test_context_tree_against_recursion():
     texts, depth = [b"abracadabra abra", b"banana", b""], 2
     found, _ = ctw.text_grams(texts, depth)
