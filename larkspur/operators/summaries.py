@@ -63,8 +63,8 @@ def summarize(
 
     counts = values.where("x is not null").groupBy(*group_columns, "x").agg(F.count(F.lit(1)).alias("_n"))
     ordered = running_totals(counts, group, [F.col("x")], {"_upto": F.col("_n")}, max_rows=0)
-    sizes = values.groupBy(*group_columns).agg(F.count("x").alias("_total"))
-    placed = attach(ordered, checked_small(sizes), group)
+    known = checked_small(values.groupBy(*group_columns).agg(F.count("x").alias("_total"), *plain))
+    placed = attach(ordered, known.select(*group_columns, "_total"), group)
     picks, results = [], []
     for name, p in quantiles.items():
         at = F.lit(p) * (F.col("_total") - 1)
@@ -76,4 +76,4 @@ def summarize(
         results.append((low * (1 - weight) + high * weight).alias(name))
     found = placed.groupBy(*group_columns).agg(F.max("_total").alias("_total"), *picks)
     found = found.select(*group_columns, *results)
-    return attach(values.groupBy(*group_columns).agg(*plain), found, group)
+    return attach(known.drop("_total"), found, group)

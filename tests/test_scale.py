@@ -51,6 +51,14 @@ def test_exact_quantiles_without_holding_a_group(skewed):
     assert [r["median"] for r in large.where("k = 'hot'").collect()] == pytest.approx([statistics.median(hot)])
 
 
+def test_exact_quantiles_without_other_statistics(skewed):
+    for keys in ([], ["k"]):
+        frame = skewed.withColumn("none", F.lit(None).cast("double"))
+        small = summarize(frame, keys, ["x", "none"], [], {"median": 0.5})
+        large = summarize(frame, keys, ["x", "none"], [], {"median": 0.5}, distinct_limit=0)
+        assert small.columns == large.columns and sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+
+
 def test_first_by_key_with_a_hot_key(skewed):
     got = {r["k"]: r["i"] for r in clean.first_by_key(skewed, ["k"], ["i"]).collect()}
     first = {}
