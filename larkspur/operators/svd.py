@@ -14,7 +14,7 @@ import hashlib
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,31 +32,57 @@ RANK = 128
 EXTRA = 8  # vectors beyond the rank, which make the leading ones sharper
 ROUNDS = 5
 BLOCK = 256  # slots of one partial sum
-ENTRIES = 1 << 15  # entries of the matrix that a task works on at once
+ENTRIES = 1 << 13  # entries of the matrix that a task works on at once
+ENCODED = 256  # texts that are encoded at once
+MEMO_TOKENS = 1 << 18
 MERGERS = 16
 
 _TOKEN = regex.compile(r"[\p{L}\p{N}]+")
 Batches = Iterator[pa.RecordBatch]
 
 
-@lru_cache(maxsize=1 << 18)
-def _slot(token: str, slots: int) -> int:
-    return int.from_bytes(hashlib.md5(token.encode("utf-8", "surrogatepass")).digest()[:4], "big") % slots
+class _Slots(dict):
+    """Slots of tokens, as many as a task keeps in memory."""
+
+    def __init__(self, slots: int):
+        super().__init__()
+        self.slots = slots
+
+    def __missing__(self, token: str) -> int:
+        value = int.from_bytes(hashlib.md5(token.encode("utf-8", "surrogatepass")).digest()[:4], "big") % self.slots
+        if len(self) >= MEMO_TOKENS:
+            self.clear()
+        self[token] = value
+        return value
+
+
+_MEMO: dict[int, _Slots] = {}
 
 
 def slots_of(text: str | None, slots: int) -> list[int]:
-    return [_slot(token, slots) for token in _TOKEN.findall((text or "").lower())]
+    memo = _MEMO.get(slots) or _MEMO.setdefault(slots, _Slots(slots))
+    return list(map(memo.__getitem__, _TOKEN.findall((text or "").lower())))
 
 
-def _entries(lists: list, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, value) of the matrix: damped counts by rarity, rows of unit length."""
+def _counted(lists: list[list[int]], slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, count) of the distinct slots of some texts, in this order."""
     sizes = [len(own) for own in lists]
-    flat = np.concatenate([np.asarray(own, dtype=np.int64) for own in lists]) if sum(sizes) else np.zeros(0, dtype=np.int64)
-    pairs, n = np.unique(np.repeat(np.arange(len(lists)), sizes) * len(idf) + flat, return_counts=True)
-    row, slot = pairs // len(idf), pairs % len(idf)
+    flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=sum(sizes))
+    pairs, n = np.unique(np.repeat(np.arange(len(lists)), sizes) * slots + flat, return_counts=True)
+    return pairs // slots, pairs % slots, n
+
+
+def _weights(row: np.ndarray, slot: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The values of the matrix: damped counts by rarity, rows of unit length."""
     value = (1 + np.log(n)) * idf[slot]
-    length = np.sqrt(np.bincount(row, weights=value**2, minlength=len(lists)))
-    return row, slot, value / length[row]
+    return value / np.sqrt(np.bincount(row, weights=value**2))[row]
+
+
+def _sums(value: np.ndarray, matrix: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``value`` times the rows ``at`` of a matrix, over the runs that begin at ``starts``."""
+    products = matrix.take(at, axis=0)
+    products *= value[:, None]
+    return np.add.reduceat(products, starts)
 
 
 def _applied(shared, slots: int) -> Callable[[Batches], Batches]:
@@ -68,20 +94,20 @@ def _applied(shared, slots: int) -> Callable[[Batches], Batches]:
         idf, block = shared.value
         total, touched = np.zeros_like(block), np.zeros(-(-slots // BLOCK), dtype=bool)
         for batch in batches:
-            lists = batch.column("slots").to_pylist()
-            sizes = np.cumsum([0, *map(len, lists)])
+            sizes = batch.column("slots").value_lengths().to_numpy()
+            slot, n = (batch.column(name).flatten().to_numpy() for name in ("slots", "counts"))
+            row, ends = np.repeat(np.arange(len(sizes)), sizes), np.cumsum([0, *sizes])
+            value = _weights(row, slot, n, idf)
             begin = 0
-            while begin < len(lists):
-                stop = max(begin + 1, int(np.searchsorted(sizes, sizes[begin] + ENTRIES, side="right")) - 1)
-                row, slot, value = _entries(lists[begin:stop], idf)
-                if len(row):
-                    images = np.zeros((stop - begin, block.shape[1]))
-                    starts = np.flatnonzero(np.diff(row, prepend=-1))
-                    images[row[starts]] = np.add.reduceat(value[:, None] * block[slot], starts)
-                    order = np.argsort(slot, kind="stable")
-                    firsts = np.flatnonzero(np.diff(slot[order], prepend=-1))
-                    total[slot[order][firsts]] += np.add.reduceat((value[:, None] * images[row])[order], firsts)
-                    touched[slot // BLOCK] = True
+            while begin < len(sizes):
+                stop = max(begin + 1, int(np.searchsorted(ends, ends[begin] + ENTRIES, side="right")) - 1)
+                some = slice(ends[begin], ends[stop])
+                images = _sums(value[some], block, slot[some], ends[begin:stop] - ends[begin])  # no text is without slots
+                order = np.argsort(slot[some], kind="stable")
+                own = slot[some][order]
+                firsts = np.flatnonzero(np.diff(own, prepend=-1))
+                total[own[firsts]] += _sums(value[some][order], images, row[some][order] - begin, firsts)
+                touched[own[firsts] // BLOCK] = True
                 begin = stop
         part = TaskContext.get().partitionId() % MERGERS
         for i in np.flatnonzero(touched).tolist():
@@ -124,12 +150,14 @@ class TokenSvd:
         idf, vectors = self.idf, self.vectors
 
         def encode(texts: list[str]) -> np.ndarray:
-            row, slot, value = _entries([slots_of(t, len(idf)) for t in texts], idf)
+            row, slot, n = _counted([slots_of(t, len(idf)) for t in texts], len(idf))
             out = np.zeros((len(texts), vectors.shape[1]))
-            np.add.at(out, row, value[:, None] * vectors[slot])
+            if len(row):
+                starts = np.flatnonzero(np.diff(row, prepend=-1))
+                out[row[starts]] = _sums(_weights(row, slot, n, idf), vectors, slot, starts)
             return out
 
-        return BatchEncoder(lambda: encode)
+        return BatchEncoder(lambda: encode, ENCODED)
 
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [(i, float(w), v) for i, (w, v) in enumerate(zip(self.idf, self.vectors.tolist()))]
@@ -149,12 +177,15 @@ def fit(texts: DataFrame, text: str = "text", rank: int = RANK, slots: int = SLO
 
     def cut(batches: Batches) -> Batches:
         for batch in batches:
-            lists = [slots_of(t, slots) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], names=["slots"])
+            lists = [own for own in (slots_of(t, slots) for t in batch.column(0).to_pylist()) if own]
+            row, slot, n = _counted(lists, slots)
+            ends = np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32)
+            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(own.astype(np.int32))) for own in (slot, n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["slots", "counts"])
 
-    held = stored(texts.select(text).mapInArrow(cut, "slots array<int>").where(F.size("slots") > 0), "slots")
+    held = stored(texts.select(text).mapInArrow(cut, "slots array<int>, counts array<int>"), "slots")
     n = held.count()
-    seen = held.select(F.explode(F.array_distinct("slots")).alias("slot")).groupBy("slot").count().collect()  # at most a row per slot
+    seen = held.select(F.explode_outer("slots").alias("slot")).groupBy("slot").count().collect()  # at most a row per slot
     df = np.zeros(slots)
     df[[r["slot"] for r in seen]] = [r["count"] for r in seen]
     idf = np.log((1 + n) / (1 + df)) + 1

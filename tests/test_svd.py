@@ -56,3 +56,16 @@ def test_nothing_to_train_on(spark):
     model = svd.fit(spark.createDataFrame([(None,), ("..",)], "text string"), rank=2, slots=64, rounds=1)
     out = model.encoder().embed(spark.createDataFrame([("word",)], "text string"), "text")
     assert out.select(F.size("embedding")).first()[0] == 2
+
+
+def test_counts_and_sums_of_texts():
+    lists = [[5, 1, 5], [0], [7, 7, 7, 1]]
+    row, slot, n = svd._counted(lists, 8)
+    assert (row.tolist(), slot.tolist(), n.tolist()) == ([0, 0, 1, 2, 2], [1, 5, 0, 1, 7], [1, 2, 1, 1, 3])
+    value = svd._weights(row, slot, n, np.ones(8))
+    assert np.allclose(np.bincount(row, weights=value**2), 1)
+    matrix = np.arange(16.0).reshape(8, 2)
+    dense = np.zeros((3, 8))
+    dense[row, slot] = value
+    assert np.allclose(svd._sums(value, matrix, slot, np.array([0, 2, 3])), dense @ matrix)
+    assert [len(own) for own in svd._counted([], 8)] == [0, 0, 0]
