@@ -73,7 +73,7 @@ def search(
     """
     kept = [*([within] if within else []), chunk_id, *carry]
     wanted = queries.where(F.col(vector).isNotNull()).select(F.col(query_id), F.col(vector))
-    stored = corpus.where(F.col(vector).isNotNull()).select(*kept, F.col(vector))
+    stored = corpus.select(*kept, F.col(vector))  # rows without a vector are left out by the tasks: a filter would make it twice
     schema = T.StructType(
         [queries.schema[query_id]]
         + [corpus.schema[c] for c in kept]
@@ -130,6 +130,8 @@ def _against_matrix(table, stored, k, floor, query_id, chunk_id, vector, within,
         names, matrix = shared.value
         held = None
         for batch in batches:
+            if batch.column(vector).null_count:
+                batch = batch.filter(batch.column(vector).is_valid())
             if not len(names) or not batch.num_rows:
                 continue
             columns = {name: batch.column(batch.schema.get_field_index(name)) for name in [*kept, vector]}
@@ -157,6 +159,7 @@ def _numbers(n: int) -> Column:
 
 
 def _against_grid(wanted, stored, k, floor, query_id, chunk_id, vector, within, kept, schema, query_blocks) -> DataFrame:
+    stored = stored.where(F.col(vector).isNotNull())
     corpus_blocks = max(1, math.ceil(stored.count() / CORPUS_BLOCK))
     left = wanted.withColumn("_q", F.pmod(F.xxhash64(query_id), F.lit(query_blocks)))
     left = left.withColumn("_c", F.explode(_numbers(corpus_blocks)))

@@ -196,7 +196,8 @@ def hash_embed(spark, sf_dir):
     """The entries of the chunks' vectors that are not zero."""
     cut = chunks.chunk_documents(v.library_pages(spark, sf_dir), 1000, 200)
     vectors = embed.HashedTokens().embed(cut.select("source", "chunk_number", "text"), "text")
-    entries = vectors.select("source", "chunk_number", F.posexplode("embedding").alias("slot", "weight")).where("weight <> 0")
+    # The plain form would first test the size of every vector, and make it twice for that.
+    entries = vectors.select("source", "chunk_number", F.posexplode_outer("embedding").alias("slot", "weight")).where("weight <> 0")
     return entries.select("source", "chunk_number", "slot", r("weight", 5))
 
 

@@ -1,14 +1,17 @@
 """Chunking, answers and evaluation against plain Python."""
 
+import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from larkspur.operators import answers, chunks, embed, rag_eval
-from larkspur.plans import knowledge
+from larkspur.operators import answers, chunks, embed, rag_eval, search
+from larkspur.plans import catalog, knowledge
 from larkspur.session import scratch_path
 from larkspur.sources import corpus
 
@@ -190,3 +193,33 @@ def test_damaged_pages(spark, tmp_path):
         corpus.read_pages(spark, str(tmp_path)).collect()
     with pytest.raises(FileNotFoundError):
         corpus.read_pages(spark, str(tmp_path), "*.pdf.json")
+
+
+def test_hashed_tokens_hash_each_distinct_token_once(monkeypatch):
+    asked, plain = [], embed.slot
+    monkeypatch.setattr(embed, "COUNTED", 2)
+    monkeypatch.setattr(embed, "slot", lambda token, dimension: asked.append(token) or plain(token, dimension))
+    lists = [["sea", "owl", "sea"], [], ["owl"], ["tax", "é"], ["sea"]]
+    got = embed._unit_counts(pa.array([["cut off"], *lists], pa.list_(pa.string())).slice(1), 8).to_pylist()
+    assert sorted(asked) == sorted({w for own in lists for w in own})
+    for own, vector in zip(lists, got):
+        want = np.zeros(8)
+        for word in own:
+            want[int(hashlib.md5(word.encode()).hexdigest()[:7], 16) % 8] += 1
+        assert vector == (want / (np.linalg.norm(want) or 1)).astype("float32").tolist()
+    assert embed._unit_counts(pa.array([], pa.list_(pa.string())), 8).to_pylist() == []
+
+
+def test_hash_embed_makes_each_vector_once(spark, sf_dir, capsys):
+    catalog.builders()["hash_embed"](spark, sf_dir).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("split(lower(") == 1
+
+
+def test_search_leaves_out_rows_without_a_vector(spark):
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<double>")
+    rows = [(1, None), (2, [0.5, 0.5]), (3, None), (4, [0.9, 0.1])]
+    stored = spark.createDataFrame(rows, "chunk_id long, embedding array<double>").coalesce(1)
+    for values in (search.QUERY_VALUES, 1):
+        got = search.search(asked, stored, 5, 0.0, query_values=values).orderBy("rank").collect()
+        assert [r["chunk_id"] for r in got] == [4, 2]
