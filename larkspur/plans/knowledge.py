@@ -31,7 +31,7 @@ def _built(pages: DataFrame, embedder: Embedder, size: int, overlap: int, first_
 
 def checked(rows: DataFrame) -> dict:
     """Number and width of the vectors; refused if there are none, if one is missing, or if widths differ."""
-    found = vector_check(rows).first().asDict() | {"chunks": rows.count()}
+    found = vector_check(rows).drop("norm_error").first().asDict() | {"chunks": rows.count()}
     if not found["chunks"]:
         raise ValueError("no chunks were made")
     if found["vectors"] != found["chunks"] or not found["uniform"]:

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from larkspur.functions import vectors
 from larkspur.operators import answers, chunks, embed, rag_eval, search
 from larkspur.plans import catalog, knowledge
 from larkspur.session import scratch_path
@@ -210,6 +211,12 @@ def test_hashed_tokens_hash_each_distinct_token_once(monkeypatch):
     assert embed._unit_counts(pa.array([], pa.list_(pa.string())), 8).to_pylist() == []
 
 
+def test_checked_vectors_are_counted_without_their_lengths(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "norm", lambda a: F.raise_error(F.lit("a length was taken")).cast("double"))
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "chunk_id long, embedding array<float>")
+    assert knowledge.checked(rows) == {"chunks": 2, "dimension": 2}
+
+
 def test_hash_embed_makes_each_vector_once(spark, sf_dir, capsys):
     catalog.builders()["hash_embed"](spark, sf_dir).explain()
     plan = capsys.readouterr().out
