@@ -51,6 +51,7 @@ GROUP = 64
 GROUP_SHINGLES = 1 << 22
 LEVELS = 3
 VISITS = 4096
+KEYS = 1 << 20
 MEMO_WORDS = 1 << 17
 COUNT_SLICES = 16
 PIECE_SHINGLES = 1 << 19
@@ -256,6 +257,12 @@ def _level(sets: DataFrame, percent: int) -> DataFrame:
     return durable(ordered.select("class", "n", "tokens").mapInArrow(_grouped(percent), "class long, group long, leader long"))
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """Keys (one long each), broadcast if they are counted to be few."""
+    keys = durable(keys)
+    return F.broadcast(keys) if keys.count() <= KEYS else keys
+
+
 def _visited(percent: int):
     """Links of visitors, from rows sorted so that a group's members come before its visitors."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -323,18 +330,21 @@ def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT)
     prefix = durable(active.select(F.col("number").alias("class"), "n", F.explode("prefix").alias("token")))
     df = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = durable(prefix.join(df, "token"))
-    tops = shared.groupBy("class", "n").agg(F.max_by("token", F.struct("df", "token")).alias("top"))
+    tops = durable(shared.groupBy("class", "n").agg(F.max_by("token", F.struct("df", "token")).alias("top")))
     tokens = rows.where("tokens is not null").select(F.col("number").alias("class"), "tokens")
     sets = durable(tops.join(tokens, "class"))
 
     groups = _level(sets, percent)
     leader = groups.select("class", "group", "leader")
-    upper = groups
+    # On go leaders of linked sets, and of what one shingle put into several groups. All others have met here whom it makes like them.
+    placed = groups.join(tops.select("class", "top"), "class")
+    parted = placed.groupBy("top").agg(F.min("group").alias("first"), F.max("group").alias("last")).where("first <> last").select("top")
+    heads = placed.join(_few(parted), "top", "left_semi").select("leader").unionByName(groups.where("class <> leader").select("leader"))
     for _ in range(LEVELS - 1):
-        heads = upper.select(F.col("leader").alias("class")).distinct()
-        upper = _level(sets.join(heads, "class", "left_semi"), percent)
-        step = upper.select(F.col("class").alias("leader"), F.col("leader").alias("next"))
-        leader = leader.join(step, "leader").select("class", "group", F.col("next").alias("leader"))
+        heads = _few(heads.select(F.col("leader").alias("class")).distinct())
+        heads = _level(sets.join(heads, "class", "left_semi"), percent)
+        step = heads.select(F.col("class").alias("leader"), F.col("leader").alias("next"))
+        leader = leader.join(step, "leader", "left").select("class", "group", F.coalesce("next", "leader").alias("leader"))
     leader = durable(leader)
 
     # Which groups may hold links between them: a shared prefix shingle, sizes that allow a link,
@@ -350,15 +360,19 @@ def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT)
     apart = F.least("one", "to_one") != F.greatest("other", "to_other")
     pairs = table.join(right, "token").where((F.col("group") < F.col("to_group")) & sizes & apart).select("group", "to_group").distinct()
     # Only classes with a shingle of another linked set can have a link there.
-    able = durable(entry.join(wide, "token", "left_semi").select("class", "n", "group", "leader").distinct())
+    open_entry = durable(entry.join(wide, "token", "left_semi"))
+    able = durable(open_entry.select("class", "n", "group", "leader").distinct())
     whole = able.groupBy(F.col("group").alias("to_group")).agg(*limits)
     visitor = able.join(pairs, "group").join(whole, "to_group")
     sizes = (100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low"))
     apart = (F.col("one") != F.col("leader")) | (F.col("other") != F.col("leader"))
-    visits = durable(visitor.where(sizes & apart).select("class", "leader", F.col("to_group").alias("to")))
+    visits = visitor.where(sizes & apart).select("class", "n", "leader", F.col("to_group").alias("to"))
+    # Of these, the ones that have themselves a shingle of the group, beside sizes and a linked set that allow a link.
+    met = visits.join(open_entry.select("class", "token"), "class").join(table.withColumnRenamed("group", "to"), ["token", "to"])
+    visits = durable(met.where(sizes & apart).select("class", "leader", "to").distinct())
 
     salts = visits.groupBy("to").agg((F.floor(F.count(F.lit(1)) / VISITS) + 1).alias("salts"))
-    members = leader.join(salts, leader["group"] == salts["to"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    members = able.drop("n").join(salts, able["group"] == salts["to"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     members = members.join(sets.select("class", "n", "tokens"), "class").select("group", "salt", F.lit(0).alias("kind"), "leader", "n", "tokens")
     visitors = visits.join(salts, "to").withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")))
     visitors = visitors.join(sets.select("class", "n", "tokens"), "class").select(F.col("to").alias("group"), "salt", F.lit(1).alias("kind"), "leader", "n", "tokens")

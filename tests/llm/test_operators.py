@@ -1,5 +1,6 @@
 """The operators against plain versions, on tables with NULLs, copies, long texts and clashing names."""
 
+import itertools
 import math
 import random
 import zlib
@@ -567,3 +568,20 @@ def test_sketch_never_misses():
         bitmaps[row][:] = np.packbits(seen).tobytes()
     assert countmin.seen_twice(prints[:700], bits, bitmaps).all()
     assert countmin.seen_twice(prints[700:], bits, bitmaps).mean() < 0.3
+
+
+def test_jaccard_opens_groups_only_for_sets_with_a_shingle_of_them(spark, monkeypatch):
+    kept, whole = {}, jaccard.durable
+
+    def noted(df):
+        out = whole(df)
+        kept.setdefault(tuple(out.columns), []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "durable", noted)
+    texts = [" ".join(words) for words in itertools.permutations("abcdef", 4)]  # no two have the same shingles
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.report(docs).collect()}
+    assert got == {i: i for i in range(len(texts))}
+    assert kept["class", "leader", "to"][0] <= 100  # of 360 classes, one shingle in each prefix, six classes a shingle
+    assert max(kept["class", "group", "leader"][1:3]) <= 100  # nor are all of them grouped again
