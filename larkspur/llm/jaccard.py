@@ -12,11 +12,11 @@ union bounds its overlap with every member, and only groups that pass the bound
    shingles that may occur twice. Two sets above the threshold share at least one of them, so
    a document with none links with no other text and sends no set.
 3. Classes that share such a shingle are ordered by their most common shared one and their
-   size, and cut into groups. Groups are joined inside; one leader per linked set goes on to
-   the next level, where leaders are grouped again. So a family of n near copies falls
+   size, and cut into groups. Groups are joined inside; the leaders of linked sets, and of what
+   one shingle put into several groups, go on to the next level, where leaders are grouped again. So a family of n near copies falls
    together in n / 64 + n / 64^2 + ... groups and never makes n^2 pairs.
 4. A group visits another one if a shared prefix shingle, the sizes and their linked sets allow
-   it; a member is a query there if its own size and linked set do.
+   it; a member is a query there if its own prefix, size and linked set do.
    Groups with many visitors are dealt out by salt. Only one link per visit and linked set is
    kept, so links grow with the rows.
 5. Components by large-star and small-star steps over the links of leaders.
