@@ -15,8 +15,9 @@ union bounds its overlap with every member, and only groups that pass the bound
    size, and cut into groups. Groups are joined inside; the leaders of linked sets, and of what
    one shingle put into several groups, go on to the next level, where leaders are grouped again. So a family of n near copies falls
    together in n / 64 + n / 64^2 + ... groups and never makes n^2 pairs.
-4. A group visits another one if a shared prefix shingle, the sizes and their linked sets allow
-   it; a member is a query there if its own prefix, size and linked set do.
+4. A group visits another one if a shared prefix shingle, the sizes, the numbers of stored
+   shingles (no overlap is larger) and their linked sets allow it; a member is a query there if
+   its own prefix, sizes and linked set do. Prefixes meet groups as a whole, one row per visit.
    Groups with many visitors are dealt out by salt. Only one link per visit and linked set is
    kept, so links grow with the rows.
 5. Components by large-star and small-star steps over the links of leaders.
@@ -263,6 +264,67 @@ def _few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= KEYS else keys
 
 
+def _beside(visits: DataFrame, able: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members (kind 0) and the visitors (kind 1) of each visited group with what ``sets`` has of them, sorted so."""
+    salts = visits.groupBy("to").agg((F.floor(F.count(F.lit(1)) / VISITS) + 1).alias("salts"))
+    members = able.join(salts, able["group"] == salts["to"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    members = members.select("class", "group", F.col("salt").cast("long").alias("salt"), F.lit(0).alias("kind"), "leader")
+    visitors = visits.join(salts, "to").withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")))
+    visitors = visitors.select("class", F.col("to").alias("group"), "salt", F.lit(1).alias("kind"), "leader")
+    rows = members.unionByName(visitors).join(sets, "class")
+    return rows.repartition("group", "salt").sortWithinPartitions("group", "salt", "kind")
+
+
+class Prefixes:
+    """Per prefix shingle of a group the limits of the members that have it."""
+
+    def __init__(self, members: list[tuple[int, int, int, np.ndarray]], percent: int):
+        self.percent = percent
+        leaders, sizes, stored = (np.array([m[i] for m in members], dtype=np.int64) for i in range(3))
+        tokens = np.concatenate([m[3] for m in members])
+        order = np.argsort(tokens, kind="stable")
+        owner = np.repeat(np.arange(len(members)), [len(m[3]) for m in members])[order]
+        tokens = tokens[order]
+        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        self.tokens = tokens[first]
+        self.low, self.high = np.minimum.reduceat(sizes[owner], first), np.maximum.reduceat(sizes[owner], first)
+        self.most = np.maximum.reduceat(stored[owner], first)
+        self.one, self.other = np.minimum.reduceat(leaders[owner], first), np.maximum.reduceat(leaders[owner], first)
+
+    def admits(self, leader: int, size: int, stored: int, prefix: np.ndarray) -> bool:
+        """Whether a shingle of the prefix has a member that may link with such a set."""
+        at = np.minimum(np.searchsorted(self.tokens, prefix), len(self.tokens) - 1)
+        at = at[self.tokens[at] == prefix]
+        low, percent = self.low[at], self.percent
+        sizes = (100 * self.high[at] >= percent * size) & (100 * size >= percent * low)
+        reach = (100 + percent) * np.minimum(self.most[at], stored) >= percent * (low + size)
+        return bool((sizes & reach & ((self.one[at] != leader) | (self.other[at] != leader))).any())
+
+
+def _met(percent: int):
+    """Visitors that a group admits, one row each, from rows of prefixes sorted as for ``_visited``."""
+    schema = pa.schema([("class", pa.int64()), ("leader", pa.int64()), ("to", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members, prefixes = None, [], None
+        for batch in batches:
+            out = []
+            names = ("group", "salt", "kind", "class", "leader", "n", "stored", "prefix")
+            for group, salt, kind, name, *limits, tokens in zip(*(batch.column(n) for n in names)):
+                now, row = (group.as_py(), salt.as_py()), (*(x.as_py() for x in limits), tokens.values.to_numpy())
+                if now != key:
+                    key, members, prefixes = now, [], None
+                if kind.as_py() == 0:
+                    members.append(row)
+                    continue
+                prefixes = prefixes or Prefixes(members, percent)
+                if prefixes.admits(*row):
+                    out.append({"class": name.as_py(), "leader": row[0], "to": now[0]})
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    return run
+
+
 def _visited(percent: int):
     """Links of visitors, from rows sorted so that a group's members come before its visitors."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -327,7 +389,8 @@ def classes_of(rows: DataFrame) -> DataFrame:
 def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """class (by number) and root for the classes that link with another one."""
     active = rows.where("tokens is not null").join(classes.select("number"), "number", "left_semi")
-    prefix = durable(active.select(F.col("number").alias("class"), "n", F.explode("prefix").alias("token")))
+    stored = (F.octet_length("tokens") / 8).cast("long").alias("stored")
+    prefix = durable(active.select(F.col("number").alias("class"), "n", stored, F.explode("prefix").alias("token")))
     df = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = durable(prefix.join(df, "token"))
     tops = durable(shared.groupBy("class", "n").agg(F.max_by("token", F.struct("df", "token")).alias("top")))
@@ -347,37 +410,34 @@ def linked_classes(rows: DataFrame, classes: DataFrame, percent: int = PERCENT)
         leader = leader.join(step, "leader", "left").select("class", "group", F.coalesce("next", "leader").alias("leader"))
     leader = durable(leader)
 
-    # Which groups may hold links between them: a shared prefix shingle, sizes that allow a link,
-    # more than one linked set. Met as groups, so a family makes a 64th of its pairs squared.
-    entry = shared.join(leader, "class").select("token", "class", "n", "group", "leader")
-    limits = [F.min("n").alias("low"), F.max("n").alias("high"), F.min("leader").alias("one"), F.max("leader").alias("other")]
+    # Which groups may hold links between them: a shared prefix shingle, sizes and stored shingles that
+    # allow a link, more than one linked set. Met as groups, so a family makes a 64th of its pairs squared.
+    entry = shared.join(leader, "class").select("token", "class", "n", "stored", "group", "leader")
+    limits = [F.min("n").alias("low"), F.max("n").alias("high"), F.max("stored").alias("most"), F.min("leader").alias("one"), F.max("leader").alias("other")]
     table = durable(entry.groupBy("token", "group").agg(*limits))
     # A shingle whose groups all have one leader, as in a family of near copies, holds no link that is not known.
     wide = table.groupBy("token").agg(F.min("one").alias("first"), F.max("other").alias("last")).where("first <> last").select("token")
     table = durable(table.join(wide, "token", "left_semi"))
-    right = table.select("token", *[F.col(c).alias(f"to_{c}") for c in ("group", "low", "high", "one", "other")])
+    to = ("group", "low", "high", "most", "one", "other")
+    right = table.select("token", *[F.col(c).alias(f"to_{c}") for c in to])
     sizes = (100 * F.col("to_high") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("to_low"))
+    reach = (100 + percent) * F.least("most", "to_most") >= percent * (F.col("low") + F.col("to_low"))
     apart = F.least("one", "to_one") != F.greatest("other", "to_other")
-    pairs = table.join(right, "token").where((F.col("group") < F.col("to_group")) & sizes & apart).select("group", "to_group").distinct()
+    pairs = table.join(right, "token").where((F.col("group") < F.col("to_group")) & sizes & reach & apart).select("group", "to_group").distinct()
     # Only classes with a shingle of another linked set can have a link there.
-    open_entry = durable(entry.join(wide, "token", "left_semi"))
-    able = durable(open_entry.select("class", "n", "group", "leader").distinct())
-    whole = able.groupBy(F.col("group").alias("to_group")).agg(*limits)
-    visitor = able.join(pairs, "group").join(whole, "to_group")
-    sizes = (100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low"))
-    apart = (F.col("one") != F.col("leader")) | (F.col("other") != F.col("leader"))
-    visits = visitor.where(sizes & apart).select("class", "n", "leader", F.col("to_group").alias("to"))
+    open_entry = entry.join(wide, "token", "left_semi")
+    able = durable(open_entry.groupBy("class", "n", "stored", "group", "leader").agg(F.collect_list("token").alias("prefix")))
+    whole = able.groupBy("group").agg(*limits)
+    whole = pairs.join(whole.select(*[F.col(c).alias(f"to_{c}") for c in to]), "to_group")
+    sizes = (100 * F.col("to_high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("to_low"))
+    reach = (100 + percent) * F.least("stored", "to_most") >= percent * (F.col("n") + F.col("to_low"))
+    apart = (F.col("to_one") != F.col("leader")) | (F.col("to_other") != F.col("leader"))
+    visits = able.join(whole, "group").where(sizes & reach & apart).select(F.col("to_group").alias("to"), "class", "leader")
     # Of these, the ones that have themselves a shingle of the group, beside sizes and a linked set that allow a link.
-    met = visits.join(open_entry.select("class", "token"), "class").join(table.withColumnRenamed("group", "to"), ["token", "to"])
-    visits = durable(met.where(sizes & apart).select("class", "leader", "to").distinct())
+    prefixes = able.select("class", "n", "stored", "prefix")
+    visits = durable(_beside(durable(visits), able, prefixes).mapInArrow(_met(percent), "class long, leader long, to long"))
 
-    salts = visits.groupBy("to").agg((F.floor(F.count(F.lit(1)) / VISITS) + 1).alias("salts"))
-    members = able.drop("n").join(salts, able["group"] == salts["to"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    members = members.join(sets.select("class", "n", "tokens"), "class").select("group", "salt", F.lit(0).alias("kind"), "leader", "n", "tokens")
-    visitors = visits.join(salts, "to").withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")))
-    visitors = visitors.join(sets.select("class", "n", "tokens"), "class").select(F.col("to").alias("group"), "salt", F.lit(1).alias("kind"), "leader", "n", "tokens")
-    both = members.unionByName(visitors).repartition("group", "salt").sortWithinPartitions("group", "salt", "kind")
-    links = both.mapInArrow(_visited(percent), "a long, b long")
+    links = _beside(visits, able, sets.select("class", "n", "tokens")).mapInArrow(_visited(percent), "a long, b long")
     roots = components(links)
     return leader.join(roots, leader["leader"] == roots["node"], "left").select("class", F.coalesce("root", "leader").alias("root"))
 

@@ -585,3 +585,28 @@ def test_jaccard_opens_groups_only_for_sets_with_a_shingle_of_them(spark, monkey
     assert got == {i: i for i in range(len(texts))}
     assert kept["class", "leader", "to"][0] <= 100  # of 360 classes, one shingle in each prefix, six classes a shingle
     assert max(kept["class", "group", "leader"][1:3]) <= 100  # nor are all of them grouped again
+
+
+def test_jaccard_near_copies_too_far_apart_visit_no_group(spark, monkeypatch):
+    """Copies with so many shingles of their own that no two can link share prefix shingles, and still none visits."""
+    draw = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for k in range(5):  # 15 shingles of its own, of 198; the prefix has 20
+            own[40 * k + draw.randrange(1, 38)] = f"x{i}-{k}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join([*base[:100], f"y{i}", *base[101:]])) for i in range(3)]
+    visits, saved = [], jaccard.durable
+
+    def watched(df):
+        out = saved(df)
+        if set(out.columns) == {"class", "leader", "to"}:
+            visits.append(out.select("class").distinct().count())
+        return out
+
+    monkeypatch.setattr(jaccard, "durable", watched)
+    got = [tuple(r) for r in jaccard.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert brute.ordered(got) == brute.ordered(brute.components(rows))
+    assert max(visits) <= 3
