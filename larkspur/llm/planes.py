@@ -23,6 +23,7 @@ empty tables. Extra columns are not stored.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -59,7 +60,7 @@ class Encoder:
     The tokenizer drops white space and never merges across it, nor between a run of letters
     and the marks that follow. So the distinct words of some texts are encoded once, letters
     apart from final marks, many in one call; the ids of a lower-cased word are remembered in
-    two generations of at most ``MEMO_WORDS``, which bounds memory and not what is encoded.
+    two generations of some ``MEMO_WORDS``, which bounds memory and not what is encoded. Arrow finds the words and the distinct ones; ids are put together by numpy.
     """
 
     def __init__(self, definition: str):
@@ -67,72 +68,114 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(definition)
-        self.encode = tokenizer.encode
+        self.tokenizer = tokenizer
         vocabulary = tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _one(self, word: bytes) -> bytes:
-        return np.asarray(self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, from one call."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(one.ids, dtype="<u4") for one in found]
 
     def _many(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words of letters, each a single run for the tokenizer, from one call."""
-        ids = np.asarray(self.encode(b" ".join(words).decode(), add_special_tokens=False).ids, dtype="<u4")
+        """Ids of words of letters, each a single run for the tokenizer, encoded as one text."""
+        ids = self._each([b" ".join(words).decode()])[0]
         stops = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
         if len(stops) != len(words):
-            return [self._one(w) for w in words]
+            return self._apart(words)
         flat, out, start = ids.tobytes(), [], 0
         for stop in stops.tolist():
             out.append(flat[start:stop])
             start = stop
         return out
 
-    def _known(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of each of the words, from memory or encoded now."""
-        found, runs, others = {}, [], []
-        for word in words:
-            ids = self.young.get(word) or self.old.get(word)
+    def _apart(self, words: list[bytes]) -> list[bytes]:
+        """Ids of any words, each a text of its own."""
+        return [ids.tobytes() for ids in self._each([word.decode("utf-8", "replace") for word in words])]
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of the distinct words, from memory or encoded now."""
+        found = list(map(self.young.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        fresh, runs, others = {}, [], []
+        for word in (words[i] for i in missing):
+            ids = self.old.get(word)
             if ids is not None:
-                found[word] = ids
-            elif _run_of_letters(word):
-                runs.append(word)
+                fresh[word] = ids
             else:
-                others.append(word)
+                (runs if _run_of_letters(word) else others).append(word)
         for begin in range(0, len(runs), 1024):
             some = runs[begin : begin + 1024]
-            found.update(zip(some, self._many(some)))
-        found.update((word, self._one(word)) for word in others)
-        self.young.update(found)
+            fresh.update(zip(some, self._many(some)))
+        for begin in range(0, len(others), 1024):
+            some = others[begin : begin + 1024]
+            fresh.update(zip(some, self._apart(some)))
+        for i in missing:
+            found[i] = fresh[words[i]]
+        self.young.update(fresh)
         if len(self.young) > MEMO_WORDS:
             self.old, self.young = self.young, {}
         return found
 
+    def _table(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A code for each part, the number of ids by code, and all ids in the order of the codes."""
+        coded = parts.dictionary_encode()
+        ids = self._known(coded.dictionary.cast(pa.binary()).to_pylist())
+        return coded.indices.to_numpy(), np.array(list(map(len, ids)), dtype=np.int64) // 4, np.frombuffer(b"".join(ids), dtype="<u4")
+
+    def encoded(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, those in ``end`` after each text, and the number of each text's ids with them."""
+        import pyarrow.compute as pc
+
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        letters, marks = _cut(coded.dictionary)
+        codes, lengths, table = self._table(pa.concat_arrays([letters, marks]))
+        words, sizes = _gathered(codes.reshape(2, -1).T.ravel(), lengths, table)
+        flat, sizes = _gathered(coded.indices.to_numpy(), sizes[0::2] + sizes[1::2], words)
+        stops = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(lists.value_lengths().to_numpy())]
+        return np.insert(flat, np.repeat(stops, len(end)), end * len(stops)), np.diff(stops, prepend=0) + len(end)
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        lists = [as_bytes(text).split() for text in texts]
-        parts, needed = {}, set()
-        for word in set().union(*lists):
-            letters = word.rstrip(_MARKS)
-            if _run_of_letters(letters):
-                parts[word] = pair = letters.lower(), word[len(letters) :]
-                needed.update(pair)
-            else:
-                parts[word] = (word, b"")
-                needed.add(word)
-        needed.discard(b"")
-        known = self._known(needed)
-        known[b""] = b""
-        ids = {word: known[first] + known[second] for word, (first, second) in parts.items()}
-        return [b"".join(map(ids.__getitem__, words)) for words in lists]
+        flat, sizes = self.encoded(pa.array([as_bytes(text) for text in texts], pa.binary()).view(pa.string()), [])
+        stops = 4 * np.cumsum(sizes)
+        whole = flat.tobytes()
+        return [whole[begin:stop] for begin, stop in zip((stops - 4 * sizes).tolist(), stops.tolist())]
+
+
+_MARKS = ".,;:!?"
+_LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"  # letters that stay so, composed and in lower case
+_LATIN_BYTES = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def _cut(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Runs of letters in lower case and the marks after them; any other word whole, and nothing."""
+    import pyarrow.compute as pc
+
+    letters = pc.ascii_rtrim(words, characters=_MARKS)
+    runs = pc.match_substring_regex(letters, _LATIN).to_numpy(zero_copy_only=False).copy()
+    others = np.flatnonzero(~runs & ~pc.string_is_ascii(letters).to_numpy(zero_copy_only=False))
+    runs[others] = [_run_of_letters(word) for word in letters.take(pa.array(others)).cast(pa.binary()).to_pylist()]
+    sizes = pc.binary_length(letters).to_numpy()
+    marked = np.flatnonzero(runs & (pc.binary_length(words).to_numpy() > sizes))
+    marks = np.full(len(words), "", dtype=object)
+    marks[marked] = [word[size:].decode() for word, size in zip(words.take(pa.array(marked)).cast(pa.binary()).to_pylist(), sizes[marked].tolist())]
+    return pc.if_else(pa.array(runs), pc.ascii_lower(letters), words), pa.array(marks, words.type)
 
 
-_MARKS = b".,;:!?"
+def _gathered(codes: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of a table, whose lengths are given by code, in the order of ``codes``; and the length of each."""
+    starts, each = np.cumsum(lengths) - lengths, lengths[codes]
+    place = np.repeat(starts[codes] - np.cumsum(each) + each, each) + np.arange(each.sum())
+    return table[place], each
 
 
 def _run_of_letters(word: bytes) -> bool:
     """Whether the tokenizer, which lower-cases and composes, sees letters only; some letters become a letter and a mark."""
-    return word.isalpha() or (not word.isascii() and unicodedata.normalize("NFC", word.decode().lower()).isalpha())
+    return word.isalpha() or (not word.isascii() and (_LATIN_BYTES.fullmatch(word) is not None or unicodedata.normalize("NFC", word.decode().lower()).isalpha()))
 
 
 def worker_encoder(shared) -> Encoder:
@@ -185,7 +228,7 @@ def _encode_shard(shared, end_id: int, block_ids: int, bits: bool):
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encode, end = worker_encoder(shared).ids, int(end_id).to_bytes(4, "little")
+        encode, end = worker_encoder(shared).encoded, [int(end_id)]
         schema = pa.schema(
             [("kind", pa.int32()), ("shard", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()),
              ("offset", pa.int64()), ("n_ids", pa.int64()), ("planes", pa.list_(pa.binary()))]
@@ -205,14 +248,17 @@ def _encode_shard(shared, end_id: int, block_ids: int, bits: bool):
 
         for batch in batches:
             for rows in _bounded(batch):
-                out = []
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text").to_pylist())):
-                    ids += end
-                    n = len(ids) // 4
-                    out.append({"kind": 0, "shard": shard, "row": row, "doc_id": doc_id, "offset": offset, "n_ids": n})
-                    pending += ids
-                    row, offset = row + 1, offset + n
-                yield pa.RecordBatch.from_pylist(out + cut(False), schema)
+                ids, sizes = encode(rows.column("text"), end)
+                pending += ids.tobytes()
+                n, stops = len(sizes), np.cumsum(sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(n, np.int32)), pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(row, row + n)), rows.column("doc_id"),
+                     pa.array(offset + stops - sizes), pa.array(sizes), pa.nulls(n, schema.field("planes").type)],
+                    schema=schema,
+                )
+                row, offset = row + n, offset + int(stops[-1])
+                if len(pending) >= 4 * block_ids:
+                    yield pa.RecordBatch.from_pylist(cut(False), schema)
         if pending:
             yield pa.RecordBatch.from_pylist(cut(True), schema)
 

@@ -610,3 +610,22 @@ def test_jaccard_near_copies_too_far_apart_visit_no_group(spark, monkeypatch):
     got = [tuple(r) for r in jaccard.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert brute.ordered(got) == brute.ordered(brute.components(rows))
     assert max(visits) <= 3
+
+
+def test_encoder_asks_the_tokenizer_in_few_calls():
+    """Words that are no run of letters are encoded together, and known words not again."""
+    encoder = planes.Encoder(open(planes.default_tokenizer(), encoding="utf-8").read())
+    calls = []
+
+    class Counted:
+        def __getattr__(self, name):
+            whole = getattr(encoder_tokenizer, name)
+            return lambda *args, **named: (calls.append(name), whole(*args, **named))[1]
+
+    encoder_tokenizer = getattr(encoder, "tokenizer", None) or encoder.encode.__self__
+    encoder.tokenizer, encoder.encode = Counted(), Counted().encode
+    text = " ".join([*(f"10.{i}.7" for i in range(300)), *(f"wörd{chr(97 + i % 26)}{chr(97 + i // 26)}," for i in range(300))])
+    want = np.array(encoder_tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert encoder.ids([text, None]) == [want, b""]
+    assert len(calls) <= 4
+    assert encoder.ids([text.upper()]) == [want] and len(calls) <= 4
