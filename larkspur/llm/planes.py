@@ -68,7 +68,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         vocabulary = tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -83,14 +83,14 @@ class Encoder:
     def _many(self, words: list[bytes]) -> list[bytes]:
         """Ids of words of letters, each a single run for the tokenizer, encoded as one text."""
         ids = self._each([b" ".join(words).decode()])[0]
-        stops = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
-        if len(stops) != len(words):
-            return self._apart(words)
-        flat, out, start = ids.tobytes(), [], 0
-        for stop in stops.tolist():
-            out.append(flat[start:stop])
-            start = stop
-        return out
+        stops = np.flatnonzero(self.ends_word[ids]) + 1
+        return _sliced(ids, stops) if len(stops) == len(words) else self._apart(words)
+
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of a-z only, which the tokenizer hands to its model as they are."""
+        found = list(map(self.model.tokenize, b" ".join(words).decode().split(" ")))
+        ids = np.fromiter((token.id for tokens in found for token in tokens), dtype="<u4")
+        return _sliced(ids, np.cumsum(list(map(len, found))))
 
     def _apart(self, words: list[bytes]) -> list[bytes]:
         """Ids of any words, each a text of its own."""
@@ -100,19 +100,17 @@ class Encoder:
         """Ids of each of the distinct words, from memory or encoded now."""
         found = list(map(self.young.get, words))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        fresh, runs, others = {}, [], []
+        fresh, plain, runs, others = {}, [], [], []
         for word in (words[i] for i in missing):
             ids = self.old.get(word)
             if ids is not None:
                 fresh[word] = ids
             else:
-                (runs if _run_of_letters(word) else others).append(word)
-        for begin in range(0, len(runs), 1024):
-            some = runs[begin : begin + 1024]
-            fresh.update(zip(some, self._many(some)))
-        for begin in range(0, len(others), 1024):
-            some = others[begin : begin + 1024]
-            fresh.update(zip(some, self._apart(some)))
+                (plain if word.isalpha() and word.islower() else runs if _run_of_letters(word) else others).append(word)
+        for kind, encode in ((plain, self._plain), (runs, self._many), (others, self._apart)):
+            for begin in range(0, len(kind), 1024):
+                some = kind[begin : begin + 1024]
+                fresh.update(zip(some, encode(some)))
         for i in missing:
             found[i] = fresh[words[i]]
         self.young.update(fresh)
@@ -123,7 +121,7 @@ class Encoder:
     def _table(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A code for each part, the number of ids by code, and all ids in the order of the codes."""
         coded = parts.dictionary_encode()
-        ids = self._known(coded.dictionary.cast(pa.binary()).to_pylist())
+        ids = self._known(_listed(coded.dictionary))
         return coded.indices.to_numpy(), np.array(list(map(len, ids)), dtype=np.int64) // 4, np.frombuffer(b"".join(ids), dtype="<u4")
 
     def encoded(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,6 +144,20 @@ class Encoder:
         return [whole[begin:stop] for begin, stop in zip((stops - 4 * sizes).tolist(), stops.tolist())]
 
 
+def _sliced(ids: np.ndarray, stops: np.ndarray) -> list[bytes]:
+    """The bytes of ids up to each of the stops."""
+    flat, out, start = ids.tobytes(), [], 0
+    for stop in (4 * stops).tolist():
+        out.append(flat[start:stop])
+        start = stop
+    return out
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """The bytes of words without nulls, made in one call and not through a scalar each."""
+    return words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 _MARKS = ".,;:!?"
 _LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"  # letters that stay so, composed and in lower case
 _LATIN_BYTES = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -158,11 +170,11 @@ def _cut(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     letters = pc.ascii_rtrim(words, characters=_MARKS)
     runs = pc.match_substring_regex(letters, _LATIN).to_numpy(zero_copy_only=False).copy()
     others = np.flatnonzero(~runs & ~pc.string_is_ascii(letters).to_numpy(zero_copy_only=False))
-    runs[others] = [_run_of_letters(word) for word in letters.take(pa.array(others)).cast(pa.binary()).to_pylist()]
+    runs[others] = [_run_of_letters(word) for word in _listed(letters.take(pa.array(others)))]
     sizes = pc.binary_length(letters).to_numpy()
     marked = np.flatnonzero(runs & (pc.binary_length(words).to_numpy() > sizes))
     marks = np.full(len(words), "", dtype=object)
-    marks[marked] = [word[size:].decode() for word, size in zip(words.take(pa.array(marked)).cast(pa.binary()).to_pylist(), sizes[marked].tolist())]
+    marks[marked] = [word[size:].decode() for word, size in zip(_listed(words.take(pa.array(marked))), sizes[marked].tolist())]
     return pc.if_else(pa.array(runs), pc.ascii_lower(letters), words), pa.array(marks, words.type)
 
 

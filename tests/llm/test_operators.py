@@ -629,3 +629,19 @@ def test_encoder_asks_the_tokenizer_in_few_calls():
     assert encoder.ids([text, None]) == [want, b""]
     assert len(calls) <= 4
     assert encoder.ids([text.upper()]) == [want] and len(calls) <= 4
+
+
+def test_encoder_hands_plain_words_to_the_model():
+    """Words of a-z skip the tokenizer's regular expressions and have the ids of whole texts."""
+    encoder = planes.Encoder(open(planes.default_tokenizer(), encoding="utf-8").read())
+    whole, calls = encoder.tokenizer, []
+
+    class Counted:
+        def __getattr__(self, name):
+            return lambda *args, **named: (calls.append(name), getattr(whole, name)(*args, **named))[1]
+
+    encoder.tokenizer = Counted()
+    texts = [" ".join(f"re{'xyz'[i % 3]}l{chr(97 + i % 26) * (i % 5)}s" for i in range(3000)), "Don't WE'RE the THE theThe s t ll", "x" * 500]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert encoder.ids(texts[:1]) == want[:1] and len(calls) <= 1  # words without marks have the empty one
+    assert encoder.ids(texts) == want
