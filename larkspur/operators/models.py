@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions import tabular as ft
 from larkspur.operators import forests
-from larkspur.operators.bounds import attach, checked_small, quoted
+from larkspur.operators.bounds import attach, checked_small, local_copy, quoted
 from larkspur.operators.clean import project_to
-from larkspur.operators.prep import feature_names, preprocessor
+from larkspur.operators.prep import FillerModel, feature_names, preprocessor
 from larkspur.operators.ranks import running_totals
 
 # The training settings of the source scripts.
@@ -98,9 +98,26 @@ def predict_classes(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def _distinct_inputs(model: PipelineModel, rows: DataFrame) -> DataFrame | None:
+    """The distinct inputs of a forest of texts alone as a local table, None if they are many or the model is another."""
+    filler, forest = model.stages[0], model.stages[-1]
+    if rows.isStreaming or not isinstance(forest, RandomForestRegressionModel) or not isinstance(filler, FillerModel) or filler.getOrDefault("numeric"):
+        return None
+    return local_copy(rows.select(*[quoted(c) for c in filler.getOrDefault("categorical")]).distinct(), forests.MAX_CELLS)
+
+
 def predict_values(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Input columns with ``predicted``."""
-    return model.transform(rows).select(*[quoted(c) for c in rows.columns], F.col("prediction").alias("predicted"))
+    """Input columns, imputed, with ``predicted``; hundreds of trees are asked once for rows with equal inputs."""
+    inputs = _distinct_inputs(model, rows)
+    if inputs is None:
+        out = model.transform(rows)
+    else:
+        keys = {name: f"_asked_{i}" for i, name in enumerate(inputs.columns)}
+        known = model.transform(inputs.select("*", *[quoted(c).alias(k) for c, k in keys.items()]))
+        known = known.select(*[quoted(c) for c in inputs.columns], *keys.values(), "prediction")
+        asked = rows.select(*[quoted(c).alias(keys.get(c, c)) for c in rows.columns])
+        out = attach(asked, F.broadcast(known), [*keys.values()])
+    return out.select(*[quoted(c) for c in rows.columns], F.col("prediction").alias("predicted"))
 
 
 def regression_table(predicted: DataFrame, actual: str, keep: list[str] = ()) -> DataFrame:

@@ -64,3 +64,18 @@ def test_features_of_many_values_are_left_to_mllib(spark, rows, monkeypatch):
     monkeypatch.setattr(forests, "MAX_CELLS", 10)
     model = fitted(monkeypatch, rows, 0, models.forest_regressor("y", 2, 3))
     assert len(predicted(model, rows)) == rows.count()
+
+
+def test_equal_inputs_are_predicted_once(spark, rows, monkeypatch):
+    """The same predictions as the model's own, with missing and unseen levels; only distinct inputs reach the trees."""
+    model = fitted(monkeypatch, rows, 0, models.forest_regressor("y", 5, 6))
+    odd = spark.createDataFrame([(5001, None, "unseen", "1"), (5002, None, None, None)], "id long, a string, b string, c string")
+    asked = rows.drop("y").unionByName(odd).unionByName(odd)
+    wanted = sorted(map(tuple, model.transform(asked).select(*asked.columns, "prediction").collect()))
+    seen = []
+    transform = type(model).transform
+    monkeypatch.setattr(type(model), "transform", lambda self, frame: seen.append(frame) or transform(self, frame))
+    got = models.predict_values(model, asked)
+    assert got.columns == ["id", "a", "b", "c", "predicted"]
+    assert sorted(map(tuple, got.collect())) == wanted
+    assert seen[0].count() == asked.select(*LEVELS).distinct().count() < 150
