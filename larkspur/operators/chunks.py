@@ -110,14 +110,15 @@ def chunk_documents(
     return chunk_pages(pages, [(size, overlap)], sorted_pages).drop("chunk_size", "chunk_overlap")
 
 
-def number_chunks(chunks: DataFrame, first_id: int = 1) -> DataFrame:
+def number_chunks(chunks: DataFrame, first_id: int = 1, on_disk: bool = False) -> DataFrame:
     """Dense ``chunk_id`` over all sources, in order of source and chunk.
 
     The place inside a source comes from block totals, the offset of a source from the
     running total of the chunk counts per source; no window sees all chunks. The chunks
-    are written to the shared folder first; two of the three reads of them take two columns.
+    are written to the shared folder first, unless they are ``on_disk``; two of the three reads of
+    them take two columns.
     """
-    chunks = stored(chunks, "chunks")
+    chunks = chunks if on_disk else stored(chunks, "chunks")
     placed = block_running_totals(chunks, ["source"], "chunk_number", {"_place": F.lit(1).cast("long")})
     counts = chunks.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
     offsets = running_totals(counts, [], [F.col("source")], {"_upto": F.col("_n")})

@@ -69,7 +69,7 @@ def stream_kb_batches(spark, sf_dir):
     came = came.unionByName(early)
     landing, state, checkpoint = (scratch_path(spark, n) for n in ("landing", "pages", "state"))
     for number in range(4):
-        came.where(F.col("deal") == number).drop("deal").write.mode("append").parquet(landing)
+        came.where(F.col("deal") == number).drop("deal").write.mode("append").option("compression", "zstd").parquet(landing)
         arrived = jobs.file_stream(spark, landing, came.drop("deal").schema)
         pages.stream_knowledge(arrived, state, "library", embed.HashedTokens(), checkpoint).awaitTermination()
     return _published(spark, state)

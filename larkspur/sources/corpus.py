@@ -128,7 +128,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def write_vectors(df: DataFrame, path: str, *partitions: str) -> None:
     """Vectors with their metadata as one Parquet table; only the partitions at hand are replaced."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 

@@ -8,6 +8,9 @@ Three tables below one folder, each with a partition per knowledge base and micr
 * ``cuts``: per source of the batch the first chunk number that it cut anew. Chunks of earlier
   batches from there on no longer count. Written last, so a batch without it is not there yet.
 
+When a batch has ended, batches of which less than half still counts are taken off the disk
+(``compact``): what counts of them goes to ``carried``, and a row of ``moves`` says so.
+
 A batch touches only its own sources, and of these only what lies behind the first page that
 changed: lengths give the places of all pages, the texts of the tail alone are read. A source
 that grows at its end costs what comes new, however long it is. A batch that runs again replaces
@@ -16,7 +19,9 @@ its own partitions and reads none of them before it has written them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,6 +36,9 @@ from larkspur.session import durable
 from larkspur.sources import corpus
 
 PAGE = ["source", "page_number"]
+MOVE = "of long, gone string, place string, kept long, kb_name string"
+# Files of a shuffle that has ended are removed at once, not when the driver next collects garbage.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _table(spark: SparkSession, path: str, part: str, name: str, before: int | None = None) -> DataFrame | None:
@@ -63,16 +71,22 @@ def _first_chunk(offset: Column, size: int, overlap: int) -> Column:
 def place_changes(log: DataFrame, batch: int, size: int, overlap: int) -> tuple[DataFrame, DataFrame]:
     """(cuts, tail) of the sources with pages of this batch.
 
-    ``cuts`` has source and from_chunk; ``tail`` the places (start, end) of the pages, with the
+    ``cuts`` has source, from_chunk and the number of chunks from there on; ``tail`` the places (start, end) of the pages, with the
     batch that holds their text, that lie in chunks from there on. Both come from lengths alone.
     """
     touched = log.where(F.col("batch") == batch).select("source").distinct()
     pages = newest_pages(log.select(*PAGE, "batch", "length").join(touched, "source", "left_semi"))
     taken = F.when(F.col("length") > 0, F.col("length") + chunks.GAP).otherwise(0).cast("long")
     placed = durable(block_running_totals(pages, ["source"], "page_number", {"_upto": taken}).withColumn("start", F.col("_upto") - taken))
-    changed = placed.where(F.col("batch") == batch).groupBy("source").agg(F.min("start").alias("offset"))
-    cuts = changed.select("source", _first_chunk(F.col("offset"), size, overlap).alias("from_chunk"))
-    tail = placed.where("length > 0").withColumn("end", F.col("start") + F.col("length")).join(checked_small(cuts), "source")
+    changed = placed.groupBy("source").agg(
+        F.min(F.when(F.col("batch") == batch, F.col("start"))).alias("offset"),
+        F.coalesce(F.max(F.when(F.col("length") > 0, F.col("start") + F.col("length"))), F.lit(0)).alias("total"),
+    )
+    count = F.greatest(F.ceil((F.col("total") - overlap) / F.lit(size - overlap)), F.signum("total")).cast("long")  # blank ones included
+    cuts = changed.select("source", _first_chunk(F.col("offset"), size, overlap).alias("from_chunk"), count.alias("chunks"))
+    cuts = cuts.withColumn("chunks", F.greatest(F.col("chunks") - F.col("from_chunk"), F.lit(0).cast("long")))
+    borders = checked_small(cuts.select("source", "from_chunk"))
+    tail = placed.where("length > 0").withColumn("end", F.col("start") + F.col("length")).join(borders, "source")
     tail = tail.where(F.col("end") > F.col("from_chunk") * (size - overlap))
     return cuts, tail.select(*PAGE, "batch", "start", "end", "from_chunk")
 
@@ -93,20 +107,81 @@ def add_pages(
     texts = log.select(*PAGE, "batch", "text")
     placed = tail.join(texts, [*PAGE, "batch"])
     cut = chunks.cut_placed(placed, [(size, overlap)], True).drop("chunk_size", "chunk_overlap")
-    cut = cut.join(checked_small(cuts), "source").where(F.col("chunk_number") >= F.col("from_chunk")).drop("from_chunk")
+    cut = cut.join(checked_small(cuts.select("source", "from_chunk")), "source").where(F.col("chunk_number") >= F.col("from_chunk")).drop("from_chunk")
     _write(embedder.embed(cut, "text", "embedding"), path, "chunks", name, number)
     _write(cuts, path, "cuts", name, number)
+    compact(spark, path, name, number)
+
+
+def _until(cuts: DataFrame) -> DataFrame:
+    """The cuts with ``until``, the first chunk of the source that a later batch cut anew."""
+    later = Window.partitionBy("source").orderBy("batch").rowsBetween(1, Window.unboundedFollowing)
+    return cuts.withColumn("until", F.min("from_chunk").over(later))  # a row per source and batch
+
+
+def _stored(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """All chunks of all batches, from where they lie now."""
+    chunks, carried, moves = (_table(spark, path, part, name) for part in ("chunks", "carried", "moves"))
+    if moves is None:
+        return chunks
+    moved, found = moves.withColumnRenamed("of", "batch"), []
+    if chunks is not None:
+        found.append(chunks.join(checked_small(moved.select("batch").distinct()), "batch", "left_anti"))
+    if carried is not None:
+        gone = moved.select("batch", F.col("gone").alias("place"))
+        valid = moved.select("batch", "place").join(gone, ["batch", "place"], "left_anti")
+        found.append(carried.join(checked_small(valid), ["batch", "place"], "left_semi").drop("place"))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def live_chunks(spark: SparkSession, path: str, name: str) -> DataFrame | None:
     """The chunks that count, of all batches that have ended; None before the first one."""
-    stored, cuts = _table(spark, path, "chunks", name), _table(spark, path, "cuts", name)
+    live = _live(spark, path, name)
+    return None if live is None else live.drop("batch")
+
+
+def _live(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    stored, cuts = _stored(spark, path, name), _table(spark, path, "cuts", name)
     if stored is None or cuts is None:
         return None
-    later = Window.partitionBy("source").orderBy("batch").rowsBetween(1, Window.unboundedFollowing)
-    until = cuts.select("source", "batch", F.min("from_chunk").over(later).alias("until"))  # a row per source and batch
+    until = _until(cuts).select("source", "batch", "until")
     kept = stored.drop("kb_name").join(checked_small(until), ["source", "batch"])
-    return kept.where(F.col("until").isNull() | (F.col("chunk_number") < F.col("until"))).drop("until", "batch")
+    return kept.where(F.col("until").isNull() | (F.col("chunk_number") < F.col("until"))).drop("until")
+
+
+def compact(spark: SparkSession, path: str, name: str, number: int) -> None:
+    """Take batches before ``number`` off the disk of which less than half counts; must not run beside a ``publish``.
+
+    Which ones comes from the cuts alone. What counts of them is written to a place of its own, then a row
+    per batch to ``moves``, which makes that place count and the old one not, then the old files go. A run
+    that fails in between leaves chunks as they were or files that nothing reads.
+    """
+    cuts, moves = _table(spark, path, "cuts", name), _table(spark, path, "moves", name)
+    if cuts is None or "chunks" not in cuts.columns:
+        return
+    alive = F.greatest(F.least("chunks", F.col("until") - F.col("from_chunk")), F.lit(0))  # least() skips NULL
+    sizes = _until(cuts).groupBy("batch").agg(F.sum("chunks").alias("rows"), F.sum(alive).alias("live"))
+    places = {r["of"]: r for r in sorted(moves.collect(), key=lambda r: -r["kept"])} if moves is not None else {}
+    sizes = sizes.collect()  # a row per batch
+    rows = {r["batch"]: places[r["batch"]]["kept"] if r["batch"] in places else r["rows"] for r in sizes}
+    victims = {r["batch"]: r["live"] for r in sizes if r["batch"] < number and 2 * r["live"] < rows[r["batch"]]}
+    if not victims or not any(r["live"] for r in sizes):
+        return
+    place = f"m-{uuid.uuid4().hex}"
+    own = F.col("batch").isin([*victims])
+    kept = _live(spark, path, name).where(own).withColumn("kb_name", F.lit(name)).withColumn("place", F.lit(place))
+    corpus.write_vectors(kept, f"{path}/carried", "kb_name", "batch", "place")
+    moved = [(batch, places[batch]["place"] if batch in places else "", place, live, name) for batch, live in victims.items()]
+    # One file, which the committer puts in place by a rename.
+    spark.createDataFrame(moved, MOVE).coalesce(1).write.mode("append").partitionBy("kb_name").parquet(f"{path}/moves")
+    again = [(F.col("batch") == batch) & (F.col("place") == gone) for batch, gone, *_ in moved]
+    old = {"chunks": own, "carried": reduce(Column.__or__, again)}
+    for part, gone in old.items():
+        table = _table(spark, path, part, name)
+        files = table.where(gone).select("_metadata.file_path").distinct().collect() if table is not None else []
+        for row in files:
+            file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file_path"]))
+            file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
 
 
 def stream_knowledge(
@@ -120,6 +195,7 @@ def stream_knowledge(
     """
 
     def add(batch: DataFrame, number: int) -> None:
+        batch.sparkSession.conf.set(TIDY, "true")  # the session of the stream, not the caller's
         add_pages(prepare(batch), number, path, name, embedder, size, overlap)
 
     return pages.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -130,4 +206,4 @@ def publish(spark: SparkSession, path: str, name: str, out: str, first_id: int =
     live = live_chunks(spark, path, name)
     if live is None:
         raise ValueError(f"no batch of {name!r} has been stored below {path}")
-    corpus.write_vectors(chunks.number_chunks(live, first_id).withColumn("kb_name", F.lit(name)), out, "kb_name")
+    corpus.write_vectors(chunks.number_chunks(live, first_id, on_disk=True).withColumn("kb_name", F.lit(name)), out, "kb_name")

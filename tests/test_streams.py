@@ -178,3 +178,47 @@ def test_build_refuses_mixed_widths(spark, library):
     with pytest.raises(ValueError, match="dimensions"):
         knowledge.build(frame, path, "kb", Mixed(), 100, 20)
     assert knowledge.load(spark, path, "kb").count() == before
+
+
+def test_chunks_that_no_longer_count_leave_the_disk(spark, library, monkeypatch):
+    """Batches that later ones cut anew are taken off the disk; rows, restarts and failures in between as before."""
+    state, draw = scratch_path(spark, "pages"), random.Random(9)
+    deals = [[], [], [], []]
+    for row in library:
+        deals[draw.randrange(4) if row[0] != "s3" else 0].append(row)  # s3 comes once and stays in its batch
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in deals]
+    for number in (0, 1):
+        pages.add_pages(frames[number], number, state, "k b=1", EMBEDDER, 100, 20)
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    def shown():
+        out = scratch_path(spark, "kb")
+        pages.publish(spark, state, "k b=1", out)
+        return rows_of(knowledge.load(spark, out, "k b=1"))
+
+    monkeypatch.setattr(pages, "_live", fails)
+    with pytest.raises(RuntimeError):  # its cuts are there, so it counts
+        pages.add_pages(frames[2], 2, state, "k b=1", EMBEDDER, 100, 20)
+    monkeypatch.undo()
+    for number in (2, 3, 3):
+        pages.add_pages(frames[number], number, state, "k b=1", EMBEDDER, 100, 20)
+    live = at_once(spark, library, 100, 20)
+    assert shown() == live
+    counted = [spark.read.parquet(f"{state}/{part}").groupBy("batch").count().collect() for part in ("chunks", "carried")]
+    assert sum(r["count"] for r in counted[0]) < 1.3 * len(live) and {r["batch"] for r in counted[0]} == {3}
+    assert sum(r["count"] for r in counted[1]) < len(live) / 2
+    first = spark.read.parquet(f"{state}/moves").where("of = 0")
+    assert first.count() >= 1 and first.where("kept > 0").count() >= 1
+
+
+def test_a_batch_that_takes_everything_away(spark, library):
+    state = scratch_path(spark, "pages")
+    pages.add_pages(spark.createDataFrame(library, SCHEMA), 0, state, "kb", EMBEDDER, 100, 20)
+    rest = [r for r in library if r[0] == "s1"]
+    gone = spark.createDataFrame([(s, n, None) for s, n, _ in library if s != "s1"], SCHEMA)
+    pages.add_pages(gone, 1, state, "kb", EMBEDDER, 100, 20)
+    assert published(spark, state) == at_once(spark, rest, 100, 20)
+    pages.add_pages(spark.createDataFrame(library, SCHEMA), 2, state, "kb", EMBEDDER, 100, 20)
+    assert published(spark, state) == at_once(spark, library, 100, 20)
